@@ -34,6 +34,11 @@ VERDICT_SCHEMA = T.StructType([
 _CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
+def canonical_path(path: str) -> str:
+    """One spelling per file: ``file:///x`` and ``file:/x`` are the same file."""
+    return "file:/" + path[len("file:///"):] if path.startswith("file:///") else path
+
+
 def list_files(spark: SparkSession, paths) -> list[tuple[str, bool, int | None]]:
     """(qualified path, exists, size) for each expected file; a directory
     expands to the data files below it (names starting ``_`` or ``.`` skipped)."""
@@ -41,7 +46,7 @@ def list_files(spark: SparkSession, paths) -> list[tuple[str, bool, int | None]]
     for p in ([paths] if isinstance(paths, str) else paths):
         fs, hp = hadoop_fs(spark, p)
         if not fs.exists(hp):
-            out.append((str(fs.makeQualified(hp).toUri()), False, None))
+            out.append((canonical_path(str(fs.makeQualified(hp).toUri())), False, None))
             continue
         st = fs.getFileStatus(hp)
         if st.isDirectory():
@@ -50,9 +55,9 @@ def list_files(spark: SparkSession, paths) -> list[tuple[str, bool, int | None]]
                 f = it.next()
                 name = f.getPath().getName()
                 if not name.startswith(("_", ".")):
-                    out.append((str(f.getPath().toUri()), True, int(f.getLen())))
+                    out.append((canonical_path(str(f.getPath().toUri())), True, int(f.getLen())))
         else:
-            out.append((str(fs.makeQualified(hp).toUri()), True, int(st.getLen())))
+            out.append((canonical_path(str(fs.makeQualified(hp).toUri())), True, int(st.getLen())))
     return out
 
 
@@ -67,7 +72,7 @@ def parse_header(line) -> "F.Column":
 def file_stats(spark: SparkSession, files: list[str]) -> DataFrame:
     """Per file: first line, non-blank lines, invalid-UTF-8 lines."""
     lines = with_source_index(spark.read.text(files), "text", files)
-    return (lines.groupBy(F.col("_source_file").alias("file_path"))
+    return (lines.groupBy(F.regexp_replace("_source_file", "^file:///", "file:/").alias("file_path"))
             .agg(F.min_by("value", "_source_index").alias("first_line"),
                  F.count_if(F.col("value").rlike(r"\S")).alias("n_nonblank"),
                  F.count_if(~F.is_valid_utf8("value")).alias("n_bad_utf8")))
@@ -133,7 +138,7 @@ def quarantine_lines(spark: SparkSession, verdicts: DataFrame) -> DataFrame:
         return spark.createDataFrame([], schema)
     lines = with_source_index(spark.read.text(rejected), "text", rejected)
     return (lines.join(F.broadcast(verdicts.select("file_path", "reason")),
-                       lines["_source_file"] == F.col("file_path"))
+                       F.regexp_replace(lines["_source_file"], "^file:///", "file:/") == F.col("file_path"))
             .select("file_path", F.col("_source_index").alias("line_index"),
                     F.col("value").alias("line"), "reason"))
 
