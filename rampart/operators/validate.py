@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,10 +56,10 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
-def _identity(df: DataFrame) -> list[str]:
-    if INDEX in df.columns:
-        return [FILE, INDEX] if FILE in df.columns else [INDEX]
-    return [ROW_ID]
+def _identity(df: DataFrame) -> str:
+    """The unique row-position column (``_source_index`` is dense across all
+    input files, so it alone identifies a row)."""
+    return INDEX if INDEX in df.columns else ROW_ID
 
 
 def _expand(contract: TableContract | None, rules) -> list[RuleSpec]:
@@ -71,12 +72,19 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
              rules: list[RuleSpec] | None = None,
              order_by: list[str] | None = None,
              whole_row_duplicate: bool = True,
-             check_datatypes: bool = True) -> DataFrame:
+             check_datatypes: bool = True,
+             materialize: bool = True) -> DataFrame:
     """Check ``df`` against a contract; returns ``df`` + ``_errors``.
 
     ``order_by`` sets keep-first order for ``duplicate`` (default: source
-    order, ``_source_file`` then ``_source_index``); a unique row id always
-    breaks ties so exactly one row of each key is kept.
+    order, ``_source_index``); the unique row id always breaks ties so
+    exactly one row of each key is kept.
+
+    With ``materialize`` (default) each repeated-key table is computed and
+    measured first, then broadcast only when its measured size is below a
+    fixed bound; larger ones are joined by shuffle.  The rows are therefore
+    never shuffled for a key whose repeats are few.  Without it the choice is
+    left to AQE at run time.
     """
     spec_rules = _expand(contract, rules)
     added_id = INDEX not in df.columns and ROW_ID not in df.columns
@@ -84,7 +92,10 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
     schema = {f.name: f.dataType for f in base.schema.fields}
     cols = data_columns(base)
     ident = _identity(base)
-    rank = F.struct(*[F.col(c) for c in (list(order_by or []) + ident)])
+    # Keep-first rank: a plain long (hash-aggregate friendly) unless the
+    # caller orders by other columns, then a struct ending in the unique id.
+    rank = (F.struct(*[F.col(c) for c in list(order_by)], F.col(ident)) if order_by
+            else F.col(ident))
 
     # ---- plan the rule list in its fixed order ------------------------
     plan: list[tuple[str, object]] = []  # ("row", Column) | ("group", (kind, keys))
@@ -125,9 +136,23 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
             rule, keys = payload
             slot = key_sets.setdefault(keys, {"id": len(key_sets), "rules": set()})
             slot["rules"].add(rule)
+    # Narrow key sets first.  A wider key set that contains a narrower one
+    # only needs the rows whose narrower key repeats: rows that share the wide
+    # key share every narrower key (NULL-safe), so no repeated wide key is
+    # missed.  Whole-row duplicates are thus searched only inside repeated
+    # primary keys instead of shuffling every full row.
+    order = sorted(key_sets, key=len)
     out = base
-    for keys, slot in key_sets.items():
-        out = _join_key_stats(out, base, keys, slot["id"], "duplicate" in slot["rules"], rank)
+    for keys in order:
+        slot = key_sets[keys]
+        parent = next((k for k in order if len(k) < len(keys) and set(k) <= set(keys)
+                       and "done" in key_sets[k]), None)
+        source = base
+        if parent is not None:
+            source = out.where(F.col(f"_g{key_sets[parent]['id']}_n").isNotNull()).select(*base.columns)
+        out = _join_key_stats(out, source, keys, slot["id"], "duplicate" in slot["rules"], rank,
+                              materialize=materialize)
+        slot["done"] = True
 
     exprs: list[Column] = []
     for kind, payload in plan:
@@ -151,8 +176,14 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
     return out.select(*[F.col(c) for c in keep], errors.alias(ERRORS))
 
 
+# Largest repeated-key table (rows, bytes) sent as a broadcast.
+MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
 def _join_key_stats(out: DataFrame, base: DataFrame, keys: tuple[str, ...], j: int,
-                    need_first: bool, rank: Column) -> DataFrame:
+                    need_first: bool, rank: Column, materialize: bool = True) -> DataFrame:
+    """Left-join per-key ``count`` / keep-first rank of repeated keys onto ``out``."""
     aliases = [f"_g{j}_k{i}" for i in range(len(keys))]
     aggs = [F.count(F.lit(1)).alias(f"_g{j}_n")]
     if need_first:
@@ -162,11 +193,28 @@ def _join_key_stats(out: DataFrame, base: DataFrame, keys: tuple[str, ...], j: i
     stats = (base.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, aliases)])
              .agg(*aggs)
              .where(F.col(f"_g{j}_n") > 1))
+    if materialize:
+        stats = _measured(stats, aliases)
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, aliases)])
     return out.join(stats, cond, "left").drop(*aliases)
 
 
+def _measured(stats: DataFrame, aliases: list[str]) -> DataFrame:
+    """Materialise the repeated-key table once (one job that also measures
+    it) and broadcast it only if its row count and key bytes are bounded;
+    otherwise the join shuffles.  The table is small and deterministic, so a
+    lost cached block is simply recomputed from its lineage."""
+    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    width = [F.coalesce(F.octet_length(F.col(a).cast("string")), F.lit(0)) for a in aliases]
+    row = stats.agg(F.count(F.lit(1)).alias("n"),
+                    F.sum(reduce(lambda a, b: a + b, width) + F.lit(32)).alias("b")).first()
+    n, size = int(row["n"] or 0), int(row["b"] or 0)
+    if n <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES:
+        return F.broadcast(stats)
+    return stats
+
+
 def check_rules(df: DataFrame, rules: list[RuleSpec], order_by: list[str] | None = None) -> DataFrame:
     """Only the given rules: no implicit whole-row duplicate, no datatype pass."""
     return validate(df, None, rules=rules, order_by=order_by,

@@ -59,20 +59,41 @@ def read_table(spark: SparkSession, path, fmt: str, *, schema: T.StructType | No
     return with_source_index(df, fmt, paths) if index else df
 
 
-def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None) -> DataFrame:
-    """Attach ``_source_file`` and ``_source_index`` to a fresh file scan."""
+def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
+                      per_file: bool = False) -> DataFrame:
+    """Attach ``_source_file`` and ``_source_index`` to a fresh file scan.
+
+    ``_source_index`` is dense and 0-based over all input files taken in path
+    order (so it alone identifies a row); with ``per_file`` it restarts at 0
+    in every file.  Offsets come from one small row per file (Parquet, whose
+    scan exposes ``row_index``) or per (file, split) (text formats), prefixed
+    by a window over that small table and joined back.
+    """
+    spark = df.sparkSession
     if fmt == "parquet":
-        return df.select("*", F.col("_metadata.file_path").alias(FILE),
-                         F.col("_metadata.row_index").alias(INDEX))
+        marked = df.select("*", F.col("_metadata.file_path").alias(FILE),
+                           F.col("_metadata.row_index").alias("_pos"))
+        files = df.inputFiles()
+        if per_file or len(files) <= 1:
+            return marked.withColumnRenamed("_pos", INDEX)
+        units = marked.groupBy(FILE).agg(F.count(F.lit(1)).alias("_cnt"))
+        before = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = units.select(FILE, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+        if len(files) <= MAX_BROADCAST_SPLITS:
+            offsets = F.broadcast(offsets)
+        out = marked.join(offsets, [FILE], "inner")
+        return out.select(*df.columns, FILE, (F.col("_off") + F.col("_pos")).alias(INDEX))
     marked = df.select("*", F.col("_metadata.file_path").alias(FILE),
                        F.col("_metadata.file_block_start").alias("_blk"),
                        F.monotonically_increasing_id().alias("_mid"))
     splits = (marked.groupBy(FILE, "_blk")
               .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_mid0")))
-    before = Window.partitionBy(FILE).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per split: bounded by files + bytes / maxPartitionBytes.
+    w = Window.partitionBy(FILE) if per_file else Window.partitionBy()
+    before = w.orderBy(FILE, "_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(FILE, "_blk", "_mid0",
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    if paths is not None and split_bound(df.sparkSession, paths) <= MAX_BROADCAST_SPLITS:
+    if paths is not None and split_bound(spark, paths) <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     out = marked.join(offsets, [FILE, "_blk"], "inner")
     return out.select(*df.columns, FILE,

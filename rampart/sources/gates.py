@@ -136,7 +136,7 @@ def quarantine_lines(spark: SparkSession, verdicts: DataFrame) -> DataFrame:
     schema = "file_path string, line_index bigint, line string, reason string"
     if not rejected:
         return spark.createDataFrame([], schema)
-    lines = with_source_index(spark.read.text(rejected), "text", rejected)
+    lines = with_source_index(spark.read.text(rejected), "text", rejected, per_file=True)
     return (lines.join(F.broadcast(verdicts.select("file_path", "reason")),
                        F.regexp_replace(lines["_source_file"], "^file:///", "file:/") == F.col("file_path"))
             .select("file_path", F.col("_source_index").alias("line_index"),
