@@ -1,0 +1,143 @@
+"""Scans, sinks, layer paths, the source index and the file gates."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from rampart import TableContract
+from rampart.sources.files import layer_path, read_table, write_table
+from rampart.sources.gates import judge_files, quarantine_lines
+
+CONTRACT = TableContract.from_dict({
+    "table_name": "people", "schema_name": "retail",
+    "rcv_layer": "rcv", "quarantine_layer": "quarantine", "rcv_format": "csv",
+    "columns": [{"name": "id", "type": "string"}, {"name": "name", "type": "string"}],
+    "validation": {"validate_file": True, "validate_schema": True}})
+
+
+def _write(path, data: bytes):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as fh:
+        fh.write(data)
+    return path
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_roundtrip(spark, tmp_dir, fmt):
+    df = spark.createDataFrame([("1", "John"), ("2", "Mary")], "id string, name string")
+    write_table(df, f"{tmp_dir}/t", fmt)
+    back = read_table(spark, f"{tmp_dir}/t", fmt, contract=CONTRACT)
+    assert sorted(map(tuple, back.collect())) == [("1", "John"), ("2", "Mary")]
+
+
+def test_unsupported_format(spark, tmp_dir):
+    df = spark.createDataFrame([("1",)], "id string")
+    with pytest.raises(ValueError, match="Unsupported file format: json"):
+        write_table(df, f"{tmp_dir}/x", "json")
+    with pytest.raises(ValueError, match="Unsupported file format: json"):
+        read_table(spark, f"{tmp_dir}/x", "json")
+
+
+def test_layer_path():
+    p = layer_path("s3a://bucket", CONTRACT, "rcv", dt.date(2026, 1, 31))
+    assert p == "s3a://bucket/rcv/retail/people/2026/01/31/people.csv"
+    q = layer_path("/base", CONTRACT, "quarantine", "2026/01/31", "csv")
+    assert q == "/base/quarantine/retail/people/2026/01/31/people.csv"
+
+
+def test_source_index_csv_many_files_and_splits(spark, tmp_dir):
+    """Dense 0-based index in (file path, line) order across files and splits."""
+    rows_a = "".join(f"a{i},x{i}\n" for i in range(3000))
+    rows_b = "".join(f"b{i},y{i}\n" for i in range(10))
+    _write(f"{tmp_dir}/in/b.csv", ("id,name\n" + rows_b).encode())
+    _write(f"{tmp_dir}/in/a.csv", ("id,name\n" + rows_a).encode())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_table(spark, f"{tmp_dir}/in", "csv", contract=CONTRACT, index=True)
+        assert df.rdd.getNumPartitions() > 3
+        got = df.orderBy("_source_index").select("id", "_source_index").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r["_source_index"] for r in got] == list(range(3010))
+    assert [r["id"] for r in got] == [f"a{i}" for i in range(3000)] + [f"b{i}" for i in range(10)]
+
+
+def test_source_index_parquet_many_files(spark, tmp_dir):
+    spark.range(0, 50).selectExpr("id", "cast(id as string) as v").repartition(4, "id") \
+        .write.parquet(f"{tmp_dir}/pq")
+    df = read_table(spark, f"{tmp_dir}/pq", "parquet", index=True)
+    idx = sorted(r["_source_index"] for r in df.select("_source_index").collect())
+    assert idx == list(range(50))
+
+
+def _gate(spark, path, checks=None):
+    v = judge_files(spark, [path], CONTRACT, checks=checks).collect()
+    assert len(v) == 1
+    return v[0]
+
+
+def test_gate_not_found(spark, tmp_dir):
+    r = _gate(spark, f"{tmp_dir}/nope.csv")
+    assert r["status"] == "not_found" and r["reason"].startswith("File not found - ")
+    assert r["quarantine"] is False
+
+
+@pytest.mark.parametrize("body", [b"", b"\n", b"   \n", b"\n\nid,name\n1,John\n"])
+def test_gate_empty(spark, tmp_dir, body):
+    r = _gate(spark, _write(f"{tmp_dir}/f.csv", body))
+    assert r["status"] == "empty" and r["reason"].startswith("File empty - ") and r["quarantine"]
+
+
+@pytest.mark.parametrize("body", [b"id,name\n", b"id,name\n\n\n", b"id,name\n" + b"  \n" * 20])
+def test_gate_header_only(spark, tmp_dir, body):
+    r = _gate(spark, _write(f"{tmp_dir}/f.csv", body))
+    assert r["status"] == "header_only"
+    assert r["reason"].startswith("File contains only header without data - ")
+
+
+def test_gate_unreadable(spark, tmp_dir):
+    r = _gate(spark, _write(f"{tmp_dir}/f.csv", b"id,name\n1,Jo\xff\xfehn\n"))
+    assert r["status"] == "unreadable" and r["reason"].startswith("File is not readable - ")
+
+
+def test_gate_ok(spark, tmp_dir):
+    r = _gate(spark, _write(f"{tmp_dir}/f.csv", b"id,name\n1,John\n"))
+    assert r["status"] == "accepted" and r["reason"] is None and r["quarantine"] is False
+
+
+@pytest.mark.parametrize("header,ok", [
+    (b"id,name", True), (b"id,name,age", False), (b"id", False), (b"name,id", False),
+    (b'"id","name"', True), (b"ID,name", False), (b"\xef\xbb\xbfid,name", True), (b"id,name\r", True),
+])
+def test_schema_gate(spark, tmp_dir, header, ok):
+    r = _gate(spark, _write(f"{tmp_dir}/f.csv", header + b"\n1,John\n"))
+    assert (r["status"] == "accepted") == ok
+    if not ok:
+        assert r["reason"].startswith("Schema mismatch. Expected ['id', 'name'], got [")
+
+
+def test_gate_directory_and_quarantine_lines(spark, tmp_dir):
+    _write(f"{tmp_dir}/d/good.csv", b"id,name\n1,John\n2,Mary\n")
+    _write(f"{tmp_dir}/d/bad.csv", b"name,id\nJohn,1\n")
+    _write(f"{tmp_dir}/d/zero.csv", b"")
+    v = judge_files(spark, [f"{tmp_dir}/d"], CONTRACT)
+    st = {r["file_path"].rsplit("/", 1)[-1]: r["status"] for r in v.collect()}
+    assert st == {"good.csv": "accepted", "bad.csv": "schema_mismatch", "zero.csv": "empty"}
+    q = quarantine_lines(spark, v).orderBy("line_index").collect()
+    assert [(r["line_index"], r["line"]) for r in q] == [(0, "name,id"), (1, "John,1")]
+    assert q[0]["reason"].startswith("Schema mismatch")
+
+
+def test_malformed_rows_flagged(spark, tmp_dir):
+    from rampart import validate
+
+    _write(f"{tmp_dir}/m.csv", b"id,name\n1,John\n2\n3,Ann,extra\n4,Bo\n")
+    df = read_table(spark, f"{tmp_dir}/m.csv", "csv", contract=CONTRACT, index=True, flag_malformed=True)
+    checked = validate(df, CONTRACT.__class__.from_dict({"table_name": "p", "columns": [
+        {"name": "id", "type": "string"}, {"name": "name", "type": "string"}]}))
+    bad = {r["_source_index"] for r in checked.where(F.exists("_errors", lambda e: e["rule"] == "malformed"))
+           .select("_source_index").collect()}
+    assert bad == {1, 2}
