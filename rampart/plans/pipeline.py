@@ -21,7 +21,7 @@ from ..operators import load as L
 from ..operators.reshape import align, apply_transforms, reshape
 from ..operators.routing import observe_counts, split
 from ..operators.validate import validate
-from ..session import hadoop_fs, shared_dir
+from ..session import hadoop_fs, scratch_path
 from ..sources.files import layer_path, read_table, write_table
 from ..sources.gates import copy_to_quarantine, judge_files
 
@@ -74,21 +74,25 @@ def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base:
 
 def l0_to_l1(spark: SparkSession, l0: TableContract, l1: TableContract, base: str,
              process_date, *, order_by: list[str] | None = None,
-             materialize: str = "checkpoint") -> StageResult:
+             materialize: str = "staged") -> StageResult:
     """Validate L0 against every rule, write valid rows reshaped to L1 and the
     audit rows (always, so a clean rerun replaces an older audit).
 
-    The checked table is materialised once (reliable checkpoint in the shared
-    folder by default, so a lost executor does not recompute the rules) and
-    both sinks read it; record counts come from an ``Observation``.
+    The checked table is computed once and written as Parquet to a fresh
+    folder under the shared checkpoint folder (``materialize="staged"``):
+    that cuts the lineage, survives lost executors, and both sinks then read
+    only the columns they need.  ``"persist"`` keeps it in executor memory /
+    disk instead.  Record counts come from an ``Observation`` on that write.
     """
     src = layer_path(base, l0, "l0", process_date, l0.format("l0"))
     df = read_table(spark, src, l0.format("l0"), contract=l0, index=True,
                     flag_malformed=l0.format("l0") == "csv")
     checked, obs = observe_counts(validate(df, l0, order_by=order_by))
-    if materialize == "checkpoint":
-        shared_dir(spark)
-        checked = checked.checkpoint(eager=True)
+    staged = None
+    if materialize == "staged":
+        staged = scratch_path(spark, f"checked-{l0.table_name}")
+        checked.write.parquet(staged)
+        checked = spark.read.parquet(staged)
     else:
         checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
         checked.count()
@@ -99,7 +103,7 @@ def l0_to_l1(spark: SparkSession, l0: TableContract, l1: TableContract, base: st
         write_table(audit, layer_path(base, l0, "audit", process_date, l0.format("audit")),
                     l0.format("audit"))
     finally:
-        if materialize != "checkpoint":
+        if staged is None:
             checked.unpersist()
     counts = obs.get
     return StageResult("l0_to_l1", l0.table_name, dst, counts.get("n_in"), counts.get("n_valid"),
