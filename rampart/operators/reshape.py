@@ -109,10 +109,11 @@ def apply_transforms(df: DataFrame, contract: TableContract, *,
     return df
 
 
-def align(df: DataFrame, target: TableContract) -> DataFrame:
+def align(df: DataFrame, target: TableContract, keep: tuple[str, ...] = ()) -> DataFrame:
     """One projection onto the target contract: each target column is the
     source column converted to the declared type (NULL when unconvertible),
-    or a typed NULL when absent; extra columns are dropped; target order."""
+    or a typed NULL when absent; extra columns are dropped (``keep`` names
+    helper columns to carry along at the end); target order."""
     types = {f.name: f.dataType for f in df.schema.fields}
     exprs = []
     for c in target.columns:
@@ -120,7 +121,7 @@ def align(df: DataFrame, target: TableContract) -> DataFrame:
             exprs.append(cast_to(F.col(c.name), c.type, c.format, c.name, types[c.name]).alias(c.name))
         else:
             exprs.append(F.lit(None).cast(c.spark_type).alias(c.name))
-    return df.select(*exprs)
+    return df.select(*exprs, *keep)
 
 
 def reshape(df: DataFrame, contract: TableContract, target: TableContract, *,

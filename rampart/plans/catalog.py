@@ -1018,6 +1018,21 @@ def q_pipeline_full(spark, sf):
     return L.read_target(spark, target, l1).select(*FINAL_COLS)
 
 
+def q_pipeline_stream(spark, sf):
+    """The l0 -> l1 work as a Structured Streaming ingest (availableNow)."""
+    from ..streaming.ingest import start_ingest
+
+    base = scratch_path(spark, "stream")
+    rcv, l0, l1 = _c("rcv", "customers"), _c("l0", "customers"), _c("l1", "customers")
+    write_table(q_gen_customers(spark, sf), f"{base}/landing", "csv")
+    q = start_ingest(spark, rcv, l0, l1, f"{base}/landing", f"{base}/out", f"{base}/_checkpoint",
+                     run_ts=RUN_TS)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_table(spark, f"{base}/out/l1", "parquet").select(*FINAL_COLS)
+
+
 # ------------------------------------------------------------- registry
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": q_scan_parquet,
@@ -1062,6 +1077,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_l0_l1": q_pipeline_l0_l1,
     "pipeline_load": q_pipeline_load,
     "pipeline_full": q_pipeline_full,
+    "pipeline_stream": q_pipeline_stream,
     "run_ledger_latest": q_run_ledger_latest,
     "gen_customers": q_gen_customers,
     "gen_orders": q_gen_orders,
@@ -1112,6 +1128,7 @@ ORACLE_SQL: dict[str, str] = {
     "pipeline_l0_l1": SQL_PIPELINE_L1,
     "pipeline_load": SQL_PIPELINE_L1,
     "pipeline_full": SQL_PIPELINE_L1,
+    "pipeline_stream": SQL_PIPELINE_L1,
     "run_ledger_latest": SQL_RUN_LEDGER_LATEST,
     "gen_customers": f"SELECT id, name, birthday, address, kpi FROM ({SQL_GEN_CUSTOMERS})",
     "gen_orders": (f"SELECT id, customer_id, product_id, quantity, price, order_date FROM ({SQL_GEN_ORDERS})"),

@@ -86,6 +86,16 @@ def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
     marked = df.select("*", F.col("_metadata.file_path").alias(FILE),
                        F.col("_metadata.file_block_start").alias("_blk"),
                        F.monotonically_increasing_id().alias("_mid"))
+    small = paths is not None and split_bound(spark, paths) <= MAX_BROADCAST_SPLITS
+    return dense_index(marked, df.columns, per_file=per_file, broadcast=small)
+
+
+def dense_index(marked: DataFrame, columns: list[str], *, per_file: bool = False,
+                broadcast: bool = False) -> DataFrame:
+    """Dense position from ``_source_file``, split start ``_blk`` and the
+    in-split row id ``_mid``: rows per split and each split's first id are
+    aggregated (one row per split), prefixed by a window over that small
+    table in (file, split) order, and joined back."""
     splits = (marked.groupBy(FILE, "_blk")
               .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_mid0")))
     # One row per split: bounded by files + bytes / maxPartitionBytes.
@@ -93,11 +103,10 @@ def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
     before = w.orderBy(FILE, "_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(FILE, "_blk", "_mid0",
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    if paths is not None and split_bound(spark, paths) <= MAX_BROADCAST_SPLITS:
+    if broadcast:
         offsets = F.broadcast(offsets)
     out = marked.join(offsets, [FILE, "_blk"], "inner")
-    return out.select(*df.columns, FILE,
-                      (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias(INDEX))
+    return out.select(*columns, FILE, (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias(INDEX))
 
 
 def split_bound(spark: SparkSession, paths: list[str]) -> int:
