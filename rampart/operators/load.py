@@ -9,6 +9,10 @@ store where creating a new file is atomic, object stores included).
 * ``append_only``: writes only the incoming rows as a new data folder; a key
   already in the table (or repeated in the input) is an error, or is skipped
   with ``on_conflict="ignore"`` (left-anti on the key) so reruns are safe.
+
+Constraint violations and key conflicts are counted by ``Observation``s on
+the data write itself; the version is committed only when both are zero, so a
+refused load leaves an unreferenced folder and the previous version live.
 * ``truncate_and_insert``: new version = the incoming rows only.
 * ``upsert``: new version = target rows whose key is not incoming
   (left-anti join) + all incoming rows; the incoming key must be unique.
@@ -20,9 +24,8 @@ shuffle on the key, or broadcast the incoming key set when AQE sees it small.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import TableContract
@@ -148,18 +151,37 @@ def merge_upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> Dat
 
 
 # --------------------------------------------------------------- loads
-def prepare(incoming: DataFrame, contract: TableContract, check: bool = True) -> DataFrame:
-    """Defaults for absent columns, alignment to the contract, and a
-    constraint pass that raises with per-rule counts when anything breaks."""
+def prepare(incoming: DataFrame, contract: TableContract, check: bool = True):
+    """Defaults for absent columns and alignment to the contract; with
+    ``check``, constraint violations are counted by an ``Observation`` on
+    the write itself (no separate pass) and reported after it."""
     df = align(apply_defaults(incoming, contract), contract)
-    if check:
-        checked = constraint_check(df, contract)
-        bad = checked.where(F.size(ERRORS) > 0)
-        if not bad.isEmpty():
-            summary = sorted((r["rule"], r["column"], r["n_rows"])
-                             for r in violations_summary(bad).collect())
-            raise LoadError(f"Constraint violation in {contract.table_name}: {summary}")
-    return df
+    if not check:
+        return df, None
+    checked = constraint_check(df, contract)
+    obs = Observation(f"constraints_{uuid.uuid4().hex[:8]}")
+    observed = checked.observe(obs, F.count_if(F.size(ERRORS) > 0).alias("n_bad"))
+    return observed.select(*contract.column_names), (obs, checked)
+
+
+def _raise_if_bad(guard, contract: TableContract) -> None:
+    if guard is None:
+        return
+    obs, checked = guard
+    if obs.get.get("n_bad", 0):
+        summary = sorted((r["rule"], r["column"], r["n_rows"]) for r in
+                         violations_summary(checked.where(F.size(ERRORS) > 0)).collect())
+        raise LoadError(f"Constraint violation in {contract.table_name}: {summary}")
+
+
+def _flag_conflicts(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Mark incoming rows whose key is already in the target.  The target is
+    probed with a semi join against the incoming keys (target side streamed,
+    incoming keys broadcast when AQE finds them small); the few hits are then
+    joined back to the incoming rows."""
+    hits = target.select(*keys).join(df.select(*keys), keys, "left_semi") \
+        .withColumn("_conflict", F.lit(True))
+    return df.join(hits, keys, "left")
 
 
 def append(spark: SparkSession, incoming: DataFrame, contract: TableContract, root: str, *,
@@ -168,14 +190,22 @@ def append(spark: SparkSession, incoming: DataFrame, contract: TableContract, ro
     if not commits:
         raise LoadError(f"There is no table ({contract.table_name})")
     keys = _keys(contract, keys)
-    df = prepare(incoming, contract, check=check and on_conflict == "error")
     target = read_target(spark, root, contract)
-    if on_conflict == "error":
-        if not repeated_keys(df, keys).isEmpty() or not conflicts(target, df, keys).isEmpty():
-            raise LoadError(f"duplicate key value violates unique constraint on {keys}")
-    else:
+    if on_conflict == "ignore":
+        df, guard = prepare(incoming, contract, check=False)
         df = merge_append(target, df.dropDuplicates(keys), keys, "ignore")
-    name = _write_folder(df, root, _partitions(contract))
+        name = _write_folder(df, root, _partitions(contract))
+    else:
+        df, guard = prepare(incoming, contract, check=check)
+        conflicts_seen = Observation(f"conflicts_{uuid.uuid4().hex[:8]}")
+        flagged = _flag_conflicts(df, target, keys).observe(
+            conflicts_seen, F.count_if(F.col("_conflict")).alias("n"))
+        name = _write_folder(flagged.drop("_conflict"), root, _partitions(contract))
+        _raise_if_bad(guard, contract)
+        if conflicts_seen.get.get("n", 0):
+            raise LoadError(f"duplicate key value violates unique constraint on {keys}")
+        if guard is None and not repeated_keys(df, keys).isEmpty():
+            raise LoadError(f"duplicate key value violates unique constraint on {keys}")
     _commit(spark, root, current_folders(spark, root) + [name], commits[-1])
 
 
@@ -184,8 +214,9 @@ def replace(spark: SparkSession, incoming: DataFrame, contract: TableContract, r
     commits = _commit_files(spark, root)
     if not commits:
         raise LoadError(f"There is no table ({contract.table_name})")
-    df = prepare(incoming, contract, check=check)
+    df, guard = prepare(incoming, contract, check=check)
     name = _write_folder(df, root, _partitions(contract))
+    _raise_if_bad(guard, contract)
     _commit(spark, root, [name], commits[-1])
 
 
@@ -195,12 +226,12 @@ def upsert(spark: SparkSession, incoming: DataFrame, contract: TableContract, ro
     if not commits:
         raise LoadError(f"There is no table ({contract.table_name})")
     keys = _keys(contract, keys)
-    df = prepare(incoming, contract, check=check)
-    if not repeated_keys(df, keys).isEmpty():
+    df, guard = prepare(incoming, contract, check=check)
+    if guard is None and not repeated_keys(df, keys).isEmpty():
         raise LoadError(f"incoming rows repeat a key of {keys}; upsert needs one row per key")
     target = read_target(spark, root, contract)
-    merged = merge_upsert(target, df, keys)
-    name = _write_folder(merged, root, _partitions(contract))
+    name = _write_folder(merge_upsert(target, df, keys), root, _partitions(contract))
+    _raise_if_bad(guard, contract)
     _commit(spark, root, [name], commits[-1])
 
 
@@ -218,7 +249,3 @@ def load(spark: SparkSession, incoming: DataFrame, contract: TableContract, root
     if name not in STRATEGIES:
         raise LoadError(f"Unknown load strategy: {name}")
     STRATEGIES[name](spark, incoming, contract, root, **kw)
-
-
-def any_true(cols) -> "F.Column":
-    return reduce(lambda a, b: a | b, cols)

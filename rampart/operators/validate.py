@@ -73,18 +73,19 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
              order_by: list[str] | None = None,
              whole_row_duplicate: bool = True,
              check_datatypes: bool = True,
-             materialize: bool = True) -> DataFrame:
+             materialize: bool | str = "auto") -> DataFrame:
     """Check ``df`` against a contract; returns ``df`` + ``_errors``.
 
     ``order_by`` sets keep-first order for ``duplicate`` (default: source
     order, ``_source_index``); the unique row id always breaks ties so
     exactly one row of each key is kept.
 
-    With ``materialize`` (default) each repeated-key table is computed and
-    measured first, then broadcast only when its measured size is below a
-    fixed bound; larger ones are joined by shuffle.  The rows are therefore
-    never shuffled for a key whose repeats are few.  Without it the choice is
-    left to AQE at run time.
+    With ``materialize`` each repeated-key table is computed and measured
+    first, then broadcast only when its measured size is below a fixed
+    bound; larger ones are joined by shuffle, so the rows are never shuffled
+    for a key whose repeats are few.  ``"auto"`` (default) does this when the
+    input is at least ``MATERIALIZE_FROM_BYTES`` (or of unknown size); below
+    that, a mis-planned shuffle is cheap and the choice is left to AQE.
     """
     spec_rules = _expand(contract, rules)
     added_id = INDEX not in df.columns and ROW_ID not in df.columns
@@ -129,6 +130,9 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
         else:
             raise ContractError(f"Unknown rule: {r.rule}")
 
+    if materialize == "auto":
+        materialize = _large_input(base)
+
     # ---- one aggregate per distinct key set, joined back --------------
     key_sets: dict[tuple[str, ...], dict] = {}
     for kind, payload in plan:
@@ -176,9 +180,18 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
     return out.select(*[F.col(c) for c in keep], errors.alias(ERRORS))
 
 
-# Largest repeated-key table (rows, bytes) sent as a broadcast.
+# Largest repeated-key table (rows, bytes) sent as a broadcast,
+# and the input size from which key tables are measured before joining.
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+MATERIALIZE_FROM_BYTES = 256 * 1024 * 1024
+
+
+def _large_input(df: DataFrame) -> bool:
+    from ..sources.files import input_bytes
+
+    size = input_bytes(df)
+    return size is None or size >= MATERIALIZE_FROM_BYTES
 
 
 def _join_key_stats(out: DataFrame, base: DataFrame, keys: tuple[str, ...], j: int,

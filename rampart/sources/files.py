@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,6 +81,8 @@ def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
         before = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
         offsets = units.select(FILE, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
         if len(files) <= MAX_BROADCAST_SPLITS:
+            offsets = offsets.persist(StorageLevel.MEMORY_AND_DISK)
+            offsets.count()
             offsets = F.broadcast(offsets)
         out = marked.join(offsets, [FILE], "inner")
         return out.select(*df.columns, FILE, (F.col("_off") + F.col("_pos")).alias(INDEX))
@@ -104,6 +107,9 @@ def dense_index(marked: DataFrame, columns: list[str], *, per_file: bool = False
     offsets = splits.select(FILE, "_blk", "_mid0",
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     if broadcast:
+        # Tiny and reused by every job over this scan: computed once.
+        offsets = offsets.persist(StorageLevel.MEMORY_AND_DISK)
+        offsets.count()
         offsets = F.broadcast(offsets)
     out = marked.join(offsets, [FILE, "_blk"], "inner")
     return out.select(*columns, FILE, (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias(INDEX))
@@ -123,6 +129,21 @@ def split_bound(spark: SparkSession, paths: list[str]) -> int:
     return files + math.ceil(size / max(max_bytes, 1))
 
 
+def input_bytes(df: DataFrame, max_files: int = 10000) -> int | None:
+    """Total size of the files behind ``df`` (None when unknown or when there
+    are more than ``max_files`` files, which is large by any measure)."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    if len(files) > max_files:
+        return None
+    total = 0
+    for f in files:
+        fs, p = hadoop_fs(df.sparkSession, f)
+        total += int(fs.getFileStatus(p).getLen())
+    return total
+
+
 def parse_bytes(text: str) -> int:
     """Spark byte-size string (``134217728``, ``128m``, ``1g``, ``64MB``) -> bytes."""
     t = str(text).strip().lower().rstrip("b")

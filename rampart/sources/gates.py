@@ -70,10 +70,18 @@ def parse_header(line) -> "F.Column":
 
 
 def file_stats(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Per file: first line, non-blank lines, invalid-UTF-8 lines."""
-    lines = with_source_index(spark.read.text(files), "text", files)
-    return (lines.groupBy(F.regexp_replace("_source_file", "^file:///", "file:/").alias("file_path"))
-            .agg(F.min_by("value", "_source_index").alias("first_line"),
+    """Per file: first line, non-blank lines, invalid-UTF-8 lines.
+
+    One pass, no join: the first line is the row with the smallest row id
+    inside the split that starts at byte 0 of the file.
+    """
+    lines = spark.read.text(files).select(
+        F.regexp_replace(F.col("_metadata.file_path"), "^file:///", "file:/").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_mid"), "value")
+    first_split_id = F.when(F.col("_blk") == 0, F.col("_mid"))
+    return (lines.groupBy("file_path")
+            .agg(F.min_by("value", first_split_id).alias("first_line"),
                  F.count_if(F.col("value").rlike(r"\S")).alias("n_nonblank"),
                  F.count_if(~F.is_valid_utf8("value")).alias("n_bad_utf8")))
 

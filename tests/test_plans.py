@@ -19,7 +19,7 @@ def test_projection_and_filter_reach_the_scan(spark):
 
 
 def test_validate_broadcasts_small_repeated_key_tables(spark):
-    checked = validate(catalog._l0_orders(spark, SF), catalog._c("l0", "orders"))
+    checked = validate(catalog._l0_orders(spark, SF), catalog._c("l0", "orders"), materialize=True)
     checked.write.format("noop").mode("overwrite").save()
     p = plan(checked)
     assert "SortMergeJoin" not in p
@@ -33,3 +33,10 @@ def test_key_rule_reads_only_key_columns(spark):
                       [RuleSpec("unique", ("l_orderkey", "l_linenumber"))])
     p = plan(out)
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,_tmp_metadata_row_index:bigint>" in p
+
+
+def test_small_inputs_skip_measuring(spark):
+    from rampart.operators import validate as V
+
+    df = read_table(spark, f"{SF}/orders.parquet", "parquet", index=True)
+    assert V._large_input(df) is False

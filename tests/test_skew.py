@@ -47,7 +47,7 @@ def test_hot_and_null_keys(spark, monkeypatch, path):
     try:
         df = _data(spark)
         rules = [RuleSpec("unique", ("k",)), RuleSpec("duplicate", ("k",))]
-        checked = validate(df, None, rules=rules, check_datatypes=False)
+        checked = validate(df, None, rules=rules, check_datatypes=False, materialize=True)
         got = {r["_source_index"]: r["error_message"] for r in error_message(checked).collect()}
         plan = checked._jdf.queryExecution().executedPlan().toString()
     finally:
