@@ -900,8 +900,8 @@ def _landing(spark, sf) -> str:
     return root
 
 
-def _label(root_col: str):
-    return F.regexp_extract(F.col("file_path"), r"/landing-[0-9a-f]+/([^/]+(?:/c_nationkey=\d+)?)", 1)
+def _label(path_col: str):
+    return F.regexp_extract(F.col(path_col), r"/landing-[0-9a-f]+/([^/]+(?:/c_nationkey=\d+)?)", 1)
 
 
 def _gate(spark, sf, checks) -> DataFrame:

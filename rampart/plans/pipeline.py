@@ -141,7 +141,3 @@ def run_table(spark: SparkSession, table: str, base: str, process_date, target_r
         run_stage("l0_to_l1", l0_to_l1, spark, l0, l1, base, process_date),
         run_stage("l1_to_database", l1_to_target, spark, l1, base, process_date, target_root),
     ]
-
-
-def reshape_only(df: DataFrame, l0: TableContract, l1: TableContract) -> DataFrame:
-    return reshape(df, l0, l1)

@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
+    # Plans are built from many Column calls; per-call stack capture for
+    # error context costs more than the build itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
