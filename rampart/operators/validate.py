@@ -215,9 +215,11 @@ def _join_key_stats(out: DataFrame, base: DataFrame, keys: tuple[str, ...], j: i
 
 def _measured(stats: DataFrame, aliases: list[str]) -> DataFrame:
     """Materialise the repeated-key table once (one job that also measures
-    it) and broadcast it only if its row count and key bytes are bounded;
-    otherwise the join shuffles.  The table is small and deterministic, so a
-    lost cached block is simply recomputed from its lineage."""
+    it) and broadcast it only if its row count and key bytes are bounded.
+    A table over the bound is written as Parquet to the shared folder (no
+    executor memory pinned, survives lost executors) and joined by shuffle."""
+    from ..session import scratch_path
+
     stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     width = [F.coalesce(F.octet_length(F.col(a).cast("string")), F.lit(0)) for a in aliases]
     row = stats.agg(F.count(F.lit(1)).alias("n"),
@@ -225,7 +227,10 @@ def _measured(stats: DataFrame, aliases: list[str]) -> DataFrame:
     n, size = int(row["n"] or 0), int(row["b"] or 0)
     if n <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES:
         return F.broadcast(stats)
-    return stats
+    path = scratch_path(stats.sparkSession, "key-stats")
+    stats.write.parquet(path)
+    stats.unpersist()
+    return stats.sparkSession.read.parquet(path)
 
 
 def check_rules(df: DataFrame, rules: list[RuleSpec], order_by: list[str] | None = None) -> DataFrame:

@@ -65,7 +65,8 @@ def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base:
             copy_to_quarantine(spark, r["file_path"], dst)
     if rejected and (on_reject == "raise" or not accepted):
         raise ValidationError(rejected[0]["reason"])
-    df = read_table(spark, accepted, rcv.format("rcv"), contract=rcv, index=True)
+    df = read_table(spark, accepted, rcv.format("rcv"), contract=rcv, index=True,
+                    multiline=bool(rcv.raw.get("multiline", False)))
     out = align(apply_transforms(df, rcv, run_ts=run_ts, source_file=src), l0)
     dst = layer_path(base, l0, "l0", process_date, rcv.format("l0"))
     write_table(out, dst, rcv.format("l0"))
@@ -86,7 +87,8 @@ def l0_to_l1(spark: SparkSession, l0: TableContract, l1: TableContract, base: st
     """
     src = layer_path(base, l0, "l0", process_date, l0.format("l0"))
     df = read_table(spark, src, l0.format("l0"), contract=l0, index=True,
-                    flag_malformed=l0.format("l0") == "csv")
+                    flag_malformed=l0.format("l0") == "csv",
+                    multiline=bool(l0.raw.get("multiline", False)))
     checked, obs = observe_counts(validate(df, l0, order_by=order_by))
     staged = None
     if materialize == "staged":

@@ -61,3 +61,15 @@ def test_hot_and_null_keys(spark, monkeypatch, path):
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     else:
         assert "SortMergeJoin" not in plan
+
+
+def test_large_key_table_goes_through_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(V, "MAX_BROADCAST_ROWS", 10)
+    df = _data(spark)
+    rules = [RuleSpec("duplicate", ("k",))]
+    checked = validate(df, None, rules=rules, whole_row_duplicate=False, check_datatypes=False,
+                       materialize=True)
+    got = {r["_source_index"]: r["error_message"] for r in error_message(checked).collect()}
+    pdf = df.toPandas().sort_values("_source_index")
+    dup = pdf.duplicated(subset=["k"], keep="first")
+    assert got == {i: ("duplicate(k)" if d else None) for i, d in zip(pdf["_source_index"], dup)}

@@ -141,3 +141,10 @@ def test_malformed_rows_flagged(spark, tmp_dir):
     bad = {r["_source_index"] for r in checked.where(F.exists("_errors", lambda e: e["rule"] == "malformed"))
            .select("_source_index").collect()}
     assert bad == {1, 2}
+
+
+def test_multiline_csv(spark, tmp_dir):
+    _write(f"{tmp_dir}/ml.csv", b'id,name\n1,"two\nlines"\n2,Bo\n')
+    df = read_table(spark, f"{tmp_dir}/ml.csv", "csv", contract=CONTRACT, index=True, multiline=True)
+    rows = sorted((r["_source_index"], r["name"]) for r in df.collect())
+    assert rows == [(0, "two\nlines"), (1, "Bo")]
