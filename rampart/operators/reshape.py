@@ -30,7 +30,8 @@ def add_lineage(df: DataFrame, rules, run_ts: _dt.datetime, source_file: str | N
     for r in rules:
         name = r["name"] if isinstance(r, dict) else r
         if name == "process_date":
-            new[name] = F.lit(run_ts).cast("timestamp_ntz")
+            # From text: a datetime literal would pass through local time zones.
+            new[name] = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
         elif name == "source_file":
             if "_source_file" in df.columns:
                 new[name] = F.col("_source_file")

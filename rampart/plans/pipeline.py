@@ -132,14 +132,39 @@ def run_stage(stage: str, fn, *args, **kw):
 
 def run_table(spark: SparkSession, table: str, base: str, process_date, target_root: str, *,
               run_ts: _dt.datetime, config_root: str = CONFIG_ROOT,
-              on_reject: str = "raise") -> list[StageResult]:
-    """Full chain rcv -> l0 -> l1 -> serving table for one table and date."""
+              on_reject: str = "raise", ledger_path: str | None = None,
+              run_id: str | None = None) -> list[StageResult]:
+    """Full chain rcv -> l0 -> l1 -> serving table for one table and date.
+
+    With ``ledger_path`` each stage appends RUNNING, then SUCCESS (with its
+    record counts) or FAILED (with the stage error) to the run ledger.
+    """
+    from . import ledger
+
     rcv = load_contract(config_root, "rcv", table)
     l0 = load_contract(config_root, "l0", table)
     l1 = load_contract(config_root, "l1", table)
-    return [
-        run_stage("rcv_to_l0", rcv_to_l0, spark, rcv, l0, base, process_date, run_ts,
-                  on_reject=on_reject),
-        run_stage("l0_to_l1", l0_to_l1, spark, l0, l1, base, process_date),
-        run_stage("l1_to_database", l1_to_target, spark, l1, base, process_date, target_root),
+    run_id = run_id or f"{table}-{run_ts:%Y%m%dT%H%M%S}"
+    stages = [
+        ("rcv_to_l0", rcv_to_l0, (spark, rcv, l0, base, process_date, run_ts), {"on_reject": on_reject}),
+        ("l0_to_l1", l0_to_l1, (spark, l0, l1, base, process_date), {}),
+        ("l1_to_database", l1_to_target, (spark, l1, base, process_date, target_root), {}),
     ]
+    out = []
+    for name, fn, args, kw in stages:
+        started = _dt.datetime.now()
+        if ledger_path:
+            ledger.record(spark, ledger_path, table, run_id, name, "RUNNING", started, source=base)
+        try:
+            res = run_stage(name, fn, *args, **kw)
+        except StageError as exc:
+            if ledger_path:
+                ledger.record(spark, ledger_path, table, run_id, name, "FAILED", started,
+                              _dt.datetime.now(), source=base, error=str(exc))
+            raise
+        if ledger_path:
+            ledger.record(spark, ledger_path, table, run_id, name, "SUCCESS", started,
+                          _dt.datetime.now(), source=base,
+                          counts={"n_in": res.n_in, "n_valid": res.n_valid, "n_error": res.n_error})
+        out.append(res)
+    return out

@@ -89,3 +89,21 @@ def test_bad_header_is_quarantined(spark, tmp_dir):
         run_stage("rcv_to_l0", rcv_to_l0, spark, rcv, l0, tmp_dir, DATE, TS)
     q = layer_path(tmp_dir, rcv, "quarantine", DATE, "csv")
     assert open(q).read() == "name,id\nx,1\n"
+
+
+def test_ledger_tracks_stages(spark, lake, tmp_dir):
+    from rampart.plans import ledger
+
+    base = lake[0]
+    path = f"{tmp_dir}/ledger"
+    run_table(spark, "customers", base, DATE, f"{base}/serving", run_ts=TS, ledger_path=path, run_id="r1")
+    with pytest.raises(StageError):
+        run_table(spark, "customers", base, dt.date(2031, 1, 1), f"{base}/serving", run_ts=TS,
+                  ledger_path=path, run_id="r2")
+    events = spark.read.parquet(path)
+    assert events.where("run_id = 'r1' AND status = 'SUCCESS'").count() == 3
+    latest = {r["run_id"]: r for r in ledger.latest(events).collect()}
+    assert latest["r1"]["stage"] == "l1_to_database" and latest["r1"]["status"] == "SUCCESS"
+    assert latest["r2"]["status"] == "FAILED" and "File not found" in latest["r2"]["error"]
+    l0l1 = events.where("run_id = 'r1' AND stage = 'l0_to_l1' AND status = 'SUCCESS'").first()
+    assert l0l1["n_in"] == l0l1["n_valid"] + l0l1["n_error"]
