@@ -1,23 +1,27 @@
 """Load strategies onto a serving table kept as plain Parquet.
 
 A serving table is a folder of immutable data folders plus a ``_commits``
-folder; commit ``N`` is a small text file listing the data folders that make
-up version ``N``.  Readers take the highest commit, so a load becomes visible
-all at once and a failed load leaves the previous version untouched (on any
-store where creating a new file is atomic, object stores included).
+folder; commit ``N`` is a small text file listing the data folders (or single
+data files) that make up version ``N``.  Readers take the highest commit, so
+a load becomes visible all at once and a failed load leaves the previous
+version untouched (on any store where creating a new file is atomic, object
+stores included).
 
 * ``append_only``: writes only the incoming rows as a new data folder; a key
   already in the table (or repeated in the input) is an error, or is skipped
   with ``on_conflict="ignore"`` (left-anti on the key) so reruns are safe.
+* ``truncate_and_insert``: new version = the incoming rows only.
+* ``upsert``: copy-on-write at file granularity.  A semi join of the
+  target's key column against the incoming keys names the files that hold a
+  key being replaced; only those files are rewritten (their rows minus the
+  incoming keys), every other file is carried into the new version by
+  reference, and the incoming rows are added.  New keys touch no file.  The
+  incoming key must be unique.
 
 Constraint violations and key conflicts are counted by ``Observation``s on
 the data write itself; the version is committed only when both are zero, so a
 refused load leaves an unreferenced folder and the previous version live.
-* ``truncate_and_insert``: new version = the incoming rows only.
-* ``upsert``: new version = target rows whose key is not incoming
-  (left-anti join) + all incoming rows; the incoming key must be unique.
-
-Key checks read only the key columns (column pruning); the anti/semi joins
+Key checks read only the key columns (column pruning); the semi/anti joins
 shuffle on the key, or broadcast the incoming key set when AQE sees it small.
 """
 
@@ -93,6 +97,30 @@ def _write_folder(df: DataFrame, root: str, num_partitions: int | None) -> str:
     return name
 
 
+def _canonical(uri: str) -> str:
+    return "file:/" + uri[len("file:///"):] if uri.startswith("file:///") else uri
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    fs, p = hadoop_fs(spark, path)
+    return _canonical(str(fs.makeQualified(p).toUri())).rstrip("/")
+
+
+def _files_of(spark: SparkSession, root: str, entry: str) -> list[str]:
+    """Data files (relative to ``root``) behind one version entry."""
+    fs, p = hadoop_fs(spark, f"{root}/{entry}")
+    if not fs.getFileStatus(p).isDirectory():
+        return [entry]
+    qroot = _qualified(spark, root) + "/"
+    out, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        f = it.next()
+        name = f.getPath().getName()
+        if not name.startswith(("_", ".")):
+            out.append(_canonical(str(f.getPath().toUri()))[len(qroot):])
+    return out
+
+
 def create_target(spark: SparkSession, contract: TableContract, root: str) -> bool:
     """Create the empty table with the contract's columns and types if absent."""
     if table_exists(spark, root):
@@ -154,14 +182,17 @@ def merge_upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> Dat
 def prepare(incoming: DataFrame, contract: TableContract, check: bool = True):
     """Defaults for absent columns and alignment to the contract; with
     ``check``, constraint violations are counted by an ``Observation`` on
-    the write itself (no separate pass) and reported after it."""
+    the write itself (no separate pass) and reported after it.
+
+    Returns ``(rows, guard, aligned)``: the rows to write, the check state,
+    and the same rows without the observation (for key-only side jobs)."""
     df = align(apply_defaults(incoming, contract), contract)
     if not check:
-        return df, None
+        return df, None, df
     checked = constraint_check(df, contract)
     obs = Observation(f"constraints_{uuid.uuid4().hex[:8]}")
     observed = checked.observe(obs, F.count_if(F.size(ERRORS) > 0).alias("n_bad"))
-    return observed.select(*contract.column_names), (obs, checked)
+    return observed.select(*contract.column_names), (obs, checked), df
 
 
 def _raise_if_bad(guard, contract: TableContract) -> None:
@@ -192,11 +223,11 @@ def append(spark: SparkSession, incoming: DataFrame, contract: TableContract, ro
     keys = _keys(contract, keys)
     target = read_target(spark, root, contract)
     if on_conflict == "ignore":
-        df, guard = prepare(incoming, contract, check=False)
+        df, guard, _ = prepare(incoming, contract, check=False)
         df = merge_append(target, df.dropDuplicates(keys), keys, "ignore")
         name = _write_folder(df, root, _partitions(contract))
     else:
-        df, guard = prepare(incoming, contract, check=check)
+        df, guard, _ = prepare(incoming, contract, check=check)
         conflicts_seen = Observation(f"conflicts_{uuid.uuid4().hex[:8]}")
         flagged = _flag_conflicts(df, target, keys).observe(
             conflicts_seen, F.count_if(F.col("_conflict")).alias("n"))
@@ -214,7 +245,7 @@ def replace(spark: SparkSession, incoming: DataFrame, contract: TableContract, r
     commits = _commit_files(spark, root)
     if not commits:
         raise LoadError(f"There is no table ({contract.table_name})")
-    df, guard = prepare(incoming, contract, check=check)
+    df, guard, _ = prepare(incoming, contract, check=check)
     name = _write_folder(df, root, _partitions(contract))
     _raise_if_bad(guard, contract)
     _commit(spark, root, [name], commits[-1])
@@ -226,13 +257,34 @@ def upsert(spark: SparkSession, incoming: DataFrame, contract: TableContract, ro
     if not commits:
         raise LoadError(f"There is no table ({contract.table_name})")
     keys = _keys(contract, keys)
-    df, guard = prepare(incoming, contract, check=check)
-    if guard is None and not repeated_keys(df, keys).isEmpty():
+    df, guard, aligned = prepare(incoming, contract, check=check)
+    if guard is None and not repeated_keys(aligned, keys).isEmpty():
         raise LoadError(f"incoming rows repeat a key of {keys}; upsert needs one row per key")
+    entries = current_folders(spark, root)
+    incoming_keys = aligned.select(*keys)
+    # Files holding a key that is being replaced: one row per file reaches
+    # the driver (bounded by the table's file count).
     target = read_target(spark, root, contract)
-    name = _write_folder(merge_upsert(target, df, keys), root, _partitions(contract))
+    hit = {_canonical(r["_file"]) for r in
+           target.select(*keys, F.col("_metadata.file_path").alias("_file"))
+           .join(incoming_keys, keys, "left_semi").select("_file").distinct().collect()}
+    if hit:
+        rest = (spark.read.schema(contract.struct_type()).parquet(*sorted(hit))
+                .join(incoming_keys, keys, "left_anti"))
+        rows = rest.unionByName(df)
+    else:
+        rows = df
+    name = _write_folder(rows, root, _partitions(contract))
     _raise_if_bad(guard, contract)
-    _commit(spark, root, [name], commits[-1])
+    qroot = _qualified(spark, root)
+    kept: list[str] = []
+    for entry in entries:
+        prefix = f"{qroot}/{entry}"
+        if not any(h == prefix or h.startswith(prefix + "/") for h in hit):
+            kept.append(entry)  # untouched: carried over by reference
+        else:
+            kept.extend(f for f in _files_of(spark, root, entry) if f"{qroot}/{f}" not in hit)
+    _commit(spark, root, kept + [name], commits[-1])
 
 
 def _partitions(contract: TableContract) -> int | None:

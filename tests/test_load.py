@@ -108,3 +108,19 @@ def test_defaults_only_for_absent_columns(spark):
     d = spark.createDataFrame([(1, None)], "k long, a string")
     r = apply_defaults(d, c).first()
     assert r["a"] is None and r["b"] == "y"
+
+
+def test_upsert_rewrites_only_touched_files(spark, tmp_dir):
+    root = f"{tmp_dir}/t"
+    L.create_target(spark, C, root)
+    L.append(spark, df(spark, [(i, f"a{i}") for i in range(0, 100)]).coalesce(1), C, root)
+    L.append(spark, df(spark, [(i, f"b{i}") for i in range(100, 200)]).coalesce(1), C, root)
+    before = L.current_folders(spark, root)
+    L.upsert(spark, df(spark, [(150, "new150"), (500, "new500")]), C, root)
+    after = L.current_folders(spark, root)
+    assert before[1] in after and before[2] not in after  # first load untouched
+    got = dict(L.read_target(spark, root, C).collect())
+    assert len(got) == 201 and got[150] == "new150" and got[500] == "new500" and got[5] == "a5"
+    L.upsert(spark, df(spark, [(900, "ins")]), C, root)  # insert only: no file rewritten
+    assert set(L.current_folders(spark, root)) >= set(after)
+    assert L.read_target(spark, root, C).count() == 202
