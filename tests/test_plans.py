@@ -40,3 +40,19 @@ def test_small_inputs_skip_measuring(spark):
 
     df = read_table(spark, f"{SF}/orders.parquet", "parquet", index=True)
     assert V._large_input(df) is False
+
+
+def test_load_key_probe_is_range_pruned(spark, tmp_dir):
+    from rampart import TableContract
+    from rampart.operators import load as L
+
+    c = TableContract.from_dict({"table_name": "t", "columns": [
+        {"name": "k", "type": "int", "primary_key": True}, {"name": "v", "type": "string"}]})
+    root = f"{tmp_dir}/t"
+    L.create_target(spark, c, root)
+    L.append(spark, spark.range(0, 1000).selectExpr("id as k", "'x' as v"), c, root)
+    target = L.read_target(spark, root, c)
+    probe = L._in_key_range(target, spark.createDataFrame([(10,), (20,)], "k long"), ["k"])
+    p = plan(probe)
+    assert "GreaterThanOrEqual(k,10)" in p and "LessThanOrEqual(k,20)" in p
+    assert probe.count() == 11
