@@ -1,10 +1,11 @@
 """File gates: judge a whole landing directory in one Spark job.
 
-One ``text`` scan of all non-empty files, grouped by file, yields the first
+One ``text`` scan of the landing paths, grouped by file, yields the first
 line, the count of non-blank lines and the count of lines that are not valid
 UTF-8 (partial aggregation: one row per task and file reaches the shuffle).
-The Hadoop listing adds existence and byte size (zero-byte files never reach
-a text scan).  The verdict is one row per expected file:
+The same scan's file index lists the files (zero-byte files are listed but
+produce no lines); expected paths that do not exist are reported as such.
+The verdict is one row per expected file:
 
     not_found   "File not found - {path}"                  (no quarantine)
     empty       "File empty - {path}"                       zero bytes / blank first line
@@ -27,9 +28,9 @@ from .files import MAX_BROADCAST_SPLITS, with_source_index
 VERDICT_SCHEMA = T.StructType([
     T.StructField("file_path", T.StringType(), False),
     T.StructField("exists", T.BooleanType(), False),
-    T.StructField("size", T.LongType(), True),
 ])
 
+
 # A comma that is not inside double quotes.
 _CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -39,26 +40,27 @@ def canonical_path(path: str) -> str:
     return "file:/" + path[len("file:///"):] if path.startswith("file:///") else path
 
 
-def list_files(spark: SparkSession, paths) -> list[tuple[str, bool, int | None]]:
-    """(qualified path, exists, size) for each expected file; a directory
-    expands to the data files below it (names starting ``_`` or ``.`` skipped)."""
-    out = []
+def _landing_text(spark: SparkSession, paths) -> tuple[DataFrame | None, list[str], list[str]]:
+    """(text scan of every data file under the existing paths, listed files,
+    missing paths).  Spark's own file index does the listing (in parallel on
+    the cluster for many folders); zero-byte files are listed but yield no
+    lines, which is how they are recognised."""
+    existing, missing = [], []
     for p in ([paths] if isinstance(paths, str) else paths):
         fs, hp = hadoop_fs(spark, p)
-        if not fs.exists(hp):
-            out.append((canonical_path(str(fs.makeQualified(hp).toUri())), False, None))
-            continue
-        st = fs.getFileStatus(hp)
-        if st.isDirectory():
-            it = fs.listFiles(hp, True)
-            while it.hasNext():
-                f = it.next()
-                name = f.getPath().getName()
-                if not name.startswith(("_", ".")):
-                    out.append((canonical_path(str(f.getPath().toUri())), True, int(f.getLen())))
-        else:
-            out.append((canonical_path(str(fs.makeQualified(hp).toUri())), True, int(st.getLen())))
-    return out
+        target = existing if fs.exists(hp) else missing
+        target.append(canonical_path(str(fs.makeQualified(hp).toUri())))
+    if not existing:
+        return None, [], missing
+    text = spark.read.option("recursiveFileLookup", "true").text(existing)
+    return text, [canonical_path(f) for f in text.inputFiles()], missing
+
+
+def list_files(spark: SparkSession, paths) -> list[tuple[str, bool]]:
+    """(file path, exists) for each expected file; folders expand to the
+    data files below them (names starting ``_`` or ``.`` skipped)."""
+    _, files, missing = _landing_text(spark, paths)
+    return [(f, True) for f in files] + [(m, False) for m in missing]
 
 
 def parse_header(line) -> "F.Column":
@@ -69,13 +71,13 @@ def parse_header(line) -> "F.Column":
         F.regexp_replace(F.trim(f), r'^"(.*)"$', "$1"), '""', '"'))
 
 
-def file_stats(spark: SparkSession, files: list[str]) -> DataFrame:
+def file_stats(text: DataFrame) -> DataFrame:
     """Per file: first line, non-blank lines, invalid-UTF-8 lines.
 
     One pass, no join: the first line is the row with the smallest row id
     inside the split that starts at byte 0 of the file.
     """
-    lines = spark.read.text(files).select(
+    lines = text.select(
         F.regexp_replace(F.col("_metadata.file_path"), "^file:///", "file:/").alias("file_path"),
         F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_mid"), "value")
@@ -83,7 +85,8 @@ def file_stats(spark: SparkSession, files: list[str]) -> DataFrame:
     return (lines.groupBy("file_path")
             .agg(F.min_by("value", first_split_id).alias("first_line"),
                  F.count_if(F.col("value").rlike(r"\S")).alias("n_nonblank"),
-                 F.count_if(~F.is_valid_utf8("value")).alias("n_bad_utf8")))
+                 F.count_if(~F.is_valid_utf8("value")).alias("n_bad_utf8"),
+                 F.count(F.lit(1)).alias("n_lines")))
 
 
 def judge_files(spark: SparkSession, paths, contract: TableContract | None = None, *,
@@ -91,18 +94,19 @@ def judge_files(spark: SparkSession, paths, contract: TableContract | None = Non
     """Verdict per expected file (see module doc); gates run in config order."""
     if checks is None:
         checks = contract.file_checks if contract is not None else ("validate_file",)
-    listing = list_files(spark, paths)
+    text, listed, missing = _landing_text(spark, paths)
+    listing = [(f, True) for f in listed] + [(m, False) for m in missing]
     files = spark.createDataFrame(listing, VERDICT_SCHEMA)
-    readable = [p for p, ok, size in listing if ok and size]
-    if readable:
-        stats = file_stats(spark, readable)
+    if text is not None:
+        stats = file_stats(text)
         if len(listing) <= MAX_BROADCAST_SPLITS:
-            files = F.broadcast(files)
+            files = F.broadcast(files)  # one row per file: bounded by the listing
         v = files.join(stats, "file_path", "left")
     else:
         v = files.select("*", F.lit(None).cast("string").alias("first_line"),
                          F.lit(None).cast("long").alias("n_nonblank"),
-                         F.lit(None).cast("long").alias("n_bad_utf8"))
+                         F.lit(None).cast("long").alias("n_bad_utf8"),
+                         F.lit(None).cast("long").alias("n_lines"))
     path = F.col("file_path")
     first = F.col("first_line")
     header = parse_header(first)
@@ -114,7 +118,7 @@ def judge_files(spark: SparkSession, paths, contract: TableContract | None = Non
     status = F.when(~F.col("exists"), F.lit("not_found"))
     reason = F.when(~F.col("exists"), F.concat(F.lit("File not found - "), path))
     if "validate_file" in checks:
-        empty = (F.col("size") == 0) | F.col("n_nonblank").isNull()
+        empty = F.col("n_lines").isNull()  # zero bytes: listed, but no lines
         blank_header = ~first.rlike(r"\S")
         status = (status.when(empty, "empty").when(F.col("n_bad_utf8") > 0, "unreadable")
                   .when(blank_header, "empty").when(F.col("n_nonblank") - 1 < 1, "header_only"))
@@ -129,7 +133,8 @@ def judge_files(spark: SparkSession, paths, contract: TableContract | None = Non
         reason = reason.when(bad, mismatch)
     status = status.otherwise("accepted")
     return v.select(
-        "file_path", "size", status.alias("status"), reason.alias("reason"),
+        "file_path", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), status.alias("status"),
+        reason.alias("reason"),
         (status.isin("accepted", "not_found") == F.lit(False)).alias("quarantine"))
 
 
@@ -139,7 +144,7 @@ def quarantine_lines(spark: SparkSession, verdicts: DataFrame) -> DataFrame:
     The verdict table has one row per file (a bound known from the listing),
     and the rejected paths are read directly, so only rejected bytes are scanned.
     """
-    rejected = [r["file_path"] for r in verdicts.where("quarantine AND size > 0")
+    rejected = [r["file_path"] for r in verdicts.where("quarantine AND n_lines > 0")
                 .select("file_path").collect()]
     schema = "file_path string, line_index bigint, line string, reason string"
     if not rejected:
