@@ -52,6 +52,7 @@ class ColumnSpec:
     unique: bool = False
     range: tuple[float, float] | None = None
     default: Any = _NO_DEFAULT
+    exact_decimal: bool = False
 
     @property
     def has_default(self) -> bool:
@@ -59,6 +60,10 @@ class ColumnSpec:
 
     @property
     def spark_type(self) -> T.DataType:
+        """Declared type; ``decimal`` is a double unless the contract opts in
+        to exact decimals and the column declares a precision."""
+        if self.exact_decimal and self.type == "decimal" and self.precision:
+            return T.DecimalType(int(self.precision), int(self.scale or 0))
         return spark_type(self.type, self.name)
 
 
@@ -135,7 +140,8 @@ class TableContract:
     def from_dict(cls, d: dict) -> "TableContract":
         if not isinstance(d, dict) or "table_name" not in d:
             raise ContractError("contract needs a table_name")
-        cols = tuple(_column(c) for c in d.get("columns", []) or [])
+        exact = bool(d.get("exact_decimal", False))
+        cols = tuple(_column(c, exact) for c in d.get("columns", []) or [])
         names = [c.name for c in cols]
         if len(set(names)) != len(names):
             raise ContractError(f"duplicate column names in {d['table_name']}: {names}")
@@ -195,7 +201,7 @@ def load_contract(config_root: str, layer: str, table: str) -> TableContract:
     return TableContract.from_yaml(path)
 
 
-def _column(c: dict) -> ColumnSpec:
+def _column(c: dict, exact_decimal: bool = False) -> ColumnSpec:
     if "name" not in c or "type" not in c:
         raise ContractError(f"column needs name and type: {c}")
     if str(c["type"]).lower() not in CAST_TYPES:
@@ -212,6 +218,7 @@ def _column(c: dict) -> ColumnSpec:
         not_null=bool(c.get("not_null", False)), primary_key=bool(c.get("primary_key", False)),
         unique=bool(c.get("unique", False)), range=rng,
         default=c["default"] if "default" in c else _NO_DEFAULT,
+        exact_decimal=exact_decimal,
     )
 
 

@@ -118,7 +118,9 @@ def align(df: DataFrame, target: TableContract, keep: tuple[str, ...] = ()) -> D
     types = {f.name: f.dataType for f in df.schema.fields}
     exprs = []
     for c in target.columns:
-        if c.name in types:
+        if c.name in types and c.spark_type.typeName() == "decimal":
+            exprs.append(F.col(c.name).try_cast(c.spark_type).alias(c.name))
+        elif c.name in types:
             exprs.append(cast_to(F.col(c.name), c.type, c.format, c.name, types[c.name]).alias(c.name))
         else:
             exprs.append(F.lit(None).cast(c.spark_type).alias(c.name))

@@ -40,12 +40,17 @@ class StageResult:
 
 
 def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base: str,
-              process_date, run_ts: _dt.datetime, *, on_reject: str = "raise") -> StageResult:
+              process_date, run_ts: _dt.datetime, *, on_reject: str = "raise",
+              raw_l0: bool = False) -> StageResult:
     """Gate the landing file(s), then lineage + alignment to the L0 contract.
 
     Rejected files are copied to the mirrored quarantine path; with
     ``on_reject="raise"`` (one file per table and date) the stage then fails
     with the gate's message, with ``"skip"`` the accepted files still load.
+    By default L0 values are converted to the declared types (an
+    unconvertible value becomes NULL and is later reported by ``not_null``);
+    ``raw_l0=True`` keeps the landing text so the audit shows the bad value
+    under ``datatype``.
     """
     src = layer_path(base, rcv, "rcv", process_date)
     verdicts = judge_files(spark, [src], rcv).cache()
@@ -67,7 +72,13 @@ def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base:
         raise ValidationError(rejected[0]["reason"])
     df = read_table(spark, accepted, rcv.format("rcv"), contract=rcv, index=True,
                     multiline=bool(rcv.raw.get("multiline", False)))
-    out = align(apply_transforms(df, rcv, run_ts=run_ts, source_file=src), l0)
+    target = l0
+    if raw_l0:
+        target = TableContract.from_dict({**l0.raw, "columns": [
+            {"name": c.name, "type": "string"} if c.name in rcv.column_names else
+            {"name": c.name, "type": c.type, **({"format": c.format} if c.format else {})}
+            for c in l0.columns]})
+    out = align(apply_transforms(df, rcv, run_ts=run_ts, source_file=src), target)
     dst = layer_path(base, l0, "l0", process_date, rcv.format("l0"))
     write_table(out, dst, rcv.format("l0"))
     return StageResult("rcv_to_l0", rcv.table_name, dst)

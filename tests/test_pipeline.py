@@ -107,3 +107,20 @@ def test_ledger_tracks_stages(spark, lake, tmp_dir):
     assert latest["r2"]["status"] == "FAILED" and "File not found" in latest["r2"]["error"]
     l0l1 = events.where("run_id = 'r1' AND stage = 'l0_to_l1' AND status = 'SUCCESS'").first()
     assert l0l1["n_in"] == l0l1["n_valid"] + l0l1["n_error"]
+
+
+def test_raw_l0_reports_datatype(spark, tmp_dir):
+    import os
+
+    rcv, l0, l1 = catalog._c("rcv", "customers"), catalog._c("l0", "customers"), catalog._c("l1", "customers")
+    src = layer_path(tmp_dir, rcv, "rcv", DATE, "csv")
+    os.makedirs(os.path.dirname(src), exist_ok=True)
+    with open(src, "w") as fh:
+        fh.write("id,name,birthday,address,kpi\nC1,Ngo Huy,13-05-1990,\"1 A, Hanoi\",50\n"
+                 "C2,Le An,1990-05-13,\"2 B, Hue\",abc\n")
+    for raw, expected in ((False, {"not_null(birthday)", "not_null(kpi)"}),
+                          (True, {"datatype(birthday)", "datatype(kpi)"})):
+        rcv_to_l0(spark, rcv, l0, tmp_dir, DATE, TS, raw_l0=raw)
+        l0_to_l1(spark, l0, l1, tmp_dir, DATE)
+        audit = read_table(spark, layer_path(tmp_dir, l0, "audit", DATE, "parquet"), "parquet")
+        assert {r["error_message"] for r in audit.collect()} == expected
