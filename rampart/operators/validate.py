@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -214,23 +213,23 @@ def _join_key_stats(out: DataFrame, base: DataFrame, keys: tuple[str, ...], j: i
 
 
 def _measured(stats: DataFrame, aliases: list[str]) -> DataFrame:
-    """Materialise the repeated-key table once (one job that also measures
-    it) and broadcast it only if its row count and key bytes are bounded.
-    A table over the bound is written as Parquet to the shared folder (no
-    executor memory pinned, survives lost executors) and joined by shuffle."""
+    """Write the repeated-key table once as Parquet to the shared folder
+    (durable, nothing pinned in executor memory), measure it from there, and
+    broadcast it only if its row count and key bytes are bounded; a larger
+    table is joined by shuffle."""
     from ..session import scratch_path
 
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = stats.sparkSession
+    path = scratch_path(spark, "key-stats")
+    stats.write.parquet(path)
+    stats = spark.read.parquet(path)
     width = [F.coalesce(F.octet_length(F.col(a).cast("string")), F.lit(0)) for a in aliases]
     row = stats.agg(F.count(F.lit(1)).alias("n"),
                     F.sum(reduce(lambda a, b: a + b, width) + F.lit(32)).alias("b")).first()
     n, size = int(row["n"] or 0), int(row["b"] or 0)
     if n <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES:
         return F.broadcast(stats)
-    path = scratch_path(stats.sparkSession, "key-stats")
-    stats.write.parquet(path)
-    stats.unpersist()
-    return stats.sparkSession.read.parquet(path)
+    return stats
 
 
 def check_rules(df: DataFrame, rules: list[RuleSpec], order_by: list[str] | None = None) -> DataFrame:
