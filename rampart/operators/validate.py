@@ -195,23 +195,38 @@ def _large_input(df: DataFrame) -> bool:
 
 def _join_key_stats(out: DataFrame, base: DataFrame, keys: tuple[str, ...], j: int,
                     need_first: bool, rank: Column, materialize: bool = True) -> DataFrame:
-    """Left-join per-key ``count`` / keep-first rank of repeated keys onto ``out``."""
+    """Left-join per-key ``count`` / keep-first rank of repeated keys onto ``out``.
+
+    With a plain long rank both come from one hash aggregate.  A struct rank
+    (explicit ``order_by``) needs a sort-based aggregate, so it runs only on
+    the rows whose key repeats: a hash aggregate finds those keys first.
+    """
     aliases = [f"_g{j}_k{i}" for i in range(len(keys))]
-    aggs = [F.count(F.lit(1)).alias(f"_g{j}_n")]
-    if need_first:
-        aggs.append(F.min(rank).alias(f"_g{j}_first"))
+    n_col, first_col = f"_g{j}_n", f"_g{j}_first"
+    grouped = base.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, aliases)])
+    cond = reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, aliases)])
+    struct_rank = need_first and isinstance(rank, Column) and _is_struct(base, rank)
+    if need_first and not struct_rank:
+        stats = grouped.agg(F.count(F.lit(1)).alias(n_col), F.min(rank).alias(first_col))
     else:
-        aggs.append(F.lit(None).alias(f"_g{j}_first"))
-    stats = (base.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, aliases)])
-             .agg(*aggs)
-             .where(F.col(f"_g{j}_n") > 1))
+        stats = grouped.agg(F.count(F.lit(1)).alias(n_col), F.lit(None).alias(first_col))
+    stats = stats.where(F.col(n_col) > 1)
+    if struct_rank:
+        repeated = stats.drop(first_col)
+        if materialize:
+            repeated = _measured(repeated, aliases)
+        stats = (base.join(repeated, cond, "inner")
+                 .groupBy(*aliases, n_col).agg(F.min(rank).alias(first_col)))
     if materialize:
         stats = _measured(stats, aliases)
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, aliases)])
     return out.join(stats, cond, "left").drop(*aliases)
 
 
+def _is_struct(df: DataFrame, rank: Column) -> bool:
+    return df.select(rank.alias("_r")).schema["_r"].dataType.typeName() == "struct"
+
+
 def _measured(stats: DataFrame, aliases: list[str]) -> DataFrame:
     """Write the repeated-key table once as Parquet to the shared folder
     (durable, nothing pinned in executor memory), measure it from there, and
