@@ -78,8 +78,7 @@ def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
         if per_file or len(files) <= 1:
             return marked.withColumnRenamed("_pos", INDEX)
         units = marked.groupBy(FILE).agg(F.count(F.lit(1)).alias("_cnt"))
-        before = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = units.select(FILE, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+        offsets = prefix_offsets(units, [FILE], "_cnt", len(files)).drop("_cnt")
         if len(files) <= MAX_BROADCAST_SPLITS:
             offsets = offsets.persist(StorageLevel.MEMORY_AND_DISK)
             offsets.count()
@@ -89,23 +88,50 @@ def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
     marked = df.select("*", F.col("_metadata.file_path").alias(FILE),
                        F.col("_metadata.file_block_start").alias("_blk"),
                        F.monotonically_increasing_id().alias("_mid"))
-    small = paths is not None and split_bound(spark, paths) <= MAX_BROADCAST_SPLITS
-    return dense_index(marked, df.columns, per_file=per_file, broadcast=small)
+    bound = split_bound(spark, paths) if paths is not None else None
+    small = bound is not None and bound <= MAX_BROADCAST_SPLITS
+    return dense_index(marked, df.columns, per_file=per_file, broadcast=small, n_hint=bound)
+
+
+def prefix_offsets(units: DataFrame, order: list[str], count_col: str,
+                   n_hint: int | None = None) -> DataFrame:
+    """``units`` + ``_off`` = sum of ``count_col`` over all units before each
+    one in ``order`` -- a distributed exclusive prefix sum.
+
+    Units are range-partitioned on ``order``; each partition sums locally
+    (a window per partition), and partition totals -- one row per partition
+    -- give each partition's base offset.  No task ever holds more than one
+    range partition of units.
+    """
+    parts = max(1, min(2048, (n_hint or 0) // 50_000 + 1))
+    ranged = units.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
+    local = (Window.partitionBy("_pid").orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding, -1))
+    within = ranged.withColumn("_loc", F.coalesce(F.sum(count_col).over(local), F.lit(0)))
+    totals = ranged.groupBy("_pid").agg(F.sum(count_col).alias("_tot"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("_pid", F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_base"))
+    return (within.join(F.broadcast(bases), "_pid")  # one row per range partition
+            .withColumn("_off", F.col("_base") + F.col("_loc"))
+            .drop("_pid", "_loc", "_base"))
 
 
 def dense_index(marked: DataFrame, columns: list[str], *, per_file: bool = False,
-                broadcast: bool = False) -> DataFrame:
+                broadcast: bool = False, n_hint: int | None = None) -> DataFrame:
     """Dense position from ``_source_file``, split start ``_blk`` and the
     in-split row id ``_mid``: rows per split and each split's first id are
     aggregated (one row per split), prefixed by a window over that small
     table in (file, split) order, and joined back."""
     splits = (marked.groupBy(FILE, "_blk")
               .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_mid0")))
-    # One row per split: bounded by files + bytes / maxPartitionBytes.
-    w = Window.partitionBy(FILE) if per_file else Window.partitionBy()
-    before = w.orderBy(FILE, "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(FILE, "_blk", "_mid0",
-                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    # One row per split (files + bytes / maxPartitionBytes of them).
+    if per_file:
+        before = (Window.partitionBy(FILE).orderBy("_blk")
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        offsets = splits.select(FILE, "_blk", "_mid0",
+                                F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    else:
+        offsets = prefix_offsets(splits, [FILE, "_blk"], "_cnt", n_hint).drop("_cnt")
     if broadcast:
         # Tiny and reused by every job over this scan: computed once.
         offsets = offsets.persist(StorageLevel.MEMORY_AND_DISK)

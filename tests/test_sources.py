@@ -148,3 +148,18 @@ def test_multiline_csv(spark, tmp_dir):
     df = read_table(spark, f"{tmp_dir}/ml.csv", "csv", contract=CONTRACT, index=True, multiline=True)
     rows = sorted((r["_source_index"], r["name"]) for r in df.collect())
     assert rows == [(0, "two\nlines"), (1, "Bo")]
+
+
+def test_prefix_offsets_many_partitions(spark):
+    from rampart.sources.files import prefix_offsets
+
+    units = spark.createDataFrame([(f"f{i % 7}", i, (i * 37) % 11 + 1) for i in range(3000)],
+                                  "_source_file string, _blk long, _cnt long").repartition(5)
+    got = prefix_offsets(units, ["_source_file", "_blk"], "_cnt", n_hint=600_000)
+    assert got.rdd.getNumPartitions() >= 1
+    rows = sorted(got.collect(), key=lambda r: (r["_source_file"], r["_blk"]))
+    running, expected = 0, []
+    for r in rows:
+        expected.append(running)
+        running += r["_cnt"]
+    assert [r["_off"] for r in rows] == expected
