@@ -141,18 +141,22 @@ def judge_files(spark: SparkSession, paths, contract: TableContract | None = Non
 def quarantine_lines(spark: SparkSession, verdicts: DataFrame) -> DataFrame:
     """Raw lines of every quarantined file with line index and reason.
 
-    The verdict table has one row per file (a bound known from the listing),
-    and the rejected paths are read directly, so only rejected bytes are scanned.
+    Only rejected files are read.  Their (path, reason) rows -- one per file,
+    a count known before the join -- are broadcast when under the bound.
     """
-    rejected = [r["file_path"] for r in verdicts.where("quarantine AND n_lines > 0")
-                .select("file_path").collect()]
+    rejected = [(r["file_path"], r["reason"]) for r in
+                verdicts.where("quarantine AND n_lines > 0").select("file_path", "reason").collect()]
     schema = "file_path string, line_index bigint, line string, reason string"
     if not rejected:
         return spark.createDataFrame([], schema)
-    lines = with_source_index(spark.read.text(rejected), "text", rejected, per_file=True)
-    return (lines.join(F.broadcast(verdicts.select("file_path", "reason")),
-                       F.regexp_replace(lines["_source_file"], "^file:///", "file:/") == F.col("file_path"))
-            .select("file_path", F.col("_source_index").alias("line_index"),
+    paths = [p for p, _ in rejected]
+    reasons = spark.createDataFrame(rejected, "file_path string, reason string")
+    if len(rejected) <= MAX_BROADCAST_SPLITS:
+        reasons = F.broadcast(reasons)
+    lines = with_source_index(spark.read.text(paths), "text", paths, per_file=True)
+    return (lines.join(reasons,
+                       F.regexp_replace(lines["_source_file"], "^file:///", "file:/") == reasons["file_path"])
+            .select(reasons["file_path"], F.col("_source_index").alias("line_index"),
                     F.col("value").alias("line"), "reason"))
 
 
