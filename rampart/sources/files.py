@@ -24,8 +24,10 @@ from ..contract import SUPPORTED_FORMATS, TableContract
 from ..operators.validate import CORRUPT, FILE, INDEX
 from ..session import hadoop_fs
 
-# Largest split table (rows) we broadcast.
+# Largest split table (rows) we broadcast, and units per task
+# in the prefix sum of offsets.
 MAX_BROADCAST_SPLITS = 200_000
+PREFIX_ROWS_PER_TASK = 50_000
 
 
 def _check_format(fmt: str) -> str:
@@ -101,9 +103,14 @@ def prefix_offsets(units: DataFrame, order: list[str], count_col: str,
     Units are range-partitioned on ``order``; each partition sums locally
     (a window per partition), and partition totals -- one row per partition
     -- give each partition's base offset.  No task ever holds more than one
-    range partition of units.
+    range partition of units.  When ``n_hint`` bounds the units below
+    ``PREFIX_ROWS_PER_TASK``, a single window does it in one task.
     """
-    parts = max(1, min(2048, (n_hint or 0) // 50_000 + 1))
+    if n_hint is not None and n_hint <= PREFIX_ROWS_PER_TASK:
+        # Proven small (bound known from the listing): one task suffices.
+        before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return units.withColumn("_off", F.coalesce(F.sum(count_col).over(before), F.lit(0)))
+    parts = max(2, min(2048, (n_hint or 10_000_000) // PREFIX_ROWS_PER_TASK + 1))
     ranged = units.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
     local = (Window.partitionBy("_pid").orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, -1))
