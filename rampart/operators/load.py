@@ -210,7 +210,14 @@ def _in_key_range(target: DataFrame, incoming_keys: DataFrame, keys: list[str])
 
     The bound is a pushed filter, so Parquet row-group min/max statistics
     skip every row group outside the range (clustered keys, e.g. increasing
-    ids, then read almost nothing); one small aggregate computes it."""
+    ids, then read almost nothing); one small aggregate computes it.  Small
+    targets (below the measuring threshold) are read whole instead."""
+    from ..sources.files import input_bytes
+    from .validate import MATERIALIZE_FROM_BYTES
+
+    size = input_bytes(target)
+    if size is not None and size < MATERIALIZE_FROM_BYTES:
+        return target
     k = keys[0]
     lo, hi = incoming_keys.agg(F.min(k), F.max(k)).first()
     if lo is None:
