@@ -92,6 +92,9 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
     schema = {f.name: f.dataType for f in base.schema.fields}
     cols = data_columns(base)
     ident = _identity(base)
+    unknown = [c for c in (order_by or []) if c not in schema]
+    if unknown:
+        raise ContractError(f"Columns not found: {unknown} in order_by")
     # Keep-first rank: a plain long (hash-aggregate friendly) unless the
     # caller orders by other columns, then a struct ending in the unique id.
     rank = (F.struct(*[F.col(c) for c in list(order_by)], F.col(ident)) if order_by

@@ -148,3 +148,16 @@ def test_missing_column_raises(spark):
     df = spark.createDataFrame([("1",)], "a string")
     with pytest.raises(ContractError):
         check_rules(df, [RuleSpec("not_null", ("zzz",))])
+
+
+def test_unknown_order_by_raises(spark):
+    df = spark.createDataFrame([("1",)], "a string")
+    with pytest.raises(ContractError, match="order_by"):
+        check_rules(df, [RuleSpec("duplicate", ("a",))], order_by=["nope"])
+
+
+def test_order_by_keeps_first_in_given_order(spark):
+    df = spark.createDataFrame([(0, "k", 3), (1, "k", 1), (2, "k", 2)], "_source_index long, a string, t int")
+    out = check_rules(df, [RuleSpec("duplicate", ("a",))], order_by=["t"])
+    kept = [r["_source_index"] for r in out.where(F.size("_errors") == 0).collect()]
+    assert kept == [1]
