@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..contract import TableContract, load_contract
 from ..errors import StageError, ValidationError
@@ -70,8 +71,10 @@ def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base:
             copy_to_quarantine(spark, r["file_path"], dst)
     if rejected and (on_reject == "raise" or not accepted):
         raise ValidationError(rejected[0]["reason"])
-    df = read_table(spark, accepted, rcv.format("rcv"), contract=rcv, index=True,
+    # Only the file path is needed here (lineage); positions are taken at L0.
+    df = read_table(spark, accepted, rcv.format("rcv"), contract=rcv,
                     multiline=bool(rcv.raw.get("multiline", False)))
+    df = df.select("*", F.col("_metadata.file_path").alias("_source_file"))
     target = l0
     if raw_l0:
         target = TableContract.from_dict({**l0.raw, "columns": [
