@@ -1,10 +1 @@
-from .constraints import apply_defaults, constraint_check
-from .load import append, create_target, load, read_target, replace, upsert
-from .reshape import align, apply_transforms, register_transform, reshape
-from .routing import count_audit, error_summary, render_audit, route_errors, route_valid, split
-from .validate import check_rules, validate
-
-__all__ = ["apply_defaults", "constraint_check", "append", "create_target", "load", "read_target",
-           "replace", "upsert", "align", "apply_transforms", "register_transform", "reshape",
-           "count_audit", "error_summary", "render_audit", "route_errors", "route_valid", "split",
-           "check_rules", "validate"]
+"""DataFrame -> DataFrame operators (validate, routing, reshape, constraints, load)."""
