@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CACHE_ENTRIES = 700_000  # in each worker
 
@@ -237,10 +238,10 @@ def _with(df: DataFrame, names: list[tuple[str, str]], run) -> DataFrame:
     clash = {n for n, _ in names} & set(df.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already; choose other names")
-    ddl = df.schema
+    out = T.StructType(list(df.schema.fields))
     for n, t in names:
-        ddl = ddl.add(n, t)
-    return df.mapInArrow(run, ddl)
+        out.add(n, t)
+    return df.mapInArrow(run, out)
 
 
 def bpe_encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:

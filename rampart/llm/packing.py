@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rampart.llm.bpe import bpe_encode
 from rampart.llm.common import materialize
@@ -200,7 +201,7 @@ def best_fit_pack(items: DataFrame, capacity: int, length_col: str = "length", o
             yield pa.RecordBatch.from_arrays([*cols, pa.array(seq[at] + k, pa.int64()), pa.array(off[at] + within * n, pa.int64())],
                                              schema=pa.schema([*fields, ("sequence_id", pa.int64()), ("offset", pa.int64())]))
 
-    return ranked.mapInArrow(place, items.schema.add("sequence_id", "long").add("offset", "long"))
+    return ranked.mapInArrow(place, T.StructType(list(items.schema.fields)).add("sequence_id", "long").add("offset", "long"))
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
