@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from rampart.llm.bpe import bpe_encode
 from rampart.llm.common import materialize
 
-GROUPS = 24
+GROUPS = 64
 ROWS_A_GROUP = 20_000  # aimed at, in a (length, salt) group
 
 
