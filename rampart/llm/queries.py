@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rampart.llm import bpe, packing
+from rampart.llm import bpe, packing, simhash
 
-CONTEXT = 2048
+CONTEXT = 2048  # tokens of a packed sequence
+SHINGLE, BITS = 3, 3  # words of a shingle, differing bits of linked fingerprints
 
 
 def tokenizer_path() -> str:
@@ -25,10 +26,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_groups(_table(spark, sf_dir, "documents"), SHINGLE, BITS)
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), CONTEXT)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op9_simhash, op10_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
