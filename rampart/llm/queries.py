@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rampart.llm import bpe, packing, simhash
+from rampart.llm import bpe, langid, packing, simhash, toxicity
+from rampart.llm.common import held_out
 
 CONTEXT = 2048  # tokens of a packed sequence
+TOXIC = 0.7  # from this score on a text counts as toxic
 SHINGLE, BITS = 3, 3  # words of a shingle, differing bits of linked fingerprints
 
 
@@ -26,6 +29,21 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out("doc_id", 4, 2)
+    model = langid.train(docs, where=~out & F.col("doc_id").isNotNull())
+    return langid.identify(docs.select("doc_id", "text", out.alias("held_out")), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out("doc_id", 3, 1)
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), where=~out & F.col("doc_id").isNotNull())
+    found = toxicity.score(docs.select("doc_id", "text", out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= TOXIC).cast("int").alias("predicted"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_groups(_table(spark, sf_dir, "documents"), SHINGLE, BITS)
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
@@ -35,6 +53,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), CONTEXT)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op9_simhash, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op5_language_id, op7_toxicity, op9_simhash, op10_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
