@@ -23,9 +23,9 @@ from pyspark.sql import types as T
 
 LABELLED = 50_000   # about so many distinct labelled texts fit the word scores, the first by hash
 LEXICON = 20_000    # words with a score, the most frequent ones in toxic texts
-LEAST_TEXTS = 5     # toxic texts that a word must occur in
+LEAST_TEXTS, LEAST_SHARE = 5, 0.005  # of the toxic texts, that a word must occur in
 LEAST_SCORE = 0.6
-PRIOR_TEXTS = 10.0
+PRIOR_TEXTS = 4.0
 CACHE_ENTRIES = 400_000
 
 # ---- channel -----------------------------------------------------------------
@@ -243,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     prior = float(toxic) / n
     score = (F.col("toxic") + PRIOR_TEXTS * prior) / (F.col("toxic") + F.col("clean") + PRIOR_TEXTS)
     words = (rows.mapInArrow(count, "w string, clean long, toxic long").groupBy("w").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-             .filter(F.col("toxic") >= LEAST_TEXTS).select("w", "toxic", score.alias("p")).filter(F.col("p") >= LEAST_SCORE)
+             .filter(F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * float(toxic))).select("w", "toxic", score.alias("p")).filter(F.col("p") >= LEAST_SCORE)
              .orderBy(F.desc("toxic"), "w").limit(LEXICON))
     return {"characters": characters, "lexicon": {r["w"]: r["p"] for r in words.collect()}, "prior": prior}
 
