@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rampart.llm import bpe, langid, packing, simhash, toxicity
+from rampart.llm import ann, bpe, langid, packing, simhash, topk, toxicity
 from rampart.llm.common import held_out
 
 CONTEXT = 2048  # tokens of a packed sequence
@@ -29,6 +29,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+def op6_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = held_out("doc_id", 4, 2)
@@ -53,6 +61,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), CONTEXT)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op5_language_id, op7_toxicity, op9_simhash, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_nearest_neighbours, op5_language_id, op6_top_inner_products, op7_toxicity, op9_simhash, op10_best_fit_packing)}
 
-ORACLE_SQL: dict[str, str] = {}
+#: op6: every score by plain arithmetic.
+ORACLE_SQL: dict[str, str] = {
+    "op6_top_inner_products": """
+        WITH v AS (SELECT DISTINCT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w
+                   FROM embeddings
+                   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum([q.w[i] * c.w[i] FOR i IN range(1, len(q.w) + 1)]) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w) WHERE q.vec_id % 20 = 0),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
