@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,3 +130,119 @@ def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
 
 def out_id(i) -> int | None:
     return None if i == NO_ID else int(i)
+
+
+# ---- exchanges ------------------------------------------------------------------
+#
+# Blocks ask shards about their keys and get an answer for each ask: packed arrays
+# in one row for each block and shard.
+
+ASK_SCHEMA = "shard int, block long, blob binary"
+ASK_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("blob", pa.binary())])
+
+
+def asks(block: int, shard: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
+    """One row for each shard: its entries (a structured array) in their order."""
+    order = np.argsort(shard, kind="stable")
+    found, start = np.unique(shard[order], return_index=True)
+    ends = np.r_[start[1:], len(order)]
+    blobs = [entries[order[a:b]].tobytes() for a, b in zip(start, ends)]
+    return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(np.full(len(found), block, np.int64)), pa.array(blobs, pa.binary())], schema=ASK_ARROW)
+
+
+def answered(ask_rows: DataFrame, dtype: np.dtype, answer) -> DataFrame:
+    """Rows (shard, block, blob): ``answer(entries)`` of all entries of a shard,
+    an array with one item for each entry, dealt back to the blocks."""
+
+    def solve(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        blobs = table.column("blob").to_pylist()
+        got = answer(np.frombuffer(b"".join(blobs), dtype))
+        ends = np.cumsum([len(b) // dtype.itemsize for b in blobs])
+        out = [got[a:b].tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends)]
+        return pa.Table.from_arrays([table.column("shard"), table.column("block"), pa.array(out, pa.binary())], schema=ASK_ARROW)
+
+    return ask_rows.groupBy("shard").applyInArrow(solve, ASK_SCHEMA)
+
+
+def with_answers(blocks: DataFrame, **answers: DataFrame) -> DataFrame:
+    """Blocks with each table of answers as a list column of that name."""
+    for name, rows in answers.items():
+        got = rows.groupBy(F.col("block").alias("_block")).agg(F.collect_list(F.struct("shard", "blob")).alias(name))
+        blocks = blocks.join(got, F.col("block") == F.col("_block"), "left").drop("_block")
+    return blocks
+
+
+def scatter(shard: np.ndarray, got: list[dict] | None, dtype) -> np.ndarray:
+    """The answers in the order of the block's own entries."""
+    out = np.zeros(len(shard), dtype)
+    order = np.argsort(shard, kind="stable")
+    found, start = np.unique(shard[order], return_index=True)
+    ends = dict(zip(found.tolist(), zip(start.tolist(), np.r_[start[1:], len(order)].tolist())))
+    for g in got or []:
+        a, b = ends[g["shard"]]
+        out[order[a:b]] = np.frombuffer(g["blob"], dtype)
+    return out
+
+
+# ---- hashes of sequences ----------------------------------------------------------
+
+BASE = 0x9E3779B97F4A7C15  # odd, so that powers have an inverse modulo 2**64
+
+
+class WordHashes(dict):
+    """64-bit hash of a word, kept for the worker's most recent words."""
+
+    LIMIT = 500_000
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = out = xxhash.xxh64_intdigest(word)
+        return out
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.LIMIT:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ x >> np.uint64(29)
+
+
+class RangeHashes:
+    """Hashes of any ranges of a sequence of numbers, by prefix sums modulo 2**64."""
+
+    def __init__(self, units: np.ndarray):
+        n = len(units)
+        up = np.full(n, BASE, np.uint64)
+        down = np.full(n + 1, pow(BASE, -1, 2**64), np.uint64)
+        up[:1] = down[:1] = 1
+        self.down = np.multiply.accumulate(down)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(mix(units + np.uint64(1)) * np.multiply.accumulate(up), out=self.sums[1:])
+
+    def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return mix((self.sums[last] - self.sums[first]) * self.down[first])
+
+
+def anchors(grams: np.ndarray, starts: np.ndarray, window: int, gram: int, length: int) -> np.ndarray:
+    """Winnowing: the places of the least gram of every stretch of ``window`` grams
+    (the rightmost of equal ones) that lies within a document long enough for a
+    ``length``-unit string. ``grams[i]`` is the hash of units i to i + gram;
+    ``starts`` are the documents' first units and, at last, the end."""
+    n = int(starts[-1])
+    if n < length:
+        return np.zeros(0, np.int64)
+    value, place = grams.copy(), np.arange(len(grams))
+    span = 1
+    while span < window:
+        step = min(span, window - span)
+        m = len(value) - step
+        right = value[step:] <= value[:m]
+        value, place = np.where(right, value[step:], value[:m]), np.where(right, place[step:], place[:m])
+        span += step
+    last = np.repeat(starts[1:], np.diff(starts))[: n - length + 1] - length  # the last start within each document
+    good = np.arange(n - length + 1) <= last
+    return np.unique(place[: n - length + 1][good])

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rampart.llm import ann, bpe, langid, packing, simhash, topk, toxicity
+from rampart.llm import ann, bpe, langid, packing, simhash, substring_dedup, topk, toxicity
 from rampart.llm.common import held_out
 
 CONTEXT = 2048  # tokens of a packed sequence
 TOXIC = 0.7  # from this score on a text counts as toxic
+REPEAT_WORDS = 50  # words of a passage that must not repeat
 SHINGLE, BITS = 3, 3  # words of a shingle, differing bits of linked fingerprints
 
 
@@ -52,6 +53,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= TOXIC).cast("int").alias("predicted"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), REPEAT_WORDS)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_groups(_table(spark, sf_dir, "documents"), SHINGLE, BITS)
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
@@ -61,14 +67,25 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), CONTEXT)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_nearest_neighbours, op5_language_id, op6_top_inner_products, op7_toxicity, op9_simhash, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_nearest_neighbours, op5_language_id, op6_top_inner_products, op7_toxicity, op8_substring_dedup, op9_simhash, op10_best_fit_packing)}
 
-#: op6: every score by plain arithmetic.
+#: op6: every score by plain arithmetic. op8: every window of 50 words, joined, against its smallest document.
 ORACLE_SQL: dict[str, str] = {
+    "op8_substring_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                          [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents),
+        win AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+        least AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h),
+        gone AS (SELECT DISTINCT r, j FROM (SELECT r, unnest(range(i, i + 50)) AS j FROM win JOIN least USING (h) WHERE m < doc_id)),
+        words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+        kept AS (SELECT r, string_agg(word, ' ' ORDER BY j) AS t, count(*) AS n FROM words ANTI JOIN gone USING (r, j) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)""",
     "op6_top_inner_products": """
         WITH v AS (SELECT DISTINCT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w
                    FROM embeddings
-                   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
         s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum([q.w[i] * c.w[i] FOR i IN range(1, len(q.w) + 1)]) AS BIGINT) AS score
               FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w) WHERE q.vec_id % 20 = 0),
         r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
