@@ -227,15 +227,16 @@ class RangeHashes:
         return mix((self.sums[last] - self.sums[first]) * self.down[first])
 
 
-def anchors(grams: np.ndarray, starts: np.ndarray, window: int, gram: int, length: int) -> np.ndarray:
-    """Winnowing: the places of the least gram of every stretch of ``window`` grams
-    (the rightmost of equal ones) that lies within a document long enough for a
-    ``length``-unit string. ``grams[i]`` is the hash of units i to i + gram;
-    ``starts`` are the documents' first units and, at last, the end."""
+def selected(grams: np.ndarray, starts: np.ndarray, window: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Winnowing: for every ``length``-unit string within a document, the place of
+    the least of its ``window`` grams (the rightmost of equal ones), and the
+    string's start. ``grams[i]`` belongs to the gram that starts at unit i;
+    ``starts`` are the documents' first units and, at last, the end. Equal
+    strings select the same gram."""
     n = int(starts[-1])
     if n < length:
-        return np.zeros(0, np.int64)
-    value, place = grams.copy(), np.arange(len(grams))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    value, place = grams, np.arange(len(grams), dtype=np.int32)
     span = 1
     while span < window:
         step = min(span, window - span)
@@ -244,5 +245,15 @@ def anchors(grams: np.ndarray, starts: np.ndarray, window: int, gram: int, lengt
         value, place = np.where(right, value[step:], value[:m]), np.where(right, place[step:], place[:m])
         span += step
     last = np.repeat(starts[1:], np.diff(starts))[: n - length + 1] - length  # the last start within each document
-    good = np.arange(n - length + 1) <= last
-    return np.unique(place[: n - length + 1][good])
+    good = np.flatnonzero(np.arange(n - length + 1) <= last)
+    return place[good].astype(np.int64), good
+
+
+def row_hashes(rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of each row of bytes, its size included."""
+    table = mix(np.arange(1, 257, dtype=np.uint64))
+    powers = np.multiply.accumulate(np.full(rows.shape[1], BASE, np.uint64))
+    out = mix(sizes.astype(np.uint64) + np.uint64(257))
+    for k in range(0, len(rows), 32768):
+        out[k:k + 32768] ^= mix((table[rows[k:k + 32768]] * powers).sum(1, dtype=np.uint64))
+    return mix(out)
