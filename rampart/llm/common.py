@@ -152,7 +152,8 @@ def asks(block: int, shard: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
 
 def answered(ask_rows: DataFrame, dtype: np.dtype, answer) -> DataFrame:
     """Rows (shard, block, blob): ``answer(entries)`` of all entries of a shard,
-    an array with one item for each entry, dealt back to the blocks."""
+    an array with one item for each entry, dealt back to the blocks. A shard
+    holds what hashes to it, about one of shards() parts of all entries."""
 
     def solve(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")

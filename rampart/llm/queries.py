@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rampart.llm import ann, bpe, langid, packing, simhash, substring_dedup, suffix_dedup, topk, toxicity
+from rampart.llm import ann, bpe, langid, lm, packing, simhash, substring_dedup, suffix_dedup, topk, toxicity
 from rampart.llm.common import held_out
 
 CONTEXT = 2048  # tokens of a packed sequence
@@ -39,6 +39,11 @@ def op6_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 7, 2).alias("held_out"))
+    return lm.score(docs, tokenizer_path(), "held_out")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), REPEAT_BYTES)
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -73,7 +78,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), CONTEXT)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_nearest_neighbours, op4_suffix_dedup, op5_language_id, op6_top_inner_products, op7_toxicity, op8_substring_dedup, op9_simhash, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_nearest_neighbours, op3_lm_scoring, op4_suffix_dedup, op5_language_id, op6_top_inner_products, op7_toxicity, op8_substring_dedup, op9_simhash, op10_best_fit_packing)}
 
 #: op6: every score by plain arithmetic. op8: every window of 50 words, joined, against its smallest document.
 ORACLE_SQL: dict[str, str] = {
