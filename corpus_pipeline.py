@@ -1,14 +1,49 @@
-"""The training-data pipeline over ``documents``: STAGES in order, each written and read again."""
+"""The training-data pipeline over ``documents``: STAGES in order, each written and read again.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the
+last return the columns of ``documents``. Null texts are no language, so the first
+stage drops them; equal rows are near-duplicates of each other, so the third keeps one
+id's; a row with a null doc_id can't be told from others and counts as a copy of what it
+equals.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rampart.llm import packing
+from rampart.llm import langid, packing, simhash, substring_dedup, toxicity
 from rampart.llm.common import materialize
-from rampart.llm.queries import CONTEXT, tokenizer_path
+from rampart.llm.queries import BITS, CONTEXT, REPEAT_WORDS, SHINGLE, TOXIC, tokenizer_path
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language; those without any lettered word go."""
+    model = langid.train(docs)
+    return langid.identify(docs, model).filter(F.col("lang_pred") != "und").select(docs.columns)
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is below TOXIC."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).filter(F.col("toxicity") < TOXIC).select(docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: that of the smallest id."""
+    groups = simhash.simhash_groups(docs, SHINGLE, BITS)
+    keep = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+
+
+def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages that a document of a smaller id has."""
+    shorter = substring_dedup.remove_repeats(docs, REPEAT_WORDS).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    text = F.coalesce("_text", "text")
+    return docs.join(shorter, F.col("doc_id") == F.col("_id"), "left") \
+        .withColumns({"text": text, "n_chars": F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long"))}).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,6 +52,10 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("toxicity", toxic),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("substring_dedup", substring_dedup_stage),
     ("best_fit_packing", best_fit_packing),
 ]
 
