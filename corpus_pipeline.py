@@ -1,10 +1,10 @@
 """The training-data pipeline over ``documents``: STAGES in order, each written and read again.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the
-last return the columns of ``documents``. Null texts are no language, so the first
-stage drops them; equal rows are near-duplicates of each other, so the third keeps one
-id's; a row with a null doc_id can't be told from others and counts as a copy of what it
-equals.
+last return the columns of ``documents``. Null and letterless texts have no language, so the
+first stage drops them. The third keeps one row of each group by its doc_id: rows that
+share an id count as one document, and rows without an id can't be named and go. A text
+that repeats passages throughout is empty after the fourth stage and stays as such.
 """
 
 from __future__ import annotations
@@ -40,10 +40,12 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that a document of a smaller id has."""
-    shorter = substring_dedup.remove_repeats(docs, REPEAT_WORDS).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    text = F.coalesce("_text", "text")
-    return docs.join(shorter, F.col("doc_id") == F.col("_id"), "left") \
-        .withColumns({"text": text, "n_chars": F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long"))}).select(docs.columns)
+    key = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    shorter = substring_dedup.remove_repeats(docs, REPEAT_WORDS).filter("n_removed > 0").select(*key, F.col("text").alias("_text")).dropDuplicates(["_id", "_hash"])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
+    cut = F.col("_text").isNotNull()
+    out = docs.join(shorter, same, "left").withColumn("n_chars", F.when(cut, F.length("_text").cast("long")).otherwise(F.col("n_chars")))
+    return out.withColumn("text", F.coalesce("_text", "text")).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,7 @@ class Seeds:
 
     def __init__(self, row: dict, hashes: WordHashes, length: int, gram: int, shard_count: int):
         self.ids, _, texts = common.unpack(row)
+        self.texts_hash = np.array([xxhash.xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64).tolist()
         self.words = [t.split() for t in texts]
         self.starts = np.cumsum([0, *map(len, self.words)])
         self.length, self.gram = length, gram
@@ -125,9 +127,10 @@ def repeated_words(seeds: Seeds, verdict: np.ndarray, flags: np.ndarray) -> np.n
 
 
 def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed, spans and text for every row: the text's words
-    without those in a window of ``length`` words that also starts in a document
-    of a smaller id; spans are the maximal removed runs (first, last word).
+    """doc_id, n_words, n_removed, spans, text and text_hash for every row: the text's
+    words without those in a window of ``length`` words that also starts in a document
+    of a smaller id; spans are the maximal removed runs (first, last word), and
+    text_hash is xxhash64 of the text as it was, to join rows of repeated ids.
 
     Words are what ASCII white space separates, kept ones are joined by one space.
     A null or empty text has none; a null id counts as larger than all; rows
@@ -169,7 +172,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
             wanted = np.flatnonzero(verdict == EXTEND)
             flags = common.scatter(s.shard[wanted], row["extensions"], np.dtype(("u1", reach + 1)))
             gone = repeated_words(s, verdict, flags.reshape(len(wanted), reach + 1))
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for k, words in enumerate(s.words):
                 drop = gone[s.starts[k]:s.starts[k + 1]]
                 edge = np.flatnonzero(np.diff(np.r_[False, drop, False].astype(np.int8)))
@@ -182,11 +185,12 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
                 out[2].append(int(drop.sum()))
                 out[3].append([{"first": a, "last": b - 1} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
                 out[4].append(b" ".join(kept).decode())
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "n_words", "n_removed", "spans", "text"])
+                out[5].append(s.texts_hash[k])
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "n_words", "n_removed", "spans", "text", "text_hash"])
 
     members = common.materialize(common.answered(blocks.mapInArrow(ask_members, common.ASK_SCHEMA), MEMBER, judge_members), "members")
     asked = common.with_answers(blocks, members=members).mapInArrow(ask_extensions, common.ASK_SCHEMA)
     extensions = common.materialize(common.answered(asked, member_rows, extend(length, gram)), "extensions")
     return common.with_answers(blocks, members=members, extensions=extensions).mapInArrow(
-        remove, "doc_id long, n_words long, n_removed long, spans array<struct<first:int,last:int>>, text string")
+        remove, "doc_id long, n_words long, n_removed long, spans array<struct<first:int,last:int>>, text string, text_hash long")
