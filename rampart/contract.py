@@ -187,16 +187,39 @@ class TableContract:
 
     @classmethod
     def from_yaml(cls, path: str) -> "TableContract":
+        """A contract file, local or on any Hadoop file system."""
         import yaml
 
+        return cls.from_dict(yaml.safe_load(_contract_text(path)))
+
+
+def _contract_text(path: str) -> str:
+    if "://" not in path:
         with open(path, encoding="utf-8") as fh:
-            return cls.from_dict(yaml.safe_load(fh))
+            return fh.read()
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        raise ContractError(f"A Spark session is needed to read {path}")
+    rows = spark.read.text(path, wholetext=True).collect()  # one small file
+    return rows[0][0] if rows else ""
 
 
 def load_contract(config_root: str, layer: str, table: str) -> TableContract:
-    """Contract lookup by (layer, table): ``{config_root}/{layer}/{table}.yaml``."""
-    path = os.path.join(config_root, layer, f"{table}.yaml")
-    if not os.path.exists(path):
+    """Contract lookup by (layer, table): ``{config_root}/{layer}/{table}.yaml``
+    in a local folder or on a Hadoop file system (a root with a scheme)."""
+    path = f"{config_root.rstrip('/')}/{layer}/{table}.yaml"
+    if "://" in path:
+        from pyspark.sql import SparkSession
+
+        from .session import exists
+
+        spark = SparkSession.getActiveSession()
+        found = spark is not None and exists(spark, path)
+    else:
+        found = os.path.exists(path)
+    if not found:
         raise ContractError(f"No contract for layer={layer} table={table} at {path}")
     return TableContract.from_yaml(path)
 

@@ -37,7 +37,9 @@ def _check(schema, spec: RuleSpec):
 R.ROW_RULES["_constraint"] = _check
 
 
-def constraint_rules(contract: TableContract) -> list[RuleSpec]:
+def constraint_rules(contract: TableContract, keys: list[str] | None = None) -> list[RuleSpec]:
+    """Rules of the declared constraints and of the load key: ``keys`` together
+    are unique, and so are the declared primary key's columns together."""
     out: list[RuleSpec] = []
     for c in contract.columns:
         def add(kind, **kw):
@@ -51,20 +53,24 @@ def constraint_rules(contract: TableContract) -> list[RuleSpec]:
             add("max_length", n=int(c.max_length))
         if db in ("NUMERIC", "DECIMAL") and c.precision:
             add("numeric", p=int(c.precision), s=int(c.scale or 0))
-    for c in contract.columns:
-        if c.primary_key or c.unique:
-            out.append(RuleSpec("unique", (c.name,)))
+    primary = tuple(c.name for c in contract.columns if c.primary_key)
+    alone = [(c.name,) for c in contract.columns if c.unique or (c.name,) == primary]
+    for key in dict.fromkeys([*alone, primary, tuple(keys or ())]):
+        if key:
+            out.append(RuleSpec("unique", key))
     return out
 
 
-def constraint_check(df: DataFrame, contract: TableContract) -> DataFrame:
+def constraint_check(df: DataFrame, contract: TableContract, keys: list[str] | None = None, *,
+                     only_keys: bool = False) -> DataFrame:
     """``df`` + ``_errors`` listing every constraint each row breaks.
 
-    Unique / primary-key breaches are reported as ``unique(col)`` on every
+    Unique / primary-key breaches are reported as ``unique(cols)`` on every
     row of a repeated key; NULL keys are reported by ``not_null``.
+    ``only_keys`` checks nothing but the uniqueness of ``keys``.
     """
-    return validate(df, None, rules=constraint_rules(contract),
-                    whole_row_duplicate=False, check_datatypes=False)
+    rules = [RuleSpec("unique", tuple(keys))] if only_keys else constraint_rules(contract, keys)
+    return validate(df, None, rules=rules, whole_row_duplicate=False, check_datatypes=False)
 
 
 def apply_defaults(df: DataFrame, contract: TableContract) -> DataFrame:

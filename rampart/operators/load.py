@@ -2,48 +2,53 @@
 
 A serving table is a folder of immutable data folders plus a ``_commits``
 folder; commit ``N`` is a small text file listing the data folders (or single
-data files) that make up version ``N``.  Readers take the highest commit, so
-a load becomes visible all at once and a failed load leaves the previous
-version untouched (on any store where creating a new file is atomic, object
-stores included).
+data files) that make up version ``N`` and an end mark.  It is written under
+another name and renamed, never over an existing one, so a load becomes visible
+all at once and a failed load leaves the previous version untouched; readers take
+the highest commit that has its end mark.
 
 * ``append_only``: writes only the incoming rows as a new data folder; a key
-  already in the table (or repeated in the input) is an error, or is skipped
-  with ``on_conflict="ignore"`` (left-anti on the key) so reruns are safe.
+  already in the table is an error, or its row is skipped with
+  ``on_conflict="ignore"`` (left-anti on the key) so reruns are safe.
 * ``truncate_and_insert``: new version = the incoming rows only.
 * ``upsert``: copy-on-write at file granularity.  A semi join of the
   target's key column against the incoming keys names the files that hold a
   key being replaced; only those files are rewritten (their rows minus the
   incoming keys), every other file is carried into the new version by
-  reference, and the incoming rows are added.  New keys touch no file.  The
-  incoming key must be unique.
-
-Constraint violations and key conflicts are counted by ``Observation``s on
-the data write itself; the version is committed only when both are zero, so a
-refused load leaves an unreferenced folder and the previous version live.
-Key checks read only the key columns (column pruning); the semi/anti joins
-shuffle on the key, or broadcast the incoming key set when AQE sees it small.
+  reference, and the incoming rows are added.  New keys touch no file.
+
+Incoming rows are checked first: the contract's constraints and that the load
+key, composite ones included, is unique.  The checked rows are written once to the
+shared folder, so the input is evaluated once.  Rows that break a constraint refuse the
+load, or go to ``rejects`` with their reasons while the others load.
+Key checks read only the key columns of the target (column pruning), within the
+incoming range of the first one (a pushed filter).
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import TableContract
 from ..errors import LoadError
-from ..session import hadoop_fs
+from ..session import hadoop_fs, plain_path, plain_path_col, scratch_scope, staged
 from .constraints import apply_defaults, constraint_check, violations_summary
 from .reshape import align
+from .routing import render_audit
 from .validate import ERRORS
 
 COMMITS = "_commits"
 
 
 # ---------------------------------------------------------------- storage
+END_MARK = "#end"
+
+
 def _commit_files(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of all commit files, complete or not."""
     fs, p = hadoop_fs(spark, f"{root}/{COMMITS}")
     if not fs.exists(p):
         return []
@@ -66,27 +71,38 @@ def _read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def _latest(spark: SparkSession, root: str) -> tuple[int, list[str]] | None:
+    """(number of the last commit file, entries of the last complete one)."""
+    numbers = _commit_files(spark, root)
+    for n in reversed(numbers):
+        lines = [x for x in _read_text(spark, f"{root}/{COMMITS}/{n:020d}").splitlines() if x.strip()]
+        if lines and lines[-1] == END_MARK:
+            return numbers[-1], lines[:-1]
+    return None
+
+
 def table_exists(spark: SparkSession, root: str) -> bool:
-    return bool(_commit_files(spark, root))
+    return _latest(spark, root) is not None
 
 
 def current_folders(spark: SparkSession, root: str) -> list[str]:
-    commits = _commit_files(spark, root)
-    if not commits:
-        return []
-    body = _read_text(spark, f"{root}/{COMMITS}/{commits[-1]:020d}")
-    return [line for line in body.splitlines() if line.strip()]
+    found = _latest(spark, root)
+    return found[1] if found else []
 
 
 def _commit(spark: SparkSession, root: str, folders: list[str], expected: int | None) -> None:
     """Publish a version; fails if another load committed in between."""
-    nxt = (expected or 0) + 1
-    fs, p = hadoop_fs(spark, f"{root}/{COMMITS}/{nxt:020d}")
-    out = fs.create(p, False)  # create-if-absent: the commit point
+    final = f"{root}/{COMMITS}/{(expected or 0) + 1:020d}"
+    fs, p = hadoop_fs(spark, f"{root}/{COMMITS}/.{uuid.uuid4().hex}")
+    out = fs.create(p, False)
     try:
-        out.write(bytearray("\n".join(folders) + "\n", "utf-8"))
+        out.write(bytearray("\n".join([*folders, END_MARK]) + "\n", "utf-8"))
     finally:
         out.close()
+    fs_jvm = spark._jvm.org.apache.hadoop.fs
+    context = fs_jvm.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(fs_jvm, "Options$Rename"), 0)
+    context.rename(p, fs_jvm.Path(final), no_overwrite)  # the commit point
 
 
 def _write_folder(df: DataFrame, root: str, num_partitions: int | None) -> str:
@@ -97,13 +113,9 @@ def _write_folder(df: DataFrame, root: str, num_partitions: int | None) -> str:
     return name
 
 
-def _canonical(uri: str) -> str:
-    return "file:/" + uri[len("file:///"):] if uri.startswith("file:///") else uri
-
-
 def _qualified(spark: SparkSession, path: str) -> str:
     fs, p = hadoop_fs(spark, path)
-    return _canonical(str(fs.makeQualified(p).toUri())).rstrip("/")
+    return plain_path(str(fs.makeQualified(p))).rstrip("/")
 
 
 def _files_of(spark: SparkSession, root: str, entry: str) -> list[str]:
@@ -117,7 +129,7 @@ def _files_of(spark: SparkSession, root: str, entry: str) -> list[str]:
         f = it.next()
         name = f.getPath().getName()
         if not name.startswith(("_", ".")):
-            out.append(_canonical(str(f.getPath().toUri()))[len(qroot):])
+            out.append(plain_path(str(f.getPath()))[len(qroot):])
     return out
 
 
@@ -179,30 +191,28 @@ def merge_upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> Dat
 
 
 # --------------------------------------------------------------- loads
-def prepare(incoming: DataFrame, contract: TableContract, check: bool = True):
-    """Defaults for absent columns and alignment to the contract; with
-    ``check``, constraint violations are counted by an ``Observation`` on
-    the write itself (no separate pass) and reported after it.
+def prepare(incoming: DataFrame, contract: TableContract, keys: list[str], check: bool = True,
+            rejects: str | None = None) -> DataFrame:
+    """The rows to load: defaults for absent columns, alignment to the
+    contract, constraints (``check``) and uniqueness of the load key (always).
 
-    Returns ``(rows, guard, aligned)``: the rows to write, the check state,
-    and the same rows without the observation (for key-only side jobs)."""
+    They are written once with their errors.  Rows with errors raise, or are
+    written to the folder ``rejects`` and left out."""
     df = align(apply_defaults(incoming, contract), contract)
-    if not check:
-        return df, None, df
-    checked = constraint_check(df, contract)
-    obs = Observation(f"constraints_{uuid.uuid4().hex[:8]}")
-    observed = checked.observe(obs, F.count_if(F.size(ERRORS) > 0).alias("n_bad"))
-    return observed.select(*contract.column_names), (obs, checked), df
-
-
-def _raise_if_bad(guard, contract: TableContract) -> None:
-    if guard is None:
-        return
-    obs, checked = guard
-    if obs.get.get("n_bad", 0):
-        summary = sorted((r["rule"], r["column"], r["n_rows"]) for r in
-                         violations_summary(checked.where(F.size(ERRORS) > 0)).collect())
-        raise LoadError(f"Constraint violation in {contract.table_name}: {summary}")
+    if not check and not keys:
+        return staged(df, "incoming")
+    checked = staged(constraint_check(df, contract, keys, only_keys=not check), "incoming")
+    bad = checked.where(F.size(ERRORS) > 0)
+    if rejects is not None:
+        render_audit(bad).write.mode("overwrite").parquet(rejects)
+        checked = checked.where(F.size(ERRORS) == 0)
+    else:
+        summary = sorted((r["rule"], r["column"], r["n_rows"]) for r in violations_summary(bad).collect())
+        if any(r == "unique" and c == ",".join(keys) for r, c, _ in summary):
+            raise LoadError(f"incoming rows repeat a key of {keys}, duplicate key value violates unique constraint: {summary}")
+        if summary:
+            raise LoadError(f"Constraint violation in {contract.table_name}: {summary}")
+    return checked.select(*contract.column_names)
 
 
 def _in_key_range(target: DataFrame, incoming_keys: DataFrame, keys: list[str]) -> DataFrame:
@@ -210,14 +220,8 @@ def _in_key_range(target: DataFrame, incoming_keys: DataFrame, keys: list[str])
 
     The bound is a pushed filter, so Parquet row-group min/max statistics
     skip every row group outside the range (clustered keys, e.g. increasing
-    ids, then read almost nothing); one small aggregate computes it.  Small
-    targets (below the measuring threshold) are read whole instead."""
-    from ..sources.files import input_bytes
-    from .validate import MATERIALIZE_FROM_BYTES
-
-    size = input_bytes(target)
-    if size is not None and size < MATERIALIZE_FROM_BYTES:
-        return target
+    ids, then read almost nothing); one aggregate over the written incoming
+    rows computes it."""
     k = keys[0]
     lo, hi = incoming_keys.agg(F.min(k), F.max(k)).first()
     if lo is None:
@@ -225,87 +229,64 @@ def _in_key_range(target: DataFrame, incoming_keys: DataFrame, keys: list[str])
     return target.where(F.col(k).between(F.lit(lo), F.lit(hi)))
 
 
-def _flag_conflicts(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Mark incoming rows whose key is already in the target.  The target is
-    probed with a semi join against the incoming keys (target side streamed,
-    incoming keys broadcast when AQE finds them small); the few hits are then
-    joined back to the incoming rows."""
-    hits = target.select(*keys).join(df.select(*keys), keys, "left_semi") \
-        .withColumn("_conflict", F.lit(True))
-    return df.join(hits, keys, "left")
+def _existing(spark: SparkSession, contract: TableContract, root: str) -> tuple[int, list[str]]:
+    found = _latest(spark, root)
+    if found is None:
+        raise LoadError(f"There is no table ({contract.table_name})")
+    return found
 
 
 def append(spark: SparkSession, incoming: DataFrame, contract: TableContract, root: str, *,
-           keys=None, on_conflict: str = "error", check: bool = True) -> None:
-    commits = _commit_files(spark, root)
-    if not commits:
-        raise LoadError(f"There is no table ({contract.table_name})")
+           keys=None, on_conflict: str = "error", check: bool = True, rejects: str | None = None) -> None:
+    last, entries = _existing(spark, contract, root)
     keys = _keys(contract, keys)
-    target = read_target(spark, root, contract)
-    if on_conflict == "ignore":
-        df, guard, _ = prepare(incoming, contract, check=False)
-        df = merge_append(target, df.dropDuplicates(keys), keys, "ignore")
-        name = _write_folder(df, root, _partitions(contract))
-    else:
-        df, guard, aligned = prepare(incoming, contract, check=check)
-        target = _in_key_range(target, aligned.select(*keys), keys)
-        conflicts_seen = Observation(f"conflicts_{uuid.uuid4().hex[:8]}")
-        flagged = _flag_conflicts(df, target, keys).observe(
-            conflicts_seen, F.count_if(F.col("_conflict")).alias("n"))
-        name = _write_folder(flagged.drop("_conflict"), root, _partitions(contract))
-        _raise_if_bad(guard, contract)
-        if conflicts_seen.get.get("n", 0):
+    with scratch_scope():
+        rows = prepare(incoming, contract, keys, check, rejects)
+        target = _in_key_range(read_target(spark, root, contract), rows.select(*keys), keys)
+        if on_conflict != "ignore" and not target.select(*keys).join(rows.select(*keys), keys, "left_semi").isEmpty():
             raise LoadError(f"duplicate key value violates unique constraint on {keys}")
-        if guard is None and not repeated_keys(df, keys).isEmpty():
-            raise LoadError(f"duplicate key value violates unique constraint on {keys}")
-    _commit(spark, root, current_folders(spark, root) + [name], commits[-1])
+        name = _write_folder(merge_append(target, rows, keys, on_conflict), root, _partitions(contract))
+    _commit(spark, root, entries + [name], last)
 
 
 def replace(spark: SparkSession, incoming: DataFrame, contract: TableContract, root: str, *,
-            check: bool = True) -> None:
-    commits = _commit_files(spark, root)
-    if not commits:
-        raise LoadError(f"There is no table ({contract.table_name})")
-    df, guard, _ = prepare(incoming, contract, check=check)
-    name = _write_folder(df, root, _partitions(contract))
-    _raise_if_bad(guard, contract)
-    _commit(spark, root, [name], commits[-1])
+            keys=None, check: bool = True, rejects: str | None = None) -> None:
+    last, _ = _existing(spark, contract, root)
+    declared = keys or (contract.load and contract.load.primary_key) or any(c.primary_key for c in contract.columns)
+    with scratch_scope():
+        rows = prepare(incoming, contract, _keys(contract, keys) if declared else [], check, rejects)
+        name = _write_folder(rows, root, _partitions(contract))
+    _commit(spark, root, [name], last)
 
 
 def upsert(spark: SparkSession, incoming: DataFrame, contract: TableContract, root: str, *,
-           keys=None, check: bool = True) -> None:
-    commits = _commit_files(spark, root)
-    if not commits:
-        raise LoadError(f"There is no table ({contract.table_name})")
+           keys=None, check: bool = True, rejects: str | None = None) -> None:
+    last, entries = _existing(spark, contract, root)
     keys = _keys(contract, keys)
-    df, guard, aligned = prepare(incoming, contract, check=check)
-    if guard is None and not repeated_keys(aligned, keys).isEmpty():
-        raise LoadError(f"incoming rows repeat a key of {keys}; upsert needs one row per key")
-    entries = current_folders(spark, root)
-    incoming_keys = aligned.select(*keys)
-    # Files holding a key that is being replaced: one row per file reaches
-    # the driver (bounded by the table's file count).
-    target = _in_key_range(read_target(spark, root, contract), incoming_keys, keys)
-    hit = {_canonical(r["_file"]) for r in
-           target.select(*keys, F.col("_metadata.file_path").alias("_file"))
-           .join(incoming_keys, keys, "left_semi").select("_file").distinct().collect()}
-    if hit:
-        rest = (spark.read.schema(contract.struct_type()).parquet(*sorted(hit))
-                .join(incoming_keys, keys, "left_anti"))
-        rows = rest.unionByName(df)
-    else:
-        rows = df
-    name = _write_folder(rows, root, _partitions(contract))
-    _raise_if_bad(guard, contract)
     qroot = _qualified(spark, root)
+    with scratch_scope():
+        rows = prepare(incoming, contract, keys, check, rejects)
+        incoming_keys = rows.select(*keys)
+        # Files holding a key that is being replaced: one row per file reaches
+        # the driver (bounded by the table's file count).
+        target = _in_key_range(read_target(spark, root, contract), incoming_keys, keys)
+        hit = {r["_file"] for r in
+               target.select(*keys, plain_path_col(F.col("_metadata.file_path")).alias("_file"))
+               .join(incoming_keys, keys, "left_semi").select("_file").distinct().collect()}
+        new = rows
+        if hit:
+            rest = spark.read.schema(contract.struct_type()).parquet(*sorted(hit))
+            new = rest.join(incoming_keys, keys, "left_anti").unionByName(rows)
+        name = _write_folder(new, root, _partitions(contract))
+    touched = {h[len(qroot) + 1:] for h in hit}
+    touched |= {t.split("/", 1)[0] for t in touched}
     kept: list[str] = []
     for entry in entries:
-        prefix = f"{qroot}/{entry}"
-        if not any(h == prefix or h.startswith(prefix + "/") for h in hit):
+        if entry not in touched:
             kept.append(entry)  # untouched: carried over by reference
         else:
             kept.extend(f for f in _files_of(spark, root, entry) if f"{qroot}/{f}" not in hit)
-    _commit(spark, root, kept + [name], commits[-1])
+    _commit(spark, root, kept + [name], last)
 
 
 def _partitions(contract: TableContract) -> int | None:

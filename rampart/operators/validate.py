@@ -10,10 +10,11 @@ over a key set (``unique``, ``duplicate``) are answered by one aggregate per
 distinct key set, ``count(*)`` and the first row in keep-first order, which
 Spark combines map-side before the shuffle, so a hot key (even a third of
 the table) costs one partial-aggregate row per task instead of one giant
-window group.  Only keys that repeat survive the aggregate; they are joined
-back to the rows (left join, null-safe on the key), a join that AQE turns
-into a broadcast when the repeated keys are few and splits when one key is
-hot on the row side.
+window group.  Only keys that repeat survive the aggregate; that table is written
+once and joined back to the rows (left join, null-safe on the key), so the
+planner knows its size: few repeated keys are broadcast and the rows never
+move, many are joined by shuffle, where AQE splits a key that is hot on the
+row side.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 from ..contract import RuleSpec, TableContract
 from ..errors import ContractError
 from ..functions import rules as R
+from ..session import staged
 
 ERRORS = "_errors"
 INDEX = "_source_index"
@@ -46,13 +48,13 @@ def data_columns(df: DataFrame) -> list[str]:
 def with_row_id(df: DataFrame) -> DataFrame:
     """Attach a unique ``_row_id`` when the input has no source index.
 
-    ``monotonically_increasing_id`` is stable when the input is a file scan
-    (same splits, same order on re-read).  For any other input, materialise
-    first (``df.checkpoint()``) so every re-evaluation sees the same ids.
+    The input is written once with its ids to the shared folder: ids are
+    handed out anew whenever a plan is evaluated, and after a shuffle not in
+    the same way, so every reader must see the ids of one evaluation.
     """
     if INDEX in df.columns or ROW_ID in df.columns:
         return df
-    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    return staged(df.withColumn(ROW_ID, F.monotonically_increasing_id()), "row-ids")
 
 
 def _identity(df: DataFrame) -> str:
@@ -72,33 +74,34 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
              order_by: list[str] | None = None,
              whole_row_duplicate: bool = True,
              check_datatypes: bool = True,
-             materialize: bool | str = "auto") -> DataFrame:
+             stage_keys: bool = True) -> DataFrame:
     """Check ``df`` against a contract; returns ``df`` + ``_errors``.
 
     ``order_by`` sets keep-first order for ``duplicate`` (default: source
     order, ``_source_index``); the unique row id always breaks ties so
     exactly one row of each key is kept.
 
-    With ``materialize`` each repeated-key table is computed and measured
-    first, then broadcast only when its measured size is below a fixed
-    bound; larger ones are joined by shuffle, so the rows are never shuffled
-    for a key whose repeats are few.  ``"auto"`` (default) does this when the
-    input is at least ``MATERIALIZE_FROM_BYTES`` (or of unknown size); below
-    that, a mis-planned shuffle is cheap and the choice is left to AQE.
+    An input without ``_source_index`` is written once with row ids when a
+    ``duplicate`` rule needs to tell its rows apart.  Each table of repeated
+    keys is written once (``stage_keys``), which tells the planner its size;
+    otherwise it stays part of the plan and AQE chooses the join.
     """
     spec_rules = _expand(contract, rules)
-    added_id = INDEX not in df.columns and ROW_ID not in df.columns
-    base = with_row_id(df)
+    keep_first = whole_row_duplicate or any(r.rule == "duplicate" for r in spec_rules)
+    added_id = keep_first and INDEX not in df.columns and ROW_ID not in df.columns
+    base = with_row_id(df) if keep_first else df
     schema = {f.name: f.dataType for f in base.schema.fields}
     cols = data_columns(base)
-    ident = _identity(base)
+    ident = _identity(base) if keep_first else None
     unknown = [c for c in (order_by or []) if c not in schema]
     if unknown:
         raise ContractError(f"Columns not found: {unknown} in order_by")
     # Keep-first rank: a plain long (hash-aggregate friendly) unless the
     # caller orders by other columns, then a struct ending in the unique id.
-    rank = (F.struct(*[F.col(c) for c in list(order_by)], F.col(ident)) if order_by
-            else F.col(ident))
+    rank = None
+    if keep_first:
+        rank = (F.struct(*[F.col(c) for c in list(order_by)], F.col(ident)) if order_by
+                else F.col(ident))
 
     # ---- plan the rule list in its fixed order ------------------------
     plan: list[tuple[str, object]] = []  # ("row", Column) | ("group", (kind, keys))
@@ -132,9 +135,6 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
         else:
             raise ContractError(f"Unknown rule: {r.rule}")
 
-    if materialize == "auto":
-        materialize = _large_input(base)
-
     # ---- one aggregate per distinct key set, joined back --------------
     key_sets: dict[tuple[str, ...], dict] = {}
     for kind, payload in plan:
@@ -151,14 +151,16 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
     out = base
     for keys in order:
         slot = key_sets[keys]
+        j = slot["id"]
         parent = next((k for k in order if len(k) < len(keys) and set(k) <= set(keys)
-                       and "done" in key_sets[k]), None)
+                       and "stats" in key_sets[k]), None)
         source = base
         if parent is not None:
-            source = out.where(F.col(f"_g{key_sets[parent]['id']}_n").isNotNull()).select(*base.columns)
-        out = _join_key_stats(out, source, keys, slot["id"], "duplicate" in slot["rules"], rank,
-                              materialize=materialize)
-        slot["done"] = True
+            known = key_sets[parent]
+            source = base.join(known["stats"], _same_key(parent, known["id"]), "left_semi")
+        stats = _key_stats(source, keys, j, rank if "duplicate" in slot["rules"] else None)
+        slot["stats"] = staged(stats, "key-stats") if stage_keys else stats
+        out = out.join(slot["stats"], _same_key(keys, j), "left").drop(*_key_aliases(keys, j))
 
     exprs: list[Column] = []
     for kind, payload in plan:
@@ -182,72 +184,25 @@ def validate(df: DataFrame, contract: TableContract | None = None, *,
     return out.select(*[F.col(c) for c in keep], errors.alias(ERRORS))
 
 
-# Largest repeated-key table (rows, bytes) sent as a broadcast,
-# and the input size from which key tables are measured before joining.
-MAX_BROADCAST_ROWS = 2_000_000
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-MATERIALIZE_FROM_BYTES = 256 * 1024 * 1024
+def _key_aliases(keys: tuple[str, ...], j: int) -> list[str]:
+    return [f"_g{j}_k{i}" for i in range(len(keys))]
 
 
-def _large_input(df: DataFrame) -> bool:
-    from ..sources.files import input_bytes
+def _same_key(keys: tuple[str, ...], j: int) -> Column:
+    """Rows and key table ``j`` agree on the key, NULLs included."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, _key_aliases(keys, j))])
 
-    size = input_bytes(df)
-    return size is None or size >= MATERIALIZE_FROM_BYTES
 
+def _key_stats(source: DataFrame, keys: tuple[str, ...], j: int, rank: Column | None) -> DataFrame:
+    """Repeated keys with their count and, given a rank, their first row's."""
+    first = F.lit(None) if rank is None else F.min(rank)
+    grouped = source.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, _key_aliases(keys, j))])
+    return (grouped.agg(F.count(F.lit(1)).alias(f"_g{j}_n"), first.cast("boolean" if rank is None else _type_of(source, rank)).alias(f"_g{j}_first"))
+            .where(F.col(f"_g{j}_n") > 1))
 
-def _join_key_stats(out: DataFrame, base: DataFrame, keys: tuple[str, ...], j: int,
-                    need_first: bool, rank: Column, materialize: bool = True) -> DataFrame:
-    """Left-join per-key ``count`` / keep-first rank of repeated keys onto ``out``.
 
-    With a plain long rank both come from one hash aggregate.  A struct rank
-    (explicit ``order_by``) needs a sort-based aggregate, so it runs only on
-    the rows whose key repeats: a hash aggregate finds those keys first.
-    """
-    aliases = [f"_g{j}_k{i}" for i in range(len(keys))]
-    n_col, first_col = f"_g{j}_n", f"_g{j}_first"
-    grouped = base.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, aliases)])
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, aliases)])
-    struct_rank = need_first and isinstance(rank, Column) and _is_struct(base, rank)
-    if need_first and not struct_rank:
-        stats = grouped.agg(F.count(F.lit(1)).alias(n_col), F.min(rank).alias(first_col))
-    else:
-        stats = grouped.agg(F.count(F.lit(1)).alias(n_col), F.lit(None).alias(first_col))
-    stats = stats.where(F.col(n_col) > 1)
-    if struct_rank:
-        repeated = stats.drop(first_col)
-        if materialize:
-            repeated = _measured(repeated, aliases)
-        stats = (base.join(repeated, cond, "inner")
-                 .groupBy(*aliases, n_col).agg(F.min(rank).alias(first_col)))
-    if materialize:
-        stats = _measured(stats, aliases)
-    return out.join(stats, cond, "left").drop(*aliases)
-
-
-def _is_struct(df: DataFrame, rank: Column) -> bool:
-    return df.select(rank.alias("_r")).schema["_r"].dataType.typeName() == "struct"
-
-
-def _measured(stats: DataFrame, aliases: list[str]) -> DataFrame:
-    """Write the repeated-key table once as Parquet to the shared folder
-    (durable, nothing pinned in executor memory), measure it from there, and
-    broadcast it only if its row count and key bytes are bounded; a larger
-    table is joined by shuffle."""
-    from ..session import scratch_path
-
-    spark = stats.sparkSession
-    path = scratch_path(spark, "key-stats")
-    stats.write.parquet(path)
-    stats = spark.read.parquet(path)
-    width = [F.coalesce(F.octet_length(F.col(a).cast("string")), F.lit(0)) for a in aliases]
-    row = stats.agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(reduce(lambda a, b: a + b, width) + F.lit(32)).alias("b")).first()
-    n, size = int(row["n"] or 0), int(row["b"] or 0)
-    if n <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES:
-        return F.broadcast(stats)
-    return stats
+def _type_of(df: DataFrame, col: Column) -> T.DataType:
+    return df.select(col.alias("_r")).schema["_r"].dataType
 
 
 def check_rules(df: DataFrame, rules: list[RuleSpec], order_by: list[str] | None = None) -> DataFrame:

@@ -251,17 +251,19 @@ FROM lineitem
 
 
 def q_rule_duplicate_row(spark, sf):
-    li = _t(spark, sf, "lineitem", index=True).select(
-        "l_orderkey", "l_returnflag", "l_linestatus", "_source_file", INDEX)
-    out = validate(li, None, rules=[], whole_row_duplicate=True, check_datatypes=False)
-    return error_message(out).select("l_orderkey", "l_returnflag", "l_linestatus", "error_message")
+    """Whole rows, every column: each first line of an order comes twice."""
+    li = _t(spark, sf, "lineitem", index=True)
+    copies = li.where("l_linenumber = 1").withColumn(INDEX, F.col(INDEX) * 2 + 1)
+    both = li.withColumn(INDEX, F.col(INDEX) * 2).unionByName(copies)
+    out = validate(both, None, rules=[], whole_row_duplicate=True, check_datatypes=False)
+    return error_message(out).select(*LINEITEM_COLS, "error_message")
 
 
-SQL_RULE_DUPLICATE_ROW = """
-SELECT l_orderkey, l_returnflag, l_linestatus,
-  CASE WHEN row_number() OVER (PARTITION BY l_orderkey, l_returnflag, l_linestatus ORDER BY l_orderkey) > 1
-       THEN 'duplicate(l_orderkey,l_returnflag,l_linestatus)' END AS error_message
-FROM lineitem
+SQL_RULE_DUPLICATE_ROW = f"""
+SELECT {', '.join(LINEITEM_COLS)},
+  CASE WHEN row_number() OVER (PARTITION BY {', '.join(LINEITEM_COLS)}) > 1
+       THEN 'duplicate({','.join(LINEITEM_COLS)})' END AS error_message
+FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)
 """
 
 
@@ -688,7 +690,8 @@ SQL_LOAD_APPEND = SQL_CUSTOMER_TYPED
 
 
 def _incoming(c: DataFrame) -> DataFrame:
-    return c.where(F.col("c_custkey") % 2 == 0).withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    """Every row that the target lacks and half of those it has, changed."""
+    return c.where((F.col("c_custkey") % 2 == 0) | (F.col("c_custkey") % 3 == 0)).withColumn("c_acctbal", F.col("c_acctbal") + 1)
 
 
 def q_load_append_new_only(spark, sf):
@@ -701,19 +704,19 @@ SQL_LOAD_APPEND_NEW_ONLY = f"""
 SELECT * FROM ({SQL_CUSTOMER_TYPED}) WHERE c_custkey % 3 <> 0
 UNION ALL
 SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment
-FROM ({SQL_CUSTOMER_TYPED}) WHERE c_custkey % 2 = 0 AND c_custkey % 3 = 0
+FROM ({SQL_CUSTOMER_TYPED}) WHERE c_custkey % 3 = 0
 """
 
 
 def q_load_replace(spark, sf):
     root, c = _customer_target(spark, sf, "load_replace")
-    L.replace(spark, _incoming(c), CUSTOMER_TABLE, root)
+    L.replace(spark, c.withColumn("c_acctbal", F.col("c_acctbal") + 1), CUSTOMER_TABLE, root)
     return L.read_target(spark, root, CUSTOMER_TABLE)
 
 
 SQL_LOAD_REPLACE = f"""
 SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment
-FROM ({SQL_CUSTOMER_TYPED}) WHERE c_custkey % 2 = 0
+FROM ({SQL_CUSTOMER_TYPED})
 """
 
 
@@ -727,7 +730,32 @@ SQL_LOAD_UPSERT = f"""
 SELECT * FROM ({SQL_CUSTOMER_TYPED}) WHERE c_custkey % 3 <> 0 AND c_custkey % 2 <> 0
 UNION ALL
 SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment
-FROM ({SQL_CUSTOMER_TYPED}) WHERE c_custkey % 2 = 0
+FROM ({SQL_CUSTOMER_TYPED}) WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0
+"""
+
+ORDER_TABLE = TableContract.from_dict({
+    "table_name": "order_serving", "columns": [
+        {"name": "o_custkey", "type": "int", "primary_key": True},
+        {"name": "o_orderkey", "type": "int", "primary_key": True},
+        {"name": "o_orderpriority", "type": "string", "not_null": True}],
+    "load_database": {"load_strategy": "upsert", "primary_key": ["o_custkey", "o_orderkey"]}})
+
+
+def q_load_upsert_composite(spark, sf):
+    """A key of two columns, neither unique by itself for the customer part."""
+    root = scratch_path(spark, "load_composite")
+    o = _t(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    L.create_target(spark, ORDER_TABLE, root)
+    L.load(spark, o.where("o_orderkey % 3 <> 0"), ORDER_TABLE, root)
+    later = o.where("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0").withColumn("o_orderpriority", F.lit("CHANGED"))
+    L.load(spark, later, ORDER_TABLE, root)
+    return L.read_target(spark, root, ORDER_TABLE)
+
+
+SQL_LOAD_UPSERT_COMPOSITE = """
+SELECT CAST(o_custkey AS BIGINT) AS o_custkey, CAST(o_orderkey AS BIGINT) AS o_orderkey,
+  CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 THEN 'CHANGED' ELSE o_orderpriority END AS o_orderpriority
+FROM orders
 """
 
 SUPPLIER_TABLE = TableContract.from_dict({
@@ -805,14 +833,15 @@ SQL_CONSTRAINT_DEFAULT = ("SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS
 def q_run_ledger_latest(spark, sf):
     e = _t(spark, sf, "events").select(
         F.lit("events").alias("table_name"), F.col("user_id").alias("run_id"),
-        F.col("event_type").alias("status"), F.col("ts").alias("ended_at"), "event_id")
-    out = ledger.latest(e, keys=("table_name", "run_id"), time_col="ended_at", tie="event_id")
-    return out.select("run_id", "status", "ended_at", "event_id", "n_events")
+        F.col("event_type").alias("status"), F.col("ts").alias("started_at"),
+        F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("ended_at"), "event_id")
+    out = ledger.latest(e, keys=("table_name", "run_id"), tie="event_id")  # every fifth event is still open
+    return out.select("run_id", "status", "started_at", "ended_at", "event_id", "n_events")
 
 
 SQL_RUN_LEDGER_LATEST = """
-SELECT run_id, status, ended_at, event_id, n_events FROM (
-  SELECT user_id AS run_id, event_type AS status, ts AS ended_at, event_id,
+SELECT run_id, status, started_at, ended_at, event_id, n_events FROM (
+  SELECT user_id AS run_id, event_type AS status, ts AS started_at, CASE WHEN event_id % 5 <> 0 THEN ts END AS ended_at, event_id,
          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn,
          count(*) OVER (PARTITION BY user_id) AS n_events
   FROM events) WHERE rn = 1
@@ -845,6 +874,25 @@ SQL_SCAN_CSV = (f"SELECT nullif(id, '') AS id, nullif(name, '') AS name, birthda
                 f"FROM ({SQL_GEN_CUSTOMERS})")
 
 
+def q_source_index_csv(spark, sf):
+    """The index that a CSV scan attaches: one file a nation, in path order."""
+    path = scratch_path(spark, "source_index")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    c.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey") \
+        .write.partitionBy("c_nationkey").option("header", True).csv(path)
+    two = TableContract.from_dict({"table_name": "c", "columns": [{"name": "c_custkey", "type": "string"}, {"name": "c_name", "type": "string"}]})
+    out = read_table(spark, path, "csv", contract=two, index=True)
+    label = F.regexp_extract("_source_file", r"/(c_nationkey=\d+)/", 1)
+    return out.select("c_custkey", "c_name", label.alias("file"), F.col(INDEX).alias("source_index"))
+
+
+SQL_SOURCE_INDEX_CSV = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, 'c_nationkey=' || CAST(c_nationkey AS VARCHAR) AS file,
+  row_number() OVER (ORDER BY 'c_nationkey=' || CAST(c_nationkey AS VARCHAR) || '/', c_custkey) - 1 AS source_index
+FROM customer
+"""
+
+
 def q_sink_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "sink_csv")
     write_table(_t(spark, sf, "customer"), path, "csv")
@@ -962,10 +1010,12 @@ UNION ALL SELECT 'blankfirst', 1
 FINAL_COLS = [c for c in L1_CUSTOMER_COLS if c != "source_file"]
 
 
-def _landed(spark, sf) -> tuple[str, TableContract, TableContract, TableContract]:
+def _landed(spark, sf, one_word_names: bool = False) -> tuple[str, TableContract, TableContract, TableContract]:
     base = scratch_path(spark, "lake")
     rcv, l0, l1 = _c("rcv", "customers"), _c("l0", "customers"), _c("l1", "customers")
     g = q_gen_customers(spark, sf)
+    if one_word_names:
+        g = g.withColumn("name", F.when(F.col("id").endswith("7"), F.split_part("name", F.lit(" "), F.lit(1))).otherwise(F.col("name")))
     write_table(g, layer_path(base, rcv, "rcv", PROCESS_DATE, "csv"), "csv")
     return base, rcv, l0, l1
 
@@ -974,7 +1024,8 @@ def q_pipeline_rcv_l0(spark, sf):
     base, rcv, l0, _ = _landed(spark, sf)
     rcv_to_l0(spark, rcv, l0, base, PROCESS_DATE, RUN_TS, on_reject="skip")
     out = read_table(spark, layer_path(base, l0, "l0", PROCESS_DATE, "csv"), "csv", contract=l0)
-    return align(out, l0).drop("source_file")
+    label = F.regexp_extract("source_file", r"/lake-[0-9a-f]+/(.*)/part-", 1)
+    return align(out, l0).withColumn("source_file", label)
 
 
 SQL_L0_TYPED = f"""
@@ -983,7 +1034,7 @@ SELECT nullif(id, '') AS id, nullif(name, '') AS name,
   nullif(address, '') AS address, TRY_CAST(kpi AS DOUBLE) AS kpi, TIMESTAMP '{RUN_TS_TEXT}' AS process_date
 FROM ({SQL_GEN_CUSTOMERS})
 """
-SQL_PIPELINE_RCV_L0 = SQL_L0_TYPED
+SQL_PIPELINE_RCV_L0 = f"SELECT *, 'rcv/retail/customers/2026/01/01/customers.csv' AS source_file FROM ({SQL_L0_TYPED})"
 
 SQL_PIPELINE_L1 = f"""
 WITH v AS (SELECT * FROM ({SQL_L0_TYPED})
@@ -1003,12 +1054,22 @@ def q_pipeline_l0_l1(spark, sf):
 
 
 def q_pipeline_load(spark, sf):
-    base, rcv, l0, l1 = _landed(spark, sf)
+    """Names of one word have no last name, which the serving table demands:
+    those rows are refused with their reason, the others load."""
+    base, rcv, l0, l1 = _landed(spark, sf, one_word_names=True)
     rcv_to_l0(spark, rcv, l0, base, PROCESS_DATE, RUN_TS, on_reject="skip")
     l0_to_l1(spark, l0, l1, base, PROCESS_DATE)
     target = f"{base}/serving/retail/customers"
     l1_to_target(spark, l1, base, PROCESS_DATE, target)
-    return L.read_target(spark, target, l1).select(*FINAL_COLS)
+    refused = spark.read.parquet(layer_path(base, l1, "audit", PROCESS_DATE, "parquet") + ".load")
+    return (L.read_target(spark, target, l1).select(*FINAL_COLS, F.lit(None).cast("string").alias("refused"))
+            .unionByName(refused.select(*FINAL_COLS, F.col("error_message").alias("refused"))))
+
+
+SQL_ONE_WORD = "CASE WHEN right(id, 1) = '7' THEN nullif(split_part(name, ' ', 1), '') ELSE name END"
+SQL_PIPELINE_LOAD = SQL_PIPELINE_L1.replace(
+    f"({SQL_GEN_CUSTOMERS})", f"(SELECT id, {SQL_ONE_WORD} AS name, birthday, address, kpi FROM ({SQL_GEN_CUSTOMERS}))")
+SQL_PIPELINE_LOAD = f"SELECT *, CASE WHEN last_name IS NULL THEN 'not_null(last_name)' END AS refused FROM ({SQL_PIPELINE_LOAD})"
 
 
 def q_pipeline_full(spark, sf):
@@ -1037,6 +1098,7 @@ def q_pipeline_stream(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": q_scan_parquet,
     "scan_csv": q_scan_csv,
+    "source_index_csv": q_source_index_csv,
     "sink_csv_roundtrip": q_sink_csv_roundtrip,
     "sink_parquet_roundtrip": q_sink_parquet_roundtrip,
     "jdbc_roundtrip": q_jdbc_roundtrip,
@@ -1070,6 +1132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_append_new_only": q_load_append_new_only,
     "load_replace": q_load_replace,
     "load_upsert": q_load_upsert,
+    "load_upsert_composite": q_load_upsert_composite,
     "load_dispatch": q_load_dispatch,
     "constraint_check": q_constraint_check,
     "constraint_default": q_constraint_default,
@@ -1088,6 +1151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": SQL_SCAN_PARQUET,
     "scan_csv": SQL_SCAN_CSV,
+    "source_index_csv": SQL_SOURCE_INDEX_CSV,
     "sink_csv_roundtrip": SQL_CUSTOMER_TYPED,
     "sink_parquet_roundtrip": SQL_SCAN_PARQUET,
     "jdbc_roundtrip": SQL_SCAN_PARQUET,
@@ -1121,12 +1185,13 @@ ORACLE_SQL: dict[str, str] = {
     "load_append_new_only": SQL_LOAD_APPEND_NEW_ONLY,
     "load_replace": SQL_LOAD_REPLACE,
     "load_upsert": SQL_LOAD_UPSERT,
+    "load_upsert_composite": SQL_LOAD_UPSERT_COMPOSITE,
     "load_dispatch": SQL_LOAD_DISPATCH,
     "constraint_check": SQL_CONSTRAINT_CHECK,
     "constraint_default": SQL_CONSTRAINT_DEFAULT,
     "pipeline_rcv_l0": SQL_PIPELINE_RCV_L0,
     "pipeline_l0_l1": SQL_PIPELINE_L1,
-    "pipeline_load": SQL_PIPELINE_L1,
+    "pipeline_load": SQL_PIPELINE_LOAD,
     "pipeline_full": SQL_PIPELINE_L1,
     "pipeline_stream": SQL_PIPELINE_L1,
     "run_ledger_latest": SQL_RUN_LEDGER_LATEST,

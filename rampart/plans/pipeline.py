@@ -12,7 +12,6 @@ import datetime as _dt
 import os
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +21,14 @@ from ..operators import load as L
 from ..operators.reshape import align, apply_transforms, reshape
 from ..operators.routing import observe_counts, split
 from ..operators.validate import validate
-from ..session import hadoop_fs, scratch_path
+from ..session import hadoop_fs, plain_path, plain_path_col, scratch_scope, staged
 from ..sources.files import layer_path, read_table, write_table
 from ..sources.gates import copy_to_quarantine, judge_files
 
-CONFIG_ROOT = os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))),
-                           "config")
+CONFIG_ROOT = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "config")
+
+# Fixed value: so much of a rejected file's reason is put into the error.
+REASON_CHARS = 2_000
 
 
 @dataclass
@@ -38,6 +39,8 @@ class StageResult:
     n_in: int | None = None
     n_valid: int | None = None
     n_error: int | None = None
+    n_rejected_files: int | None = None
+    n_rejected_rows: int | None = None
 
 
 def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base: str,
@@ -45,9 +48,10 @@ def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base:
               raw_l0: bool = False) -> StageResult:
     """Gate the landing file(s), then lineage + alignment to the L0 contract.
 
-    Rejected files are copied to the mirrored quarantine path; with
-    ``on_reject="raise"`` (one file per table and date) the stage then fails
-    with the gate's message, with ``"skip"`` the accepted files still load.
+    Rejected files are copied to the quarantine path, mirroring their place
+    below the landing path; with ``on_reject="raise"`` (one file per table
+    and date) the stage then fails with the gate's message, with ``"skip"``
+    the accepted files still load and the result counts the rejected ones.
     By default L0 values are converted to the declared types (an
     unconvertible value becomes NULL and is later reported by ``not_null``);
     ``raw_l0=True`` keeps the landing text so the audit shows the bad value
@@ -56,25 +60,28 @@ def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base:
     src = layer_path(base, rcv, "rcv", process_date)
     verdicts = judge_files(spark, [src], rcv).cache()
     try:
-        rows = verdicts.collect()  # one row per landing file
+        # one short row per landing file; a reason holds the file's first line
+        rows = verdicts.select("file_path", "status", "quarantine").collect()
+        rejected = [r for r in rows if r["status"] != "accepted"]
+        accepted = [r["file_path"] for r in rows if r["status"] == "accepted"]
+        if rejected and (on_reject == "raise" or not accepted):
+            first = verdicts.where(F.col("file_path") == rejected[0]["file_path"])
+            why = first.select(F.substring("reason", 1, REASON_CHARS)).first()[0]
     finally:
         verdicts.unpersist()
-    rejected = [r for r in rows if r["status"] != "accepted"]
-    accepted = [r["file_path"] for r in rows if r["status"] == "accepted"]
-    qdir = layer_path(base, rcv, "quarantine", process_date, rcv.format("quarantine")
-                      if "quarantine" in dict(rcv.formats) else None)
+    qdir = layer_path(base, rcv, "quarantine", process_date,
+                      dict(rcv.formats).get("quarantine", rcv.format("rcv")))
+    fs, p = hadoop_fs(spark, src)
+    below = plain_path(str(fs.makeQualified(p))) + "/" if rejected and fs.exists(p) and fs.getFileStatus(p).isDirectory() else None
     for r in rejected:
         if r["quarantine"]:
-            fs, p = hadoop_fs(spark, src)
-            dst = qdir if not fs.getFileStatus(p).isDirectory() else \
-                f"{qdir}/{r['file_path'].rsplit('/', 1)[-1]}"
-            copy_to_quarantine(spark, r["file_path"], dst)
+            copy_to_quarantine(spark, r["file_path"], qdir if below is None else f"{qdir}/{r['file_path'][len(below):]}")
     if rejected and (on_reject == "raise" or not accepted):
-        raise ValidationError(rejected[0]["reason"])
+        raise ValidationError(why)
     # Only the file path is needed here (lineage); positions are taken at L0.
     df = read_table(spark, accepted, rcv.format("rcv"), contract=rcv,
                     multiline=bool(rcv.raw.get("multiline", False)))
-    df = df.select("*", F.col("_metadata.file_path").alias("_source_file"))
+    df = df.select("*", plain_path_col(F.col("_metadata.file_path")).alias("_source_file"))
     target = l0
     if raw_l0:
         target = TableContract.from_dict({**l0.raw, "columns": [
@@ -84,43 +91,31 @@ def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base:
     out = align(apply_transforms(df, rcv, run_ts=run_ts, source_file=src), target)
     dst = layer_path(base, l0, "l0", process_date, rcv.format("l0"))
     write_table(out, dst, rcv.format("l0"))
-    return StageResult("rcv_to_l0", rcv.table_name, dst)
+    return StageResult("rcv_to_l0", rcv.table_name, dst, n_rejected_files=len(rejected))
 
 
 def l0_to_l1(spark: SparkSession, l0: TableContract, l1: TableContract, base: str,
-             process_date, *, order_by: list[str] | None = None,
-             materialize: str = "staged") -> StageResult:
+             process_date, *, order_by: list[str] | None = None) -> StageResult:
     """Validate L0 against every rule, write valid rows reshaped to L1 and the
     audit rows (always, so a clean rerun replaces an older audit).
 
-    The checked table is computed once and written as Parquet to a fresh
-    folder under the shared checkpoint folder (``materialize="staged"``):
-    that cuts the lineage, survives lost executors, and both sinks then read
-    only the columns they need.  ``"persist"`` keeps it in executor memory /
-    disk instead.  Record counts come from an ``Observation`` on that write.
+    The indexed L0 rows are written once as Parquet to the shared folder, so
+    that the landing format is parsed once for the data and the key rules read
+    only their key columns; so is the checked table, which both sinks read.
+    Record counts come from an ``Observation`` on that write.  Both copies are
+    deleted when the stage ends.
     """
     src = layer_path(base, l0, "l0", process_date, l0.format("l0"))
-    df = read_table(spark, src, l0.format("l0"), contract=l0, index=True,
-                    flag_malformed=l0.format("l0") == "csv",
-                    multiline=bool(l0.raw.get("multiline", False)))
-    checked, obs = observe_counts(validate(df, l0, order_by=order_by))
-    staged = None
-    if materialize == "staged":
-        staged = scratch_path(spark, f"checked-{l0.table_name}")
-        checked.write.parquet(staged)
-        checked = spark.read.parquet(staged)
-    else:
-        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
-        checked.count()
-    try:
-        valid, audit = split(checked)
+    with scratch_scope():
+        df = read_table(spark, src, l0.format("l0"), contract=l0, index=True,
+                        flag_malformed=l0.format("l0") == "csv",
+                        multiline=bool(l0.raw.get("multiline", False)))
+        checked, obs = observe_counts(validate(staged(df, f"l0-{l0.table_name}"), l0, order_by=order_by))
+        valid, audit = split(staged(checked, f"checked-{l0.table_name}"))
         dst = layer_path(base, l1, "l1", process_date, l0.format("l1"))
         write_table(reshape(valid, l0, l1), dst, l0.format("l1"))
         write_table(audit, layer_path(base, l0, "audit", process_date, l0.format("audit")),
                     l0.format("audit"))
-    finally:
-        if staged is None:
-            checked.unpersist()
     counts = obs.get
     return StageResult("l0_to_l1", l0.table_name, dst, counts.get("n_in"), counts.get("n_valid"),
                        counts.get("n_error"))
@@ -128,12 +123,17 @@ def l0_to_l1(spark: SparkSession, l0: TableContract, l1: TableContract, base: st
 
 def l1_to_target(spark: SparkSession, l1: TableContract, base: str, process_date,
                  target_root: str) -> StageResult:
-    """Create the serving table if absent, then apply the contract's strategy."""
+    """Create the serving table if absent, then apply the contract's strategy.
+
+    Rows that break a constraint of the serving table go to the audit path of
+    the L1 layer with their reasons; the others load."""
     src = layer_path(base, l1, "l1", process_date, l1.format("l1"))
     df = read_table(spark, src, l1.format("l1"))
+    rejects = layer_path(base, l1, "audit", process_date, "parquet") + ".load"
     L.create_target(spark, l1, target_root)
-    L.load(spark, df, l1, target_root)
-    return StageResult("l1_to_database", l1.table_name, target_root)
+    L.load(spark, df, l1, target_root, rejects=rejects)
+    refused = spark.read.parquet(rejects).count()
+    return StageResult("l1_to_database", l1.table_name, target_root, n_rejected_rows=refused)
 
 
 def run_stage(stage: str, fn, *args, **kw):
@@ -179,6 +179,7 @@ def run_table(spark: SparkSession, table: str, base: str, process_date, target_r
         if ledger_path:
             ledger.record(spark, ledger_path, table, run_id, name, "SUCCESS", started,
                           _dt.datetime.now(), source=base,
-                          counts={"n_in": res.n_in, "n_valid": res.n_valid, "n_error": res.n_error})
+                          counts={k: getattr(res, k) for k in
+                                  ("n_in", "n_valid", "n_error", "n_rejected_files", "n_rejected_rows")})
         out.append(res)
     return out

@@ -1,17 +1,23 @@
 """Session construction and the shared scratch location.
 
-Intermediate tables (checkpoints, staged snapshots, query scratch) go to the
-folder the cluster names in ``spark.checkpoint.dir``; only when it is unset
-(local tests) is a temporary folder chosen and set.
+Intermediate tables (staged snapshots, key tables, query scratch) go to the
+folder the cluster names in ``spark.checkpoint.dir``; only a local master
+may leave it unset, and then gets a temporary folder.  ``scratch_scope``
+deletes what a job wrote there once the job is over; what a returned
+DataFrame still reads goes when the driver ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Defaults for the batch jobs (AQE on, session zone UTC).
 DEFAULT_CONF = {
@@ -41,11 +47,14 @@ def get_session(master: str | None = None, app: str = "rampart", conf: dict | No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (set to a temp folder if unset)."""
+    """The cluster's shared checkpoint folder (a local master may go without one)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="rampart-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -53,9 +62,60 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder for one run."""
-    return f"{shared_dir(spark)}/rampart/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/rampart/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to a scratch folder and read back: one
+    evaluation, whatever reads it, and its size is known to the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _release(entries: list[tuple[SparkSession, str]]) -> None:
+    for spark, path in entries:
+        fs, p = hadoop_fs(spark, path)
+        fs.delete(p, True)
+
+
+@contextmanager
+def scratch_scope():
+    """Delete the scratch folders of the enclosed job when it is over; nothing
+    that it returns may still read them."""
+    mark = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        _release(_SCRATCH[mark:])
+        del _SCRATCH[mark:]
+
+
+@atexit.register
+def _release_all() -> None:
+    try:
+        _release(_SCRATCH)
+    except Exception:  # the session ended before the interpreter
+        pass
+
+
+def plain_path(uri: str) -> str:
+    """One spelling per file: URL escapes decoded, ``file:///x`` as ``file:/x``."""
+    path = unquote(uri)
+    return "file:/" + path[len("file:///"):] if path.startswith("file:///") else path
+
+
+def plain_path_col(uri: Column) -> Column:
+    """``plain_path`` of a ``_metadata.file_path`` column."""
+    decoded = F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))  # a plus is a plus in a path
+    return F.regexp_replace(decoded, "^file:///", "file:/")
 
 
 def hadoop_fs(spark: SparkSession, path: str):

@@ -1,32 +1,28 @@
 """Scans and sinks (CSV with header, Parquet) and the stable source index.
 
-``_source_index`` is the 0-based position of a row in its file and
-``_source_file`` the file itself; together they give a total, reproducible
-keep-first order across many files and splits.  For Parquet both come from
-the scan's ``_metadata`` (``row_index``).  CSV has no row index, so it is
-rebuilt from split boundaries: rows per (file, split) and the first row id of
-each split are aggregated (one small row per split), turned into per-file
-offsets by a window over that tiny table, and joined back.  The split table is
-broadcast only when its size bound (files + bytes / maxPartitionBytes) is
-below a fixed row limit; above it the planner shuffles.
+``_source_index`` is the 0-based position of a row over all input files in
+path order and ``_source_file`` the file itself; together they give a total,
+reproducible keep-first order across many files and splits.  For Parquet both
+come from the scan's ``_metadata`` (``row_index``).  CSV has no row index, so it
+is rebuilt from split boundaries: rows per (file, split) and the first row id of
+each split are aggregated (one small row per split), turned into offsets by a
+distributed prefix sum over that table, written once, and joined back; the planner
+broadcasts the offsets or shuffles by their written size.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import SUPPORTED_FORMATS, TableContract
 from ..operators.validate import CORRUPT, FILE, INDEX
-from ..session import hadoop_fs
+from ..session import hadoop_fs, plain_path_col, staged
 
-# Largest split table (rows) we broadcast, and units per task
-# in the prefix sum of offsets.
-MAX_BROADCAST_SPLITS = 200_000
+# Fixed value: units per task aimed at in the prefix sum of offsets.
 PREFIX_ROWS_PER_TASK = 50_000
 
 
@@ -45,7 +41,7 @@ def read_table(spark: SparkSession, path, fmt: str, *, schema: T.StructType | No
     if fmt == "csv":
         if schema is None and contract is not None:
             schema = contract.string_schema()
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+        reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
         if multiline:
             reader = reader.option("multiLine", True)
         if schema is not None:
@@ -74,25 +70,20 @@ def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
     """
     spark = df.sparkSession
     if fmt == "parquet":
-        marked = df.select("*", F.col("_metadata.file_path").alias(FILE),
+        marked = df.select("*", plain_path_col(F.col("_metadata.file_path")).alias(FILE),
                            F.col("_metadata.row_index").alias("_pos"))
-        files = df.inputFiles()
-        if per_file or len(files) <= 1:
+        n_files = len(df.inputFiles())
+        if per_file or n_files <= 1:
             return marked.withColumnRenamed("_pos", INDEX)
         units = marked.groupBy(FILE).agg(F.count(F.lit(1)).alias("_cnt"))
-        offsets = prefix_offsets(units, [FILE], "_cnt", len(files)).drop("_cnt")
-        if len(files) <= MAX_BROADCAST_SPLITS:
-            offsets = offsets.persist(StorageLevel.MEMORY_AND_DISK)
-            offsets.count()
-            offsets = F.broadcast(offsets)
+        offsets = staged(prefix_offsets(units, [FILE], "_cnt", n_files).drop("_cnt"), "offsets")
         out = marked.join(offsets, [FILE], "inner")
         return out.select(*df.columns, FILE, (F.col("_off") + F.col("_pos")).alias(INDEX))
-    marked = df.select("*", F.col("_metadata.file_path").alias(FILE),
+    marked = df.select("*", plain_path_col(F.col("_metadata.file_path")).alias(FILE),
                        F.col("_metadata.file_block_start").alias("_blk"),
                        F.monotonically_increasing_id().alias("_mid"))
     bound = split_bound(spark, paths) if paths is not None else None
-    small = bound is not None and bound <= MAX_BROADCAST_SPLITS
-    return dense_index(marked, df.columns, per_file=per_file, broadcast=small, n_hint=bound)
+    return dense_index(marked, df.columns, per_file=per_file, n_hint=bound)
 
 
 def prefix_offsets(units: DataFrame, order: list[str], count_col: str,
@@ -100,38 +91,36 @@ def prefix_offsets(units: DataFrame, order: list[str], count_col: str,
     """``units`` + ``_off`` = sum of ``count_col`` over all units before each
     one in ``order`` -- a distributed exclusive prefix sum.
 
-    Units are range-partitioned on ``order``; each partition sums locally
-    (a window per partition), and partition totals -- one row per partition
-    -- give each partition's base offset.  No task ever holds more than one
-    range partition of units.  When ``n_hint`` bounds the units below
-    ``PREFIX_ROWS_PER_TASK``, a single window does it in one task.
+    Units are range-partitioned on ``order`` and written once with the number
+    of their partition, so that the local sums and the partition totals see
+    the same partitions; the totals -- one row per partition -- give each
+    partition's base offset.  ``n_hint`` (a bound on the units) sets how many
+    partitions there are, nothing else.
     """
-    if n_hint is not None and n_hint <= PREFIX_ROWS_PER_TASK:
-        # Proven small (bound known from the listing): one task suffices.
-        before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return units.withColumn("_off", F.coalesce(F.sum(count_col).over(before), F.lit(0)))
-    parts = max(2, min(2048, (n_hint or 10_000_000) // PREFIX_ROWS_PER_TASK + 1))
-    ranged = units.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
+    spark = units.sparkSession
+    if n_hint is None:
+        n_hint = PREFIX_ROWS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, -(-n_hint // PREFIX_ROWS_PER_TASK))
+    ranged = staged(units.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id()), "units")
     local = (Window.partitionBy("_pid").orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, -1))
     within = ranged.withColumn("_loc", F.coalesce(F.sum(count_col).over(local), F.lit(0)))
     totals = ranged.groupBy("_pid").agg(F.sum(count_col).alias("_tot"))
     earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_pid", F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_base"))
-    return (within.join(F.broadcast(bases), "_pid")  # one row per range partition
+    return (within.join(bases, "_pid")
             .withColumn("_off", F.col("_base") + F.col("_loc"))
             .drop("_pid", "_loc", "_base"))
 
 
 def dense_index(marked: DataFrame, columns: list[str], *, per_file: bool = False,
-                broadcast: bool = False, n_hint: int | None = None) -> DataFrame:
+                n_hint: int | None = None) -> DataFrame:
     """Dense position from ``_source_file``, split start ``_blk`` and the
     in-split row id ``_mid``: rows per split and each split's first id are
-    aggregated (one row per split), prefixed by a window over that small
-    table in (file, split) order, and joined back."""
+    aggregated (one row per split), summed up in (file, split) order, and
+    joined back."""
     splits = (marked.groupBy(FILE, "_blk")
               .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_mid0")))
-    # One row per split (files + bytes / maxPartitionBytes of them).
     if per_file:
         before = (Window.partitionBy(FILE).orderBy("_blk")
                   .rowsBetween(Window.unboundedPreceding, -1))
@@ -139,12 +128,7 @@ def dense_index(marked: DataFrame, columns: list[str], *, per_file: bool = False
                                 F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     else:
         offsets = prefix_offsets(splits, [FILE, "_blk"], "_cnt", n_hint).drop("_cnt")
-    if broadcast:
-        # Tiny and reused by every job over this scan: computed once.
-        offsets = offsets.persist(StorageLevel.MEMORY_AND_DISK)
-        offsets.count()
-        offsets = F.broadcast(offsets)
-    out = marked.join(offsets, [FILE, "_blk"], "inner")
+    out = marked.join(staged(offsets, "offsets"), [FILE, "_blk"], "inner")
     return out.select(*columns, FILE, (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias(INDEX))
 
 
@@ -162,21 +146,6 @@ def split_bound(spark: SparkSession, paths: list[str]) -> int:
     return files + math.ceil(size / max(max_bytes, 1))
 
 
-def input_bytes(df: DataFrame, max_files: int = 10000) -> int | None:
-    """Total size of the files behind ``df`` (None when unknown or when there
-    are more than ``max_files`` files, which is large by any measure)."""
-    files = df.inputFiles()
-    if not files:
-        return 0
-    if len(files) > max_files:
-        return None
-    total = 0
-    for f in files:
-        fs, p = hadoop_fs(df.sparkSession, f)
-        total += int(fs.getFileStatus(p).getLen())
-    return total
-
-
 def parse_bytes(text: str) -> int:
     """Spark byte-size string (``134217728``, ``128m``, ``1g``, ``64MB``) -> bytes."""
     t = str(text).strip().lower().rstrip("b")
@@ -191,7 +160,7 @@ def write_table(df: DataFrame, path: str, fmt: str, mode: str = "overwrite") ->
     _check_format(fmt)
     w = df.write.mode(mode)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').csv(path)
     else:
         w.parquet(path)
 

@@ -13,6 +13,8 @@ The verdict is one row per expected file:
     header_only "File contains only header without data - {path}"
     schema_mismatch "Schema mismatch. Expected [...], got [...]"
     accepted
+
+Gates run in the contract's order; the first that fails gives the verdict.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import TableContract
-from ..session import hadoop_fs
-from .files import MAX_BROADCAST_SPLITS, with_source_index
+from ..errors import ContractError
+from ..session import hadoop_fs, plain_path, plain_path_col
+from .files import with_source_index
 
 VERDICT_SCHEMA = T.StructType([
     T.StructField("file_path", T.StringType(), False),
@@ -35,11 +38,6 @@ VERDICT_SCHEMA = T.StructType([
 _CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def canonical_path(path: str) -> str:
-    """One spelling per file: ``file:///x`` and ``file:/x`` are the same file."""
-    return "file:/" + path[len("file:///"):] if path.startswith("file:///") else path
-
-
 def _landing_text(spark: SparkSession, paths) -> tuple[DataFrame | None, list[str], list[str]]:
     """(text scan of every data file under the existing paths, listed files,
     missing paths).  Spark's own file index does the listing (in parallel on
@@ -49,11 +47,11 @@ def _landing_text(spark: SparkSession, paths) -> tuple[DataFrame | None, list[st
     for p in ([paths] if isinstance(paths, str) else paths):
         fs, hp = hadoop_fs(spark, p)
         target = existing if fs.exists(hp) else missing
-        target.append(canonical_path(str(fs.makeQualified(hp).toUri())))
+        target.append(plain_path(str(fs.makeQualified(hp))))
     if not existing:
         return None, [], missing
     text = spark.read.option("recursiveFileLookup", "true").text(existing)
-    return text, [canonical_path(f) for f in text.inputFiles()], missing
+    return text, [plain_path(f) for f in text.inputFiles()], missing
 
 
 def list_files(spark: SparkSession, paths) -> list[tuple[str, bool]]:
@@ -78,7 +76,7 @@ def file_stats(text: DataFrame) -> DataFrame:
     inside the split that starts at byte 0 of the file.
     """
     lines = text.select(
-        F.regexp_replace(F.col("_metadata.file_path"), "^file:///", "file:/").alias("file_path"),
+        plain_path_col(F.col("_metadata.file_path")).alias("file_path"),
         F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_mid"), "value")
     first_split_id = F.when(F.col("_blk") == 0, F.col("_mid"))
@@ -98,10 +96,7 @@ def judge_files(spark: SparkSession, paths, contract: TableContract | None = Non
     listing = [(f, True) for f in listed] + [(m, False) for m in missing]
     files = spark.createDataFrame(listing, VERDICT_SCHEMA)
     if text is not None:
-        stats = file_stats(text)
-        if len(listing) <= MAX_BROADCAST_SPLITS:
-            files = F.broadcast(files)  # one row per file: bounded by the listing
-        v = files.join(stats, "file_path", "left")
+        v = files.join(file_stats(text), "file_path", "left")
     else:
         v = files.select("*", F.lit(None).cast("string").alias("first_line"),
                          F.lit(None).cast("long").alias("n_nonblank"),
@@ -117,20 +112,20 @@ def judge_files(spark: SparkSession, paths, contract: TableContract | None = Non
         F.lit("]"))
     status = F.when(~F.col("exists"), F.lit("not_found"))
     reason = F.when(~F.col("exists"), F.concat(F.lit("File not found - "), path))
-    if "validate_file" in checks:
-        empty = F.col("n_lines").isNull()  # zero bytes: listed, but no lines
-        blank_header = ~first.rlike(r"\S")
-        status = (status.when(empty, "empty").when(F.col("n_bad_utf8") > 0, "unreadable")
-                  .when(blank_header, "empty").when(F.col("n_nonblank") - 1 < 1, "header_only"))
-        reason = (reason.when(empty, F.concat(F.lit("File empty - "), path))
-                  .when(F.col("n_bad_utf8") > 0, F.concat(F.lit("File is not readable - "), path))
-                  .when(blank_header, F.concat(F.lit("File empty - "), path))
-                  .when(F.col("n_nonblank") - 1 < 1,
-                        F.concat(F.lit("File contains only header without data - "), path)))
-    if "validate_schema" in checks:
-        bad = ~F.coalesce(header == F.array(*[F.lit(c) for c in expected]), F.lit(False))
-        status = status.when(bad, "schema_mismatch")
-        reason = reason.when(bad, mismatch)
+    for gate in checks:
+        if gate == "validate_file":
+            empty = F.col("n_lines").isNull() | ~first.rlike(r"\S")  # zero bytes (listed, but no lines) or a blank header
+            steps = [(empty, "empty", F.concat(F.lit("File empty - "), path)),
+                     (F.col("n_bad_utf8") > 0, "unreadable", F.concat(F.lit("File is not readable - "), path)),
+                     (F.col("n_nonblank") - 1 < 1, "header_only",
+                      F.concat(F.lit("File contains only header without data - "), path))]
+        elif gate == "validate_schema":
+            bad = ~F.coalesce(header == F.array(*[F.lit(c) for c in expected]), F.lit(False))
+            steps = [(bad, "schema_mismatch", mismatch)]
+        else:
+            raise ContractError(f"Unknown file check: {gate}")
+        for failed, name, why in steps:
+            status, reason = status.when(failed, name), reason.when(failed, why)
     status = status.otherwise("accepted")
     return v.select(
         "file_path", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), status.alias("status"),
@@ -141,22 +136,16 @@ def judge_files(spark: SparkSession, paths, contract: TableContract | None = Non
 def quarantine_lines(spark: SparkSession, verdicts: DataFrame) -> DataFrame:
     """Raw lines of every quarantined file with line index and reason.
 
-    Only rejected files are read.  Their (path, reason) rows -- one per file,
-    a count known before the join -- are broadcast when under the bound.
+    Only rejected files are read: their paths go to the reader, their reasons
+    stay in the table of verdicts, one row per file.
     """
-    rejected = [(r["file_path"], r["reason"]) for r in
-                verdicts.where("quarantine AND n_lines > 0").select("file_path", "reason").collect()]
-    schema = "file_path string, line_index bigint, line string, reason string"
-    if not rejected:
-        return spark.createDataFrame([], schema)
-    paths = [p for p, _ in rejected]
-    reasons = spark.createDataFrame(rejected, "file_path string, reason string")
-    if len(rejected) <= MAX_BROADCAST_SPLITS:
-        reasons = F.broadcast(reasons)
+    rejected = verdicts.where("quarantine AND n_lines > 0").select("file_path", "reason")
+    paths = [r["file_path"] for r in rejected.select("file_path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "file_path string, line_index bigint, line string, reason string")
     lines = with_source_index(spark.read.text(paths), "text", paths, per_file=True)
-    return (lines.join(reasons,
-                       F.regexp_replace(lines["_source_file"], "^file:///", "file:/") == reasons["file_path"])
-            .select(reasons["file_path"], F.col("_source_index").alias("line_index"),
+    return (lines.join(rejected, lines["_source_file"] == rejected["file_path"])
+            .select(rejected["file_path"], F.col("_source_index").alias("line_index"),
                     F.col("value").alias("line"), "reason"))
 
 

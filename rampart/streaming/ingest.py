@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,18 +26,19 @@ from ..contract import TableContract
 from ..operators.reshape import align, apply_transforms, reshape
 from ..operators.routing import split
 from ..operators.validate import FILE, INDEX, validate
+from ..session import plain_path_col, scratch_scope, staged
 from ..sources.files import dense_index, write_table
 
 
 def landing_stream(spark: SparkSession, rcv: TableContract, landing_dir: str,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Landing CSV as a stream: declared columns as text, plus file and split."""
-    reader = (spark.readStream.schema(rcv.string_schema()).option("header", True)
+    reader = (spark.readStream.schema(rcv.string_schema()).option("header", True).option("escape", '"')
               .option("mode", "PERMISSIVE"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(landing_dir).select(
-        "*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("_blk"))
+        "*", plain_path_col(F.col("_metadata.file_path")).alias(FILE), F.col("_metadata.file_block_start").alias("_blk"))
 
 
 def process_batch(batch: DataFrame, batch_id: int, *, rcv: TableContract, l0: TableContract,
@@ -46,17 +46,12 @@ def process_batch(batch: DataFrame, batch_id: int, *, rcv: TableContract, l0: Ta
     """One micro-batch: position index, lineage, L0 alignment, validation,
     valid rows -> L1 and violations -> audit, both under ``batch_id=N``."""
     data_cols = [c for c in batch.columns if c not in (FILE, "_blk")]
-    indexed = dense_index(batch.withColumn("_mid", F.monotonically_increasing_id()), data_cols)
-    indexed = indexed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lineage = apply_transforms(indexed, rcv, run_ts=run_ts)
-        l0_rows = align(lineage, l0, keep=(INDEX,))
-        checked = validate(l0_rows, l0)
-        valid, audit = split(checked)
+    with scratch_scope():
+        indexed = staged(dense_index(batch.withColumn("_mid", F.monotonically_increasing_id()), data_cols), "batch")
+        l0_rows = align(apply_transforms(indexed, rcv, run_ts=run_ts), l0, keep=(INDEX,))
+        valid, audit = split(staged(validate(l0_rows, l0), "checked-batch"))
         write_table(reshape(valid, l0, l1), f"{out_dir}/l1/batch_id={batch_id}", "parquet")
         write_table(audit, f"{out_dir}/audit/batch_id={batch_id}", "parquet")
-    finally:
-        indexed.unpersist()
 
 
 def start_ingest(spark: SparkSession, rcv: TableContract, l0: TableContract, l1: TableContract,

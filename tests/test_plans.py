@@ -19,7 +19,7 @@ def test_projection_and_filter_reach_the_scan(spark):
 
 
 def test_validate_broadcasts_small_repeated_key_tables(spark):
-    checked = validate(catalog._l0_orders(spark, SF), catalog._c("l0", "orders"), materialize=True)
+    checked = validate(catalog._l0_orders(spark, SF), catalog._c("l0", "orders"))
     checked.write.format("noop").mode("overwrite").save()
     p = plan(checked)
     assert "SortMergeJoin" not in p
@@ -35,11 +35,23 @@ def test_key_rule_reads_only_key_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,_tmp_metadata_row_index:bigint>" in p
 
 
-def test_small_inputs_skip_measuring(spark):
-    from rampart.operators import validate as V
+def test_one_plan_for_all_sizes(spark):
+    """No branch on the input's size: only the planner's join choice differs."""
+    import inspect
 
-    df = read_table(spark, f"{SF}/orders.parquet", "parquet", index=True)
-    assert V._large_input(df) is False
+    from rampart.operators import load, validate as V
+    from rampart.sources import files
+
+    for module in (load, V, files):
+        text = inspect.getsource(module)
+        assert "getFileStatus(p).getLen" not in text and "FROM_BYTES" not in text
+
+
+def test_input_is_evaluated_once_for_each_key_set(spark):
+    orders = catalog._l0_orders(spark, SF)
+    checked = validate(orders, catalog._c("l0", "orders"))
+    p = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("orders.parquet") <= orders._jdf.queryExecution().optimizedPlan().toString().count("orders.parquet")
 
 
 def test_load_key_probe_is_range_pruned(spark, tmp_dir):
@@ -52,13 +64,7 @@ def test_load_key_probe_is_range_pruned(spark, tmp_dir):
     L.create_target(spark, c, root)
     L.append(spark, spark.range(0, 1000).selectExpr("id as k", "'x' as v"), c, root)
     target = L.read_target(spark, root, c)
-    import rampart.operators.validate as V
-    old = V.MATERIALIZE_FROM_BYTES
-    V.MATERIALIZE_FROM_BYTES = 0  # treat the test table as large
-    try:
-        probe = L._in_key_range(target, spark.createDataFrame([(10,), (20,)], "k long"), ["k"])
-    finally:
-        V.MATERIALIZE_FROM_BYTES = old
+    probe = L._in_key_range(target, spark.createDataFrame([(10,), (20,)], "k long"), ["k"])
     p = plan(probe)
     assert "GreaterThanOrEqual(k,10)" in p and "LessThanOrEqual(k,20)" in p
     assert probe.count() == 11

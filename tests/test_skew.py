@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 
 from rampart import RuleSpec, validate
-from rampart.operators import validate as V
 from rampart.operators.routing import error_message
 
 N = 30000
@@ -36,9 +35,8 @@ def _expected(rows: pd.DataFrame) -> dict:
 
 
 @pytest.mark.parametrize("path", ["broadcast", "shuffle"])
-def test_hot_and_null_keys(spark, monkeypatch, path):
+def test_hot_and_null_keys(spark, path):
     if path == "shuffle":
-        monkeypatch.setattr(V, "MAX_BROADCAST_ROWS", 0)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
@@ -47,7 +45,7 @@ def test_hot_and_null_keys(spark, monkeypatch, path):
     try:
         df = _data(spark)
         rules = [RuleSpec("unique", ("k",)), RuleSpec("duplicate", ("k",))]
-        checked = validate(df, None, rules=rules, check_datatypes=False, materialize=True)
+        checked = validate(df, None, rules=rules, check_datatypes=False)
         got = {r["_source_index"]: r["error_message"] for r in error_message(checked).collect()}
         plan = checked._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -63,12 +61,11 @@ def test_hot_and_null_keys(spark, monkeypatch, path):
         assert "SortMergeJoin" not in plan
 
 
-def test_large_key_table_goes_through_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr(V, "MAX_BROADCAST_ROWS", 10)
+def test_key_table_goes_through_shared_folder(spark):
     df = _data(spark)
     rules = [RuleSpec("duplicate", ("k",))]
-    checked = validate(df, None, rules=rules, whole_row_duplicate=False, check_datatypes=False,
-                       materialize=True)
+    checked = validate(df, None, rules=rules, whole_row_duplicate=False, check_datatypes=False)
+    assert "key-stats-" in checked._jdf.queryExecution().executedPlan().toString()
     got = {r["_source_index"]: r["error_message"] for r in error_message(checked).collect()}
     pdf = df.toPandas().sort_values("_source_index")
     dup = pdf.duplicated(subset=["k"], keep="first")
