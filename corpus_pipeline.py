@@ -22,13 +22,13 @@ from rampart.llm.queries import BITS, CONTEXT, REPEAT_WORDS, SHINGLE, TOXIC, tok
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; those without any lettered word go."""
     model = langid.train(docs)
-    return langid.identify(docs, model).filter(F.col("lang_pred") != "und").select(docs.columns)
+    return langid.identify(docs, model, names=("_lang", "_share", "_spans")).filter(F.col("_lang") != "und").select(docs.columns)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below TOXIC."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).filter(F.col("toxicity") < TOXIC).select(docs.columns)
+    return toxicity.score(docs, model, names=("_toxicity", "_restored")).filter(F.col("_toxicity") < TOXIC).select(docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,7 +41,8 @@ class BpeCodec:
     Understands what such a file states for word-level BPE: the normalizers NFC,
     Replace and Lowercase, a Split pattern before ByteLevel, an end-of-word
     suffix, and special tokens matched in the raw text. Anything else raises
-    ValueError rather than giving other ids than the library."""
+    ValueError rather than giving other ids than the library. (Characters newer
+    than the library's Unicode tables may count as letters here already.)"""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -243,48 +244,52 @@ def codec(path: str) -> BpeCodec:
     return BpeCodec(path)
 
 
-def _with(df: DataFrame, names: list[tuple[str, str]], run) -> DataFrame:
-    clash = {n for n, _ in names} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already; choose other names")
-    out = T.StructType(list(df.schema.fields))
-    for n, t in names:
-        out.add(n, t)
-    return df.mapInArrow(run, out)
+def add_columns(df: DataFrame, columns: dict[str, tuple[str | T.DataType, pa.DataType]], source: str, make, rows: int = 512) -> DataFrame:
+    """``df`` with new columns (name: Spark type, Arrow type). ``make()`` gives a
+    worker's function from values of the column ``source``, up to ``rows``, to the
+    new columns' lists. A column of ``df`` that has a new one's name is replaced,
+    at the end."""
+    at = df.columns.index(source)
+    kept = [i for i, c in enumerate(df.columns) if c not in columns]
+    schema = T.StructType([df.schema.fields[i] for i in kept])
+    for name, (kind, _) in columns.items():
+        schema.add(name, kind)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for whole in batches:
+            for start in range(0, whole.num_rows, rows):
+                b = whole.slice(start, rows)
+                extra = [pa.array(v, t) for v, (_, t) in zip(work(b.column(at).to_pylist()), columns.values())]
+                fields = [*(b.schema.field(i) for i in kept), *(pa.field(n, t) for n, (_, t) in columns.items())]
+                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), *extra], schema=pa.schema(fields))
+
+    return df.mapInArrow(run, schema)
 
 
 def bpe_encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """Add ``ids_col`` (binary, little-endian unsigned 32-bit ids) and, if named,
     ``decoded_col`` (the ids decoded again). A null or empty text gives no ids;
     a long one is encoded whole. All other columns and rows, repeated ones too,
-    are kept; a name that exists already raises ValueError."""
-    types = [pa.binary()] + [pa.string()] * (decoded_col is not None)
-    at = df.columns.index(text_col)
+    are kept; a column that has a new one's name is replaced."""
+    columns = {ids_col: ("binary", pa.binary())} | ({decoded_col: ("string", pa.string())} if decoded_col else {})
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         c = codec(path)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 512):  # ids of a few documents at a time
-                b = whole.slice(start, 512)
-                ids = c.encode_batch(b.column(at).to_pylist())
-                extra = [pa.array(ids, pa.binary())] + ([pa.array([c.decode(i) for i in ids], pa.string())] if decoded_col else [])
-                fields = [*b.schema, *(pa.field(n, t) for n, t in zip([ids_col, decoded_col], types))]
-                yield pa.RecordBatch.from_arrays([*b.columns, *extra], schema=pa.schema(fields))
 
-    return _with(df, [(ids_col, "binary")] + ([(decoded_col, "string")] if decoded_col else []), run)
+        def work(texts: list) -> list[list]:
+            ids = c.encode_batch(texts)
+            return [ids, [c.decode(i) for i in ids]] if decoded_col else [ids]
 
+        return work
 
-def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """Add ``text_col``: the decoded text of ``ids_col``; null ids give an empty text."""
-    at = df.columns.index(ids_col)
+    return add_columns(df, columns, text_col, make)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
-        for b in batches:
-            out = pa.array([c.decode(i or b"") for i in b.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, out], schema=pa.schema([*b.schema, pa.field(text_col, pa.string())]))
 
-    return _with(df, [(text_col, "string")], run)
+def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """Add ``text_col``: the decoded text of ``ids_col``; null ids give an empty
+    text. A column that has its name is replaced."""
+    return add_columns(df, {text_col: ("string", pa.string())}, ids_col, lambda: lambda ids: [[codec(path).decode(i or b"") for i in ids]])
 
 
 def token_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rampart.llm.bpe import add_columns
+
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 1000
 PENALTY = 8.0       # nats for a switch of language between words
@@ -202,20 +204,16 @@ _SPANS = pa.list_(pa.struct([("first_word", pa.int32()), ("last_word", pa.int32(
 LABEL_WORDS = 400_000  # labelled together
 
 
-def identify(df: DataFrame, model: dict, text_col: str = "text", penalty: float = PENALTY) -> DataFrame:
-    """Add lang_pred, score and lang_spans to every row.
+def identify(df: DataFrame, model: dict, text_col: str = "text", penalty: float = PENALTY,
+             names: tuple[str, str, str] = ("lang_pred", "score", "lang_spans")) -> DataFrame:
+    """Add lang_pred, score and lang_spans (or ``names``) to every row.
 
     lang_spans are runs of words of one language (places from 0). lang_pred has
     most of the lettered words, ties going to the first in order; score is its
     share of them. A null, empty or letterless text, or a model without
     languages, gives ``und``, 0 and no spans. Columns that have these names
-    raise ValueError; everything else is kept as it is."""
-    names = ["lang_pred", "score", "lang_spans"]
-    if set(names) & set(df.columns):
-        raise ValueError("the table already has a column lang_pred, score or lang_spans")
-    at = df.columns.index(text_col)
+    are replaced; everything else, repeated rows too, is kept as it is."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages
-    schema = T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lang_spans", SPANS)])
 
     def verdict(langs: list[str], path: np.ndarray, lettered: np.ndarray):
         votes = np.bincount(path[lettered], minlength=len(langs)) if langs else np.zeros(0)
@@ -226,15 +224,15 @@ def identify(df: DataFrame, model: dict, text_col: str = "text", penalty: float
         spans = [{"first_word": a, "last_word": b, "lang": langs[p]} for a, b, p in zip(edge.tolist(), last.tolist(), path[edge].tolist())]
         return langs[int(votes.argmax())], float(votes.max() / votes.sum()), spans
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         labeller = Labeller(shared.value, penalty)
-        for b in batches:
-            texts = [t or "" for t in b.column(at).to_pylist()]
-            order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+
+        def work(texts: list) -> list[tuple]:
+            texts = [t or "" for t in texts]
             out: list = [None] * len(texts)
             part: list[int] = []
             size = 0
-            for i in [*order, None]:  # texts of like length together, about LABEL_WORDS words
+            for i in [*sorted(range(len(texts)), key=lambda i: len(texts[i])), None]:  # texts of like length together
                 if i is None or part and size + len(texts[i]) > 6 * LABEL_WORDS:
                     for j, (path, lettered) in zip(part, labeller.label([texts[j] for j in part])):
                         out[j] = verdict(labeller.langs, path, lettered)
@@ -242,8 +240,8 @@ def identify(df: DataFrame, model: dict, text_col: str = "text", penalty: float
                 if i is not None:
                     part.append(i)
                     size += len(texts[i])
-            extra = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.float64(), _SPANS))]
-            fields = [*b.schema, *(pa.field(n, a.type) for n, a in zip(names, extra))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *extra], schema=pa.schema(fields))
+            return list(zip(*out))
+
+        return work
 
-    return df.mapInArrow(run, schema)
+    return add_columns(df, dict(zip(names, (("string", pa.string()), ("double", pa.float64()), (SPANS, _SPANS)))), text_col, make, rows=10_000)

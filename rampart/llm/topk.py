@@ -75,13 +75,16 @@ def top_inner_products(df: DataFrame, queries: Column, k: int, scale: float = 64
     floor(scale * component) for each row where ``queries`` holds, against all
     other rows of its dimension; ties go to the smaller id.
 
+    Scores are exact while score times the rows of a block stay below 2**53.
     Rows with a null id, a null or empty vector, or a null or non-finite
     component take no part; equal rows count once; a row never meets rows of
     its own id; an empty table gives an empty result; more columns are not read."""
-    whole = F.transform(F.col(vector_col).cast("array<double>"), lambda x: F.floor(x * scale).cast("double"))
-    rows = vectors.usable(df.withColumn(vector_col, whole), id_col, vector_col, nonzero=False)
-    index = vectors.grouped(rows, vectors.BLOCK_ROWS, sorted_lists, "lists")
-    asked = vectors.grouped(vectors.usable(df.withColumn(vector_col, whole).filter(queries), id_col, vector_col, nonzero=False), vectors.QUERY_ROWS, None, "queries")
+    def quantized(rows: DataFrame) -> DataFrame:
+        out = vectors.usable(rows, id_col, vector_col, nonzero=False)
+        return out.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double"))).dropDuplicates()
+
+    index = vectors.grouped(quantized(df), vectors.BLOCK_ROWS, sorted_lists, "lists")
+    asked = vectors.grouped(quantized(df.filter(queries)), vectors.QUERY_ROWS, None, "queries")
 
     def search(block: dict, ask: dict) -> pa.RecordBatch:
         n, dim = block["data"].shape

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rampart.llm.bpe import add_columns
+
 LABELLED = 50_000   # about so many distinct labelled texts fit the word scores, the first by hash
 LEXICON = 20_000    # words with a score, the most frequent ones in toxic texts
 LEAST_TEXTS, LEAST_SHARE = 5, 0.005  # of the toxic texts, that a word must occur in
@@ -210,17 +212,17 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     scores come from about ``labelled`` different labelled texts, those that are first by
     a hash of the text; copies count once, a null label not at all. Without
     labelled texts the lexicon is empty."""
-    kept = docs if where is None else docs.filter(where)
-    characters = train_characters(kept, text_col)
+    kept = (docs if where is None else docs.filter(where)).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    characters = train_characters(kept, "_text")
     truth = labels.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("y")).filter("y is not null and _id is not null")
-    hashed = kept.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h")).filter("_id is not null")
+    hashed = kept.select("_id", F.xxhash64(F.coalesce("_text", F.lit(""))).alias("h")).filter("_id is not null")
     texts = hashed.join(truth, "_id").groupBy("h").agg(F.min("_id").alias("_id"), F.min_by("y", "_id").alias("y"))
     n, toxic = texts.agg(F.count("*"), F.sum("y")).first()
     if not n:
         return {"characters": characters, "lexicon": {}, "prior": 0.0}
     share = min(1.0, labelled / n)
     sample = texts.filter(F.pmod("h", F.lit(1_000_003)) < int(share * 1_000_003)).select("_id", "y")
-    rows = kept.join(F.broadcast(sample), F.col(id_col) == F.col("_id")).select(F.col(text_col).cast("string"), F.col("y").cast("int"))
+    rows = kept.join(F.broadcast(sample), "_id").select("_text", F.col("y").cast("int"))
     shared = docs.sparkSession.sparkContext.broadcast(characters)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,30 +250,30 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     return {"characters": characters, "lexicon": {r["w"]: r["p"] for r in words.collect()}, "prior": prior}
 
 
-def score(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """Add toxicity (0 to 1) and restored_words (lexicon words that were disguised).
+def score(df: DataFrame, model: dict, text_col: str = "text", names: tuple[str, str] = ("toxicity", "restored_words")) -> DataFrame:
+    """Add toxicity (0 to 1) and restored_words (lexicon words that were
+    disguised), or ``names``.
 
     toxicity is the chance that at least one of the text's scored words makes it
     toxic; without any, and for null and empty texts, a third of the prior. All
-    rows and columns are kept; columns of these names raise ValueError."""
-    names = ["toxicity", "restored_words"]
-    if set(names) & set(df.columns):
-        raise ValueError("the table already has a column toxicity or restored_words")
-    at = df.columns.index(text_col)
+    rows, repeated ones too, and columns are kept; columns of these names are
+    replaced."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # SIZE cubed numbers and LEXICON words
-    schema = T.StructType([*df.schema.fields, T.StructField("toxicity", T.DoubleType()), T.StructField("restored_words", T.ArrayType(T.StringType()))])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         m = shared.value
         lexicon = m["lexicon"]
         reader = Reader(m["characters"], lexicon)
-        for b in batches:
+
+        def work(texts: list) -> list[list]:
             scores, words = [], []
-            for t in b.column(at).to_pylist():
+            for t in texts:
                 hits, disguised = reader.hits(t or "")
                 scores.append(1 - math.prod(1 - lexicon[w] for w in sorted(hits)) if hits else m["prior"] / 3)
                 words.append(disguised)
-            extra = [pa.array(scores, pa.float64()), pa.array(words, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *extra], schema=pa.schema([*b.schema, *(pa.field(n, a.type) for n, a in zip(names, extra))]))
+            return [scores, words]
+
+        return work
 
-    return df.mapInArrow(run, schema)
+    kinds = ("double", pa.float64()), (T.ArrayType(T.StringType()), pa.list_(pa.string()))
+    return add_columns(df, dict(zip(names, kinds)), text_col, make)
