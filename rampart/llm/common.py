@@ -70,11 +70,12 @@ def columns(batch: pa.RecordBatch) -> list[list]:
 # key costs one entry a block however many rows carry it.
 
 BLOCK_BYTES = 4 << 20
+LEVEL = 3  # of compression
 BLOCK_SCHEMA = "block long, ids binary, flags binary, sizes binary, payload binary"
 
 
 def _block(task: int, seq: int, ids: list, flags: list, texts: list[bytes]) -> dict:
-    payload = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
+    payload = zstandard.compress(b"".join(texts), LEVEL)
     return {"block": (task << 24) + seq,
             "ids": np.array([NO_ID if i is None else i for i in ids], np.int64).tobytes(),
             "flags": np.array(flags, np.uint8).tobytes(),
@@ -141,26 +142,27 @@ ASK_SCHEMA = "shard int, block long, blob binary"
 ASK_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("blob", pa.binary())])
 
 
-def asks(block: int, shard: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
-    """One row for each shard: its entries (a structured array) in their order."""
+def asks(block: int, shard: np.ndarray, entries: np.ndarray, packed: bool = False) -> pa.RecordBatch:
+    """One row for each shard: its entries (a structured array) in their order,
+    compressed if ``packed`` (the answer must know)."""
     order = np.argsort(shard, kind="stable")
     found, start = np.unique(shard[order], return_index=True)
     ends = np.r_[start[1:], len(order)]
-    blobs = [entries[order[a:b]].tobytes() for a, b in zip(start, ends)]
+    blobs = [pack(entries[order[a:b]], packed) for a, b in zip(start, ends)]
     return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(np.full(len(found), block, np.int64)), pa.array(blobs, pa.binary())], schema=ASK_ARROW)
 
 
-def answered(ask_rows: DataFrame, dtype: np.dtype, answer) -> DataFrame:
+def answered(ask_rows: DataFrame, dtype: np.dtype, answer, packed: bool = False) -> DataFrame:
     """Rows (shard, block, blob): ``answer(entries)`` of all entries of a shard,
     an array with one item for each entry, dealt back to the blocks. A shard
     holds what hashes to it, about one of shards() parts of all entries."""
 
     def solve(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
-        blobs = table.column("blob").to_pylist()
-        got = answer(np.frombuffer(b"".join(blobs), dtype))
-        ends = np.cumsum([len(b) // dtype.itemsize for b in blobs])
-        out = [got[a:b].tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends)]
+        parts = [unpacked(b, dtype, packed) for b in table.column("blob").to_pylist()]
+        got = answer(np.concatenate(parts))
+        ends = np.cumsum([len(p) for p in parts])
+        out = [pack(got[a:b], packed) for a, b in zip(np.r_[0, ends[:-1]], ends)]
         return pa.Table.from_arrays([table.column("shard"), table.column("block"), pa.array(out, pa.binary())], schema=ASK_ARROW)
 
     return ask_rows.groupBy("shard").applyInArrow(solve, ASK_SCHEMA)
@@ -174,7 +176,23 @@ def with_answers(blocks: DataFrame, **answers: DataFrame) -> DataFrame:
     return blocks
 
 
-def scatter(shard: np.ndarray, got: list[dict] | None, dtype) -> np.ndarray:
+def pack(items: np.ndarray, packed: bool) -> bytes:
+    """Bytes of an array; packed, those of equal significance together and compressed."""
+    if not packed:
+        return items.tobytes()
+    rows = np.frombuffer(items.tobytes(), np.uint8).reshape(len(items), -1)
+    return zstandard.compress(np.ascontiguousarray(rows.T).tobytes(), LEVEL)
+
+
+def unpacked(blob: bytes, dtype: np.dtype, packed: bool) -> np.ndarray:
+    if not packed:
+        return np.frombuffer(blob, dtype)
+    dtype = np.dtype(dtype)
+    rows = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(dtype.itemsize, -1)
+    return np.frombuffer(np.ascontiguousarray(rows.T).tobytes(), dtype)
+
+
+def scatter(shard: np.ndarray, got: list[dict] | None, dtype, packed: bool = False) -> np.ndarray:
     """The answers in the order of the block's own entries."""
     out = np.zeros(len(shard), dtype)
     order = np.argsort(shard, kind="stable")
@@ -182,7 +200,7 @@ def scatter(shard: np.ndarray, got: list[dict] | None, dtype) -> np.ndarray:
     ends = dict(zip(found.tolist(), zip(start.tolist(), np.r_[start[1:], len(order)].tolist())))
     for g in got or []:
         a, b = ends[g["shard"]]
-        out[order[a:b]] = np.frombuffer(g["blob"], dtype)
+        out[order[a:b]] = unpacked(g["blob"], dtype, packed)
     return out
 
 
@@ -231,23 +249,23 @@ class RangeHashes:
 def selected(grams: np.ndarray, starts: np.ndarray, window: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Winnowing: for every ``length``-unit string within a document, the place of
     the least of its ``window`` grams (the rightmost of equal ones), and the
-    string's start. ``grams[i]`` belongs to the gram that starts at unit i;
+    string's start. ``grams[i]``, 32 bits, belongs to the gram that starts at unit i;
     ``starts`` are the documents' first units and, at last, the end. Equal
     strings select the same gram."""
     n = int(starts[-1])
     if n < length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    value, place = grams, np.arange(len(grams), dtype=np.int32)
+    low = np.uint64(0xFFFFFFFF)
+    value = grams.astype(np.uint64) << np.uint64(32) | low - np.arange(len(grams), dtype=np.uint64)  # of equal ones the later is less
     span = 1
     while span < window:
         step = min(span, window - span)
-        m = len(value) - step
-        right = value[step:] <= value[:m]
-        value, place = np.where(right, value[step:], value[:m]), np.where(right, place[step:], place[:m])
+        value = np.minimum(value[:-step], value[step:])
         span += step
+    place = (low - (value & low)).astype(np.int64)
     last = np.repeat(starts[1:], np.diff(starts))[: n - length + 1] - length  # the last start within each document
     good = np.flatnonzero(np.arange(n - length + 1) <= last)
-    return place[good].astype(np.int64), good
+    return place[good], good
 
 
 def row_hashes(rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -49,7 +49,7 @@ class Seeds:
         n, reach = len(self.units), length - gram
         first = np.arange(max(0, n - gram + 1))
         grams = ranges.of(first, first + gram)
-        self.at = at = np.unique(common.selected(grams, self.starts, reach + 1, length)[0])
+        self.at = at = np.unique(common.selected((grams >> np.uint64(32)).astype(np.uint32), self.starts, reach + 1, length)[0])
         self.doc = np.searchsorted(self.starts, at, side="right") - 1
         self.left = np.minimum(at - self.starts[self.doc], reach)
         self.right = np.minimum(self.starts[self.doc + 1] - at - gram, reach)
