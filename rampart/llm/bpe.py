@@ -222,11 +222,18 @@ class BpeCodec:
         return out
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        """As :meth:`encode_batch`, faster where most words are in the cache."""
-        out = list(map(self._chunks.get, words))
-        # a special token counts as one in the raw text only, not as a cached chunk
-        miss = [i for i, (o, w) in enumerate(zip(out, words)) if o is None or "<|" in w]
-        for i, ids in zip(miss, self.encode_batch([words[i] for i in miss])):
+        """As :meth:`encode_batch`, faster for words that normalization leaves as they are."""
+        if len(self._chunks) + len(words) > CACHE_ENTRIES:
+            self._chunks = {}
+        chunks = self._chunks
+        new = [w for w in words if w not in chunks]
+        plain = [w for w in new if w.split() == [w] and w == w.lower() and "<|" not in w
+                 and (w.isascii() or unicodedata.is_normalized("NFC", w) and "Σ" not in w)]
+        self._encode_chunks(plain)
+        out = list(map(chunks.get, words))
+        # the rest, and special tokens, which count as one in the raw text only
+        rest = [i for i, (o, w) in enumerate(zip(out, words)) if o is None or "<|" in w]
+        for i, ids in zip(rest, self.encode_batch([words[i] for i in rest])):
             out[i] = ids
         return out
 
