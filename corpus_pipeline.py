@@ -15,20 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rampart.llm import langid, packing, simhash, substring_dedup, toxicity
-from rampart.llm.common import materialize
+from rampart.llm.common import fresh, materialize
 from rampart.llm.queries import BITS, CONTEXT, REPEAT_WORDS, SHINGLE, TOXIC, tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; those without any lettered word go."""
     model = langid.train(docs)
-    return langid.identify(docs, model, names=("_lang", "_share", "_spans")).filter(F.col("_lang") != "und").select(docs.columns)
+    names = fresh(docs, "_lang", "_share", "_spans")
+    return langid.identify(docs, model, names=names).filter(F.col(names[0]) != "und").select(docs.columns)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below TOXIC."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, names=("_toxicity", "_restored")).filter(F.col("_toxicity") < TOXIC).select(docs.columns)
+    names = fresh(docs, "_toxicity", "_restored")
+    return toxicity.score(docs, model, names=names).filter(F.col(names[0]) < TOXIC).select(docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +42,13 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that a document of a smaller id has."""
-    key = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
-    shorter = substring_dedup.remove_repeats(docs, REPEAT_WORDS).filter("n_removed > 0").select(*key, F.col("text").alias("_text")).dropDuplicates(["_id", "_hash"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
-    cut = F.col("_text").isNotNull()
-    out = docs.join(shorter, same, "left").withColumn("n_chars", F.when(cut, F.length("_text").cast("long")).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.coalesce("_text", "text")).select(docs.columns)
+    i, h, t = fresh(docs, "_id", "_hash", "_text")
+    found = substring_dedup.remove_repeats(docs, REPEAT_WORDS).filter("n_removed > 0")
+    shorter = found.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), F.col("text").alias(t)).dropDuplicates([i, h])
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(h))
+    n_chars = F.when(F.col(t).isNotNull(), F.length(t).cast("long")).otherwise(F.col("n_chars"))
+    out = docs.join(shorter, same, "left").withColumns({"n_chars": n_chars, "text": F.coalesce(t, "text")})
+    return out.select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,16 @@ def _clean() -> None:
             return
 
 
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, with underscores before them as far as ``df`` has such columns."""
+    taken = {c.lower() for c in df.columns}
+
+    def free(name: str) -> str:
+        return name if name.lower() not in taken else free("_" + name)
+
+    return tuple(map(free, names))
+
+
 def held_out(id_col: str, mod: int, rest: int) -> Column:
     """crc32(id as text) mod ``mod`` is ``rest``; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % mod == rest, F.lit(False))
