@@ -227,8 +227,12 @@ class BpeCodec:
             self._chunks = {}
         chunks = self._chunks
         new = [w for w in words if w not in chunks]
-        plain = [w for w in new if w.split() == [w] and w == w.lower() and "<|" not in w
-                 and (w.isascii() or unicodedata.is_normalized("NFC", w) and "Σ" not in w)]
+        ascii_, other = [w for w in new if w.isascii()], [w for w in new if not w.isascii()]
+        whole = " ".join(ascii_)
+        if whole != whole.lower() or "<|" in whole or len(whole.split()) != len(ascii_):  # one of them is out of the ordinary
+            ascii_ = [w for w in ascii_ if w == w.lower() and "<|" not in w and w.split() == [w]]
+        plain = ascii_ + [w for w in other if w == w.lower() and "<|" not in w and w.split() == [w] and "Σ" not in w
+                          and unicodedata.is_normalized("NFC", w)]
         self._encode_chunks(plain)
         out = list(map(chunks.get, words))
         # the rest, and special tokens, which count as one in the raw text only
