@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,13 +11,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rampart.session import hadoop_fs, scratch_path
+from rampart.session import hadoop_fs, plain_path, scratch_path
 
 #: A null doc_id sorts after every other; equal ids are never "smaller".
 NO_ID = np.int64(2**63 - 1)
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
-
 
 def materialize(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
@@ -28,27 +25,16 @@ def materialize(df: DataFrame, name: str, **options) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.options(**options).parquet(path)
-    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
     """Delete a table of :func:`materialize` that nothing will read again."""
-    for p in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for p in {plain_path(f).rsplit("/", 1)[0] for f in df.inputFiles()}:
         fs, path = hadoop_fs(df.sparkSession, p)
         fs.delete(path, True)
 
 
-@atexit.register
-def _clean() -> None:
-    for spark, path in _WRITTEN:
-        try:
-            fs, p = hadoop_fs(spark, path)
-            fs.delete(p, True)
-        except Exception:  # the session ended before the interpreter did
-            return
-
-
 def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
     """The names, with underscores before them as far as ``df`` has such columns."""
     taken = {c.lower() for c in df.columns}
