@@ -2,9 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the
 last return the columns of ``documents``. Null and letterless texts have no language, so the
-first stage drops them. The third keeps one row of each group by its doc_id: rows that
-share an id count as one document, and rows without an id can't be named and go. A text
-that repeats passages throughout is empty after the fourth stage and stays as such.
+first stage drops them. The third keeps one row of each group, whatever ids its rows have:
+that of the smallest id, of a null id only where no row has one. A text that repeats
+passages throughout is empty after the fourth stage and stays as such.
 """
 
 from __future__ import annotations
@@ -34,10 +34,14 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that of the smallest id."""
-    groups = simhash.simhash_groups(docs, SHINGLE, BITS)
-    keep = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One document of each near-duplicate group: that of the smallest id, nulls last.
+    Rows that share an id, or have none, are told apart by a key of their own."""
+    key, group = fresh(docs, "_key", "_group")
+    keyed = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    groups = simhash.simhash_groups(keyed, SHINGLE, BITS, id_col=key).select(F.col("doc_id").alias(key), F.col("component_id").alias(group))
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key).alias("key"))
+    keep = keyed.select(key, "doc_id").join(groups, key).groupBy(group).agg(F.min(rank)["key"].alias(key))
+    return keyed.join(keep, key, "left_semi").select(docs.columns)
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

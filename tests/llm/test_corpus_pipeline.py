@@ -58,6 +58,17 @@ def test_stages_do_what_they_say(spark, corpus):
     assert all(r["n_chars"] == len(r["text"]) for r in texts.values()) and {r["_text"] for r in texts.values()} == {"kept"}
 
 
+def test_near_dedup_keeps_a_row_of_each_group(spark, tmp_path):
+    rng = random.Random(4)
+    prose = [" ".join("".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(80)) for _ in range(6)]
+    rows = [(None, prose[0]), (None, prose[1]), (None, prose[1]), (5, prose[2]), (5, prose[3]), (5, prose[3]), (7, prose[3]), (None, prose[4]), (9, prose[4]), (8, prose[4]), (6, prose[5])]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _key int").repartition(3)
+    got = pipe.simhash_near_dedup(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    want = [(None, prose[0]), (None, prose[1]), (5, prose[2]), (5, prose[3]), (8, prose[4]), (6, prose[5])]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got.collect()) == sorted((str(i), t) for i, t in want)
+
+
 def test_run_and_empty_tables(spark, corpus, tmp_path):
     sf, _ = corpus
     rows = pipe.run(spark, sf).collect()
