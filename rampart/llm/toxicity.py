@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rampart.llm.bpe import add_columns
+from rampart.llm.common import discard, materialize
 
+HASHES = 1 << 53     # values of the hash that the sample is drawn by
 LABELLED = 50_000   # about so many distinct labelled texts fit the word scores, the first by hash
 LEXICON = 20_000    # words with a score, the most frequent ones in toxic texts
 LEAST_TEXTS, LEAST_SHARE = 5, 0.005  # of the toxic texts, that a word must occur in
@@ -215,14 +217,17 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     kept = (docs if where is None else docs.filter(where)).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     characters = train_characters(kept, "_text")
     truth = labels.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("y")).filter("y is not null and _id is not null")
-    hashed = kept.select("_id", F.xxhash64(F.coalesce("_text", F.lit(""))).alias("h")).filter("_id is not null")
-    texts = hashed.join(truth, "_id").groupBy("h").agg(F.min("_id").alias("_id"), F.min_by("y", "_id").alias("y"))
-    n, toxic = texts.agg(F.count("*"), F.sum("y")).first()
+    hashed = kept.withColumn("h", F.xxhash64(F.coalesce("_text", F.lit("")))).filter("_id is not null")
+    texts = materialize(hashed.select("_id", "h").join(truth, "_id").groupBy("h").agg(F.min("_id").alias("_id"), F.min_by("y", "_id").alias("y")), "labelled")
+    n = texts.count()
+    share = min(1.0, labelled / n) if n else 0.0
+    sample = texts.filter(F.pmod("h", F.lit(HASHES)) < math.ceil(share * HASHES))
+    # word counts, their least number and the prior have one base: the sampled texts, each once
+    n, toxic = sample.agg(F.count("*"), F.sum((F.col("y") > 0).cast("int"))).first()
     if not n:
+        discard(texts)
         return {"characters": characters, "lexicon": {}, "prior": 0.0}
-    share = min(1.0, labelled / n)
-    sample = texts.filter(F.pmod("h", F.lit(1_000_003)) < int(share * 1_000_003)).select("_id", "y")
-    rows = kept.join(F.broadcast(sample), "_id").select("_text", F.col("y").cast("int"))
+    rows = hashed.join(F.broadcast(sample), ["_id", "h"]).dropDuplicates(["h"]).select("_text", F.col("y").cast("int"))
     shared = docs.sparkSession.sparkContext.broadcast(characters)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +252,9 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     words = (rows.mapInArrow(count, "w string, clean long, toxic long").groupBy("w").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
              .filter(F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * float(toxic))).select("w", "toxic", score.alias("p")).filter(F.col("p") >= LEAST_SCORE)
              .orderBy(F.desc("toxic"), "w").limit(LEXICON))
-    return {"characters": characters, "lexicon": {r["w"]: r["p"] for r in words.collect()}, "prior": prior}
+    lexicon = {r["w"]: r["p"] for r in words.collect()}
+    discard(texts)
+    return {"characters": characters, "lexicon": lexicon, "prior": prior}
 
 
 def score(df: DataFrame, model: dict, text_col: str = "text", names: tuple[str, str] = ("toxicity", "restored_words")) -> DataFrame:

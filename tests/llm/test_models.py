@@ -136,6 +136,33 @@ def test_odd_texts_have_a_score(odd_docs, no_docs, toxic):
     assert none["lexicon"] == {} and toxicity.score(odd_docs, none).where("toxicity = 0").count() == odd_docs.count()
 
 
+def test_sampled_fit_finds_the_words_of_the_full_fit(spark):
+    rng = random.Random(8)
+    plain = ["house", "river", "garden", "walk", "morning", "quiet", "letter", "stone", "bread", "window"]
+    rude = ["blockhead", "scoundrel", "nitwit", "dunce"]  # each in a quarter of the toxic texts
+    rows, labels = [], []
+    for i in range(4000):
+        words = [rng.choice(plain) for _ in range(20)]
+        if i % 5 == 0:
+            words.insert(3, rude[i // 5 % 4])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 5 == 0)))
+    rows += [(20, "another text of an id"), rows[40], rows[40]]  # neither adds to the counts of another text
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    whole = toxicity.train(docs, labels)
+    assert set(whole["lexicon"]) >= set(rude)
+    old = toxicity.LEAST_SHARE
+    toxicity.LEAST_SHARE = 0.05  # of 800 toxic texts 40; a word has about 20 of the sampled ones
+    try:
+        part = toxicity.train(docs, labels, labelled=400)
+    finally:
+        toxicity.LEAST_SHARE = old
+    assert set(part["lexicon"]) == set(rude)
+    assert abs(part["prior"] - whole["prior"]) < 0.06 and abs(whole["prior"] - 0.2) < 0.001
+    assert all(abs(part["lexicon"][w] - whole["lexicon"][w]) < 0.2 for w in rude)
+
+
 # ---- language model ---------------------------------------------------------------
 
 def brute_counts(rows):
