@@ -200,6 +200,79 @@ def scatter(shard: np.ndarray, got: list[dict] | None, dtype, packed: bool = Fal
     return out
 
 
+# ---- hot anchors -----------------------------------------------------------------
+#
+# What is dealt by anchor stays small only while an anchor has few different entries.
+# Blocks first send each different anchor once with the number of its entries; the strings of
+# anchors with more than HOT go by their own hash, which Spark reduces by partition and key.
+
+HOT = 20_000  # different entries of an anchor (counted to a power of two, never too high)
+ALONE, SHARED, CROWDED = 0, 1, 2  # answers to an anchor
+ANCHOR = np.dtype([("hash", "<u4"), ("shared", "u1")])
+STRINGS_SCHEMA = "anchor long, string long, block long, low long, high long"
+FOUND_SCHEMA = "array<struct<anchor:long,string:long,least:long>>"
+
+
+def anchor_entries(hashes: np.ndarray, shared: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Entries of different anchors: in one byte, whether two documents of the block share
+    it and the number of its entries, as its binary digits."""
+    out = np.zeros(len(hashes), ANCHOR)
+    out["hash"] = hashes
+    out["shared"] = shared | np.frexp(many.astype(float))[1].astype(np.uint8) << np.uint8(1)
+    return out
+
+
+def judge_anchors(hot: int):
+    def judge(entries: np.ndarray) -> np.ndarray:
+        """SHARED where the anchor is in two documents (blocks, or within one), CROWDED
+        where it has more than ``hot`` entries, too."""
+        found, number, blocks = np.unique(entries["hash"], return_inverse=True, return_counts=True)
+        shared = np.bincount(number, entries["shared"] & 1, len(found)) + blocks > 1
+        many = np.bincount(number, np.ldexp(1.0, (entries["shared"] >> 1).astype(int) - 1), len(found))
+        return np.where(shared, np.where(many > hot, CROWDED, SHARED), ALONE)[number].astype(np.uint8)
+
+    return judge
+
+
+def string_rows(block: int, anchor: np.ndarray, string: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    """A block's strings of crowded anchors, each once with its smallest and largest document."""
+    order = np.lexsort((string, anchor))
+    a, s, d = anchor[order], string[order], doc[order]
+    head = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (s[1:] != s[:-1])][: len(a)])
+    low, high = (f.reduceat(d, head) if len(head) else d for f in (np.minimum, np.maximum))
+    return pa.RecordBatch.from_arrays([pa.array(a[head].view(np.int64)), pa.array(s[head].view(np.int64)), pa.array(np.full(len(head), block, np.int64)), pa.array(low), pa.array(high)],
+                                      names=["anchor", "string", "block", "low", "high"])
+
+
+def with_strings(blocks: DataFrame, ask) -> DataFrame:
+    """Blocks (with their anchors' answers) with a list column ``strings``: the
+    strings of crowded anchors that a smaller document has, and which that is. ``ask`` makes
+    :func:`string_rows` of blocks; those without a crowded anchor aren't asked."""
+    crowded = blocks.filter(F.exists("anchors", lambda a: F.instr(a["blob"].cast("string"), chr(CROWDED)) > 0))
+    rows = materialize(crowded.mapInArrow(ask, STRINGS_SCHEMA), "strings")
+    least = rows.groupBy("anchor", "string").agg(F.min("low").alias("least"), F.max("high").alias("most")).filter("least < most").drop("most")
+    found = rows.join(least, ["anchor", "string"]).filter("least < high")
+    got = found.groupBy(F.col("block").alias("_block")).agg(F.collect_list(F.struct("anchor", "string", "least")).alias("strings"))
+    return blocks.join(got, F.col("block") == F.col("_block"), "left").drop("_block")
+
+
+def any_crowded(anchors: DataFrame) -> bool:
+    return not anchors.filter(F.instr(F.col("blob").cast("string"), chr(CROWDED)) > 0).isEmpty()
+
+
+def repeated_strings(anchor: np.ndarray, string: np.ndarray, doc: np.ndarray, found: list[dict] | None) -> np.ndarray:
+    """Which strings of crowded anchors a smaller document has."""
+    if not found or not len(anchor):
+        return np.zeros(len(anchor), bool)
+    a, s, least = (np.array([f[k] for f in found], np.int64) for k in ("anchor", "string", "least"))
+    pairs = np.c_[np.r_[a, anchor.view(np.int64)], np.r_[s, string.view(np.int64)]]
+    different, number = np.unique(pairs, axis=0, return_inverse=True)
+    number = number.reshape(-1)
+    smallest = np.full(len(different), NO_ID)
+    smallest[number[:len(a)]] = least
+    return smallest[number[len(a):]] < doc
+
+
 # ---- hashes of sequences ----------------------------------------------------------
 
 BASE = 0x9E3779B97F4A7C15  # odd, so that powers have an inverse modulo 2**64

@@ -5,6 +5,10 @@ that any other document with the same window selects at the same place, so equal
 meet under their anchor. A member of an anchor is a (document, context) with the
 context of all words that a window over the anchor can reach.
 
+Blocks first send their anchors' hashes; only those of two documents or more go on.
+The windows of crowded anchors, with many different contexts, meet under their own
+hash, which Spark reduces partition by partition. Of the other anchors:
+
 1. Members with one context are one: all but the smallest document's are repeats as
    far as the context reaches. A block sends a context once, whatever its copies.
 2. The smallest documents of anchors with several contexts are extended to both
@@ -12,7 +16,7 @@ context of all words that a window over the anchor can reach.
    the rest of a window right share a window, which is a repeat in all but the smallest.
 
 Overlapping windows of a document merge into its maximal repeats. No pairs are
-listed anywhere; a hot anchor costs an entry for each block and context.
+listed anywhere.
 """
 
 from __future__ import annotations
@@ -23,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rampart.llm import common
 from rampart.llm.common import RangeHashes, WordHashes, mix
@@ -49,23 +52,55 @@ class Seeds:
         n, reach = len(self.units), length - gram
         first = np.arange(max(0, n - gram + 1))
         grams = ranges.of(first, first + gram)
-        self.at = at = np.unique(common.selected((grams >> np.uint64(32)).astype(np.uint32), self.starts, reach + 1, length)[0])
+        self.place, self.string = common.selected((grams >> np.uint64(32)).astype(np.uint32), self.starts, reach + 1, length)
+        self.at = at = np.unique(self.place)
+        self.ranges = ranges
         self.doc = np.searchsorted(self.starts, at, side="right") - 1
         self.left = np.minimum(at - self.starts[self.doc], reach)
         self.right = np.minimum(self.starts[self.doc + 1] - at - gram, reach)
         self.anchor = grams[at]
         edges = (self.left * (reach + 1) + self.right).astype(np.uint64)
         self.context = mix(ranges.of(at - self.left, at + gram + self.right) ^ mix(edges + np.uint64(1)) ^ self.anchor)
-        # the members: each context once, with its smallest document's first place
+        # each different anchor once
+        self.hashes, self.number = np.unique(self.anchor, return_inverse=True)
+        self.shard_count = shard_count
+        self.anchor_shard = self._shard(self.hashes)
+
+    def _shard(self, anchor: np.ndarray) -> np.ndarray:
+        return (anchor >> np.uint64(20)).astype(np.int64) % self.shard_count
+
+    def anchors(self) -> np.ndarray:
+        """Each different anchor, with the number of its different contexts."""
+        owner = self.ids[self.doc]
+        low, high = np.full(len(self.hashes), common.NO_ID), np.full(len(self.hashes), -2**63, np.int64)
+        np.minimum.at(low, self.number, owner)
+        np.maximum.at(high, self.number, owner)
+        _, first = np.unique(self.context, return_index=True)
+        many = np.bincount(self.number[first], minlength=len(self.hashes))
+        return common.anchor_entries(self.hashes.astype(np.uint32), low < high, many)
+
+    def choose(self, answer: np.ndarray) -> None:
+        """Set the members: of the shared anchors each context once, with its smallest
+        document's first place; and which anchors are crowded."""
+        answer = answer[self.number]
+        self.crowded = answer == common.CROWDED
+        at = np.flatnonzero(answer == common.SHARED)
         owner = self.ids[self.doc]
-        order = np.lexsort((at, owner, self.context))
+        order = at[np.lexsort((self.at[at], owner[at], self.context[at]))]
         head = np.r_[True, self.context[order][1:] != self.context[order][:-1]][: len(order)]
-        self.member = np.zeros(len(at), np.int64)
+        self.member = np.full(len(self.at), -1)  # none
         self.member[order] = np.cumsum(head) - 1
         self.chosen = order[head]
         self.entries = np.zeros(len(self.chosen), MEMBER)
         self.entries["anchor"], self.entries["context"], self.entries["doc"] = self.anchor[self.chosen], self.context[self.chosen], owner[self.chosen]
-        self.shard = (self.entries["anchor"] >> np.uint64(20)).astype(np.int64) % shard_count
+        self.shard = self._shard(self.entries["anchor"])
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, anchor, hash, document) of each window of a crowded anchor."""
+        at = np.searchsorted(self.at, self.place)
+        hot = np.flatnonzero(self.crowded[at])
+        at, start = at[hot], self.string[hot]
+        return start, self.anchor[at], self.ranges.of(start, start + self.length), self.ids[self.doc[at]]
 
 
 def judge_members(entries: np.ndarray) -> np.ndarray:
@@ -108,25 +143,33 @@ def extend(length: int, gram: int):
     return judge
 
 
-def repeated_words(seeds: Seeds, verdict: np.ndarray, flags: np.ndarray) -> np.ndarray:
+def repeated_words(seeds: Seeds, verdict: np.ndarray, flags: np.ndarray, found: list[dict] | None) -> np.ndarray:
     """Which words of the block are in a window of a smaller document."""
     gram = seeds.gram
     delta = np.zeros(len(seeds.units) + 1, np.int64)
-    least = seeds.entries["doc"][seeds.member]
-    whole = (verdict[seeds.member] == REPEAT) | (seeds.ids[seeds.doc] > least)
+    if found:
+        start, *crowded = seeds.windows()
+        start = start[common.repeated_strings(*crowded, found)]
+        np.add.at(delta, start, 1)
+        np.add.at(delta, start + seeds.length, -1)
+    members = np.flatnonzero(seeds.member >= 0)
+    of = seeds.member[members]
+    repeat = (verdict[of] == REPEAT) | (seeds.ids[seeds.doc[members]] > seeds.entries["doc"][of])
+    whole = members[repeat]
     np.add.at(delta, seeds.at[whole] - seeds.left[whole], 1)
     np.add.at(delta, seeds.at[whole] + gram + seeds.right[whole], -1)
     extended = np.flatnonzero(verdict == EXTEND)
     place = np.full(len(verdict), -1)
     place[extended] = np.arange(len(extended))
-    rest = np.flatnonzero(~whole & (place[seeds.member] >= 0))
+    rest = members[~repeat & (place[of] >= 0)]
     hit, left = np.nonzero(flags[place[seeds.member[rest]]])
     np.add.at(delta, seeds.at[rest[hit]] - left, 1)
     np.add.at(delta, seeds.at[rest[hit]] - left + seeds.length, -1)
     return np.cumsum(delta[:-1]) > 0
 
 
-def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
+                   hot: int = common.HOT) -> DataFrame:
     """doc_id, n_words, n_removed, spans, text and text_hash for every row: the text's
     words without those in a window of ``length`` words that also starts in a document
     of a smaller id; spans are the maximal removed runs (first, last word), and
@@ -143,16 +186,32 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
     member_rows = extension_dtype(length, gram)
     reach = length - gram
 
-    def ask_members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def seeds(row: dict, hashes: WordHashes) -> Seeds:
+        s = Seeds(row, hashes, length, gram, many)
+        s.choose(common.scatter(s.anchor_shard, row["anchors"], np.uint8))
+        return s
+
+    def ask_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for row in common.rows_of(batches):
             s = Seeds(row, hashes, length, gram, many)
+            yield common.asks(row["block"], s.anchor_shard, s.anchors())
+
+    def ask_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for row in common.rows_of(batches):
+            yield common.string_rows(row["block"], *seeds(row, hashes).windows()[1:])
+
+    def ask_members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for row in common.rows_of(batches):
+            s = seeds(row, hashes)
             yield common.asks(row["block"], s.shard, s.entries)
 
     def ask_extensions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for row in common.rows_of(batches):
-            s = Seeds(row, hashes, length, gram, many)
+            s = seeds(row, hashes)
             wanted = np.flatnonzero(common.scatter(s.shard, row["members"], np.uint8) == EXTEND)
             at = s.chosen[wanted]
             out = np.zeros(len(at), member_rows)
@@ -167,11 +226,11 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for row in common.rows_of(batches):
-            s = Seeds(row, hashes, length, gram, many)
+            s = seeds(row, hashes)
             verdict = common.scatter(s.shard, row["members"], np.uint8)
             wanted = np.flatnonzero(verdict == EXTEND)
             flags = common.scatter(s.shard[wanted], row["extensions"], np.dtype(("u1", reach + 1)))
-            gone = repeated_words(s, verdict, flags.reshape(len(wanted), reach + 1))
+            gone = repeated_words(s, verdict, flags.reshape(len(wanted), reach + 1), row.get("strings"))
             out: list[list] = [[], [], [], [], [], []]
             for k, words in enumerate(s.words):
                 drop = gone[s.starts[k]:s.starts[k + 1]]
@@ -189,8 +248,12 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
             types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "n_words", "n_removed", "spans", "text", "text_hash"])
 
-    members = common.materialize(common.answered(blocks.mapInArrow(ask_members, common.ASK_SCHEMA), MEMBER, judge_members), "members")
-    asked = common.with_answers(blocks, members=members).mapInArrow(ask_extensions, common.ASK_SCHEMA)
+    anchors = common.materialize(common.answered(blocks.mapInArrow(ask_anchors, common.ASK_SCHEMA), common.ANCHOR, common.judge_anchors(hot)), "anchors")
+    told = common.with_answers(blocks, anchors=anchors)
+    members = common.materialize(common.answered(told.mapInArrow(ask_members, common.ASK_SCHEMA), MEMBER, judge_members), "members")
+    asked = common.with_answers(told, members=members).mapInArrow(ask_extensions, common.ASK_SCHEMA)
     extensions = common.materialize(common.answered(asked, member_rows, extend(length, gram)), "extensions")
-    return common.with_answers(blocks, members=members, extensions=extensions).mapInArrow(
+    if common.any_crowded(anchors):
+        told = common.with_strings(told, ask_windows)
+    return common.with_answers(told, members=members, extensions=extensions).mapInArrow(
         remove, "doc_id long, n_words long, n_removed long, spans array<struct<first:int,last:int>>, text string, text_hash long")

@@ -1,11 +1,13 @@
+import collections
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from brute import brute_removed
-from rampart.llm import simhash, substring_dedup, suffix_dedup
+from rampart.llm import common, simhash, substring_dedup, suffix_dedup
 from rampart.llm.graph import components
 from rampart.llm.suffix_sort import InducedSorter
 
@@ -38,6 +40,49 @@ def test_suffix_dedup_is_brute_force(repeats, gram):
     assert got == sorted(want, key=lambda t: (key(t[0]), t[1:]))
 
 
+@pytest.fixture
+def crowd(spark):
+    """A hot gram: every document has the same ten words with other text around them, some the same text."""
+    r = np.random.default_rng(9)
+    prose = lambda n: [f"v{x}" for x in r.integers(0, 10**6, n)]
+    line, shared = prose(10), prose(100)
+    rows = [(i, " ".join(prose(60) + line + prose(60))) for i in range(120)]
+    rows += [(200 + i, " ".join(prose(30) + shared[:30 + i] + line + shared[50 - i:] + prose(5))) for i in range(6)]
+    rows += [(None, rows[7][1]), (7, rows[8][1]), (300, rows[9][1]), (301, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+@pytest.mark.parametrize("hot", [0, 10])
+def test_crowded_anchors_are_brute_force(crowd, repeats, hot):
+    for module, split, of in ((substring_dedup, lambda t: [w.decode() for w in t.encode().split()], "n_words"), (suffix_dedup, lambda t: list(t.encode()), "n_bytes")):
+        for docs in (crowd, repeats.select("doc_id", "text")):
+            got = module.remove_repeats(docs, 50, hot=hot).select("doc_id", of, "n_removed", "spans").collect()
+            got = sorted(((r[0], r[1], r[2], sorted((s["first"], s["last"]) for s in r[3])) for r in got), key=lambda t: (key(t[0]), t[1:]))
+            want = []
+            for i, units, gone in brute_removed([(r["doc_id"], r["text"]) for r in docs.collect()], split, 50):
+                edge = np.flatnonzero(np.diff(np.r_[0, np.array(gone, int), 0])).tolist()
+                want.append((None if i == float("inf") else i, len(units), sum(gone), [(a, b - 1) for a, b in zip(edge[::2], edge[1::2])]))
+            assert got == sorted(want, key=lambda t: (key(t[0]), t[1:]))
+
+
+def test_crowded_anchors_are_not_one_group(crowd, monkeypatch):
+    largest = {}
+
+    def spy(df, dtype, answer, packed=False, real=common.answered):
+        def rows(table):
+            many = max(collections.Counter(k for b in table.column("blob").to_pylist() for k in common.unpacked(b, dtype, packed)[dtype.names[0]].tolist()).values())
+            return pa.table({"many": pa.array([many], pa.int64())})
+        name = dtype.names[-1]
+        df = df.localCheckpoint()
+        largest[name] = max([0, *(r["many"] for r in df.groupBy("shard").applyInArrow(rows, "many long").collect())])
+        return real(df, dtype, answer, packed)
+
+    monkeypatch.setattr(common, "answered", spy)
+    substring_dedup.remove_repeats(crowd, 50, hot=20).count()
+    suffix_dedup.remove_repeats(crowd, 50, hot=20).count()
+    assert largest["shared"] <= 4 and largest["doc"] <= 40 and largest["words"] <= 40 and largest["bytes"] <= 40
+
+
 def test_empty_tables(no_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
