@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rampart.llm import langid, lm, toxicity
+from rampart.llm import common, langid, lm, toxicity
 from rampart.llm.common import held_out
 
 SYLLABLES = {"aa": ["ka", "ro", "ti", "mu"], "bb": ["sch", "ung", "ler", "ein"], "cc": ["αβ", "γω", "δε", "λη"]}
@@ -240,3 +240,19 @@ def test_beats_the_base_on_held_out_prose(spark, tokenizer):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h", held_out("doc_id", 7, 2))
     got = lm.score(docs, tokenizer, "h").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
+
+
+def test_every_training_window_is_fitted(spark, tokenizer, languages, monkeypatch):
+    docs = languages.withColumn("h", held_out("doc_id", 7, 2))
+    many = []
+
+    def spy(counted, size, real=lm._fit):
+        blobs = counted.filter(F.col("kind") == lm.WINDOWS).filter(F.col("shard") < lm.ROUNDS).select("blob").collect()
+        many.append(sum(len(common.unpacked(r["blob"], lm.WINDOW, True)) for r in blobs))
+        return real(counted, size)
+
+    monkeypatch.setattr(lm, "_fit", spy)
+    got = lm.score(docs, tokenizer, "h").collect()
+    trained = docs.where("not h").count()
+    # a window at least for each text, and one for every STRIDE words
+    assert many[0] >= max(trained, sum(r["n_tokens"] for r in got if not r["held_out"]) / lm.STRIDE)
