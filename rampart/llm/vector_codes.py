@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from rampart.llm.common import fresh, materialize
 
 ENTRIES, PARTS, ROUNDS, SCALE = 256, 4, 4, 1024
-SPLITS = 16       # split points of a node; a node of no more entries is a leaf
+SPLITS = 16       # split points of a node
+LEAF = 48         # entries of a node that has no children
 PORTION = 8_192   # vectors that are searched side by side
 FAN_IN = 512      # sums that are added up in one group
 SLACK = 1e-9      # relative, far above the rounding of a square root and two differences
@@ -103,28 +104,27 @@ class Gnat:
     @staticmethod
     def _split_points(entries: np.ndarray) -> np.ndarray:
         """Entries far from each other: each the farthest from those before it."""
-        if len(entries) <= SPLITS:
+        if len(entries) <= LEAF:
             return np.arange(len(entries))
         chosen = [0]
         least = squared_distances(entries, entries[:1])[:, 0]
         while len(chosen) < SPLITS:
             chosen.append(int(np.argmax(least)))
             least = np.minimum(least, squared_distances(entries, entries[chosen[-1:]])[:, 0])
-        return np.array(chosen)
+        return np.sort(chosen)
 
     def search(self, x: np.ndarray, best: np.ndarray, number: np.ndarray, rows: np.ndarray) -> int:
         """Lower ``best`` (squared) and ``number`` of the given rows of x where an entry here is nearer, or
         as near with a lower number. Returns how many distances were measured."""
         sq = squared_distances(x[rows], self.points)
-        least = sq.min(1)
-        first = np.where(sq == least[:, None], self.numbers, np.iinfo(np.int64).max).min(1)
+        nearest = np.argmin(sq, 1)  # the first of equal ones has the lowest number
+        least, first = sq[np.arange(len(rows)), nearest], self.numbers[nearest]
         better = (least < best[rows]) | (least == best[rows]) & (first < number[rows])
         best[rows[better]], number[rows[better]] = least[better], first[better]
         measured = sq.size
         if not any(self.children):
             return measured
         below, above = _below(sq), _above(sq)
-        nearest = np.argmin(sq, 1)
         for own in (True, False):  # the nearest split point's child first: it lowers the best soonest
             for j, child in enumerate(self.children):
                 if child is None:
