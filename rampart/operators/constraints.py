@@ -53,12 +53,16 @@ def constraint_rules(contract: TableContract, keys: list[str] | None = None) ->
             add("max_length", n=int(c.max_length))
         if db in ("NUMERIC", "DECIMAL") and c.precision:
             add("numeric", p=int(c.precision), s=int(c.scale or 0))
+    out += [RuleSpec("unique", key) for key in unique_sets(contract, keys)]
+    return out
+
+
+def unique_sets(contract: TableContract, keys: list[str] | None = None) -> list[tuple[str, ...]]:
+    """Column sets that are unique in the table: each UNIQUE column, the primary
+    key's columns together, and ``keys`` together."""
     primary = tuple(c.name for c in contract.columns if c.primary_key)
     alone = [(c.name,) for c in contract.columns if c.unique or (c.name,) == primary]
-    for key in dict.fromkeys([*alone, primary, tuple(keys or ())]):
-        if key:
-            out.append(RuleSpec("unique", key))
-    return out
+    return [key for key in dict.fromkeys([*alone, primary, tuple(keys or ())]) if key]
 
 
 def constraint_check(df: DataFrame, contract: TableContract, keys: list[str] | None = None, *,

@@ -1,157 +1,56 @@
-"""Load strategies onto a serving table kept as plain Parquet.
-
-A serving table is a folder of immutable data folders plus a ``_commits``
-folder; commit ``N`` is a small text file listing the data folders (or single
-data files) that make up version ``N`` and an end mark.  It is written under
-another name and renamed, never over an existing one, so a load becomes visible
-all at once and a failed load leaves the previous version untouched; readers take
-the highest commit that has its end mark.
-
-* ``append_only``: writes only the incoming rows as a new data folder; a key
-  already in the table is an error, or its row is skipped with
-  ``on_conflict="ignore"`` (left-anti on the key) so reruns are safe.
-* ``truncate_and_insert``: new version = the incoming rows only.
-* ``upsert``: copy-on-write at file granularity.  A semi join of the
-  target's key column against the incoming keys names the files that hold a
-  key being replaced; only those files are rewritten (their rows minus the
-  incoming keys), every other file is carried into the new version by
-  reference, and the incoming rows are added.  New keys touch no file.
-
-Incoming rows are checked first: the contract's constraints and that the load
-key, composite ones included, is unique.  The checked rows are written once to the
-shared folder, so the input is evaluated once.  Rows that break a constraint refuse the
-load, or go to ``rejects`` with their reasons while the others load.
-Key checks read only the key columns of the target (column pruning), within the
-incoming range of the first one (a pushed filter).
+"""Load strategies onto a serving table (:mod:`store`): plain joins and unions, one new folder a load.
+
+* ``append_only``: the incoming rows are added; a key already in the table is an
+  error, or its row is skipped with ``on_conflict="ignore"`` (left-anti on the key) so reruns are safe.
+* ``truncate_and_insert``: the table is the incoming rows.
+* ``upsert``: the segments (key ranges) with incoming keys are rewritten: their rows without an
+  incoming key, and the incoming rows. All other segments stay.
+
+Incoming rows are checked first: the contract's constraints, that the load key, composite ones
+included, is unique among them, and that no UNIQUE column or primary key has a value that a row
+stays in the table with (one probe of the table's key columns, see :mod:`keysets`). The
+checked rows are written once to the shared folder, so the input is evaluated once. Rows that break a
+constraint refuse the load, or go to ``rejects`` with their reasons while the others load.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import TableContract
 from ..errors import LoadError
-from ..session import hadoop_fs, plain_path, plain_path_col, scratch_scope, staged
-from .constraints import apply_defaults, constraint_check, violations_summary
+from ..functions import rules as R
+from ..session import scratch_scope, staged
+from . import keysets, store
+from .constraints import apply_defaults, constraint_check, unique_sets, violations_summary
 from .reshape import align
 from .routing import render_audit
 from .validate import ERRORS
 
-COMMITS = "_commits"
-
 
 # ---------------------------------------------------------------- storage
-END_MARK = "#end"
-
-
-def _commit_files(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of all commit files, complete or not."""
-    fs, p = hadoop_fs(spark, f"{root}/{COMMITS}")
-    if not fs.exists(p):
-        return []
-    return sorted(int(s.getPath().getName()) for s in fs.listStatus(p)
-                  if s.getPath().getName().isdigit())
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = hadoop_fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()
-
-
-def _latest(spark: SparkSession, root: str) -> tuple[int, list[str]] | None:
-    """(number of the last commit file, entries of the last complete one)."""
-    numbers = _commit_files(spark, root)
-    for n in reversed(numbers):
-        lines = [x for x in _read_text(spark, f"{root}/{COMMITS}/{n:020d}").splitlines() if x.strip()]
-        if lines and lines[-1] == END_MARK:
-            return numbers[-1], lines[:-1]
-    return None
-
-
 def table_exists(spark: SparkSession, root: str) -> bool:
-    return _latest(spark, root) is not None
-
-
-def current_folders(spark: SparkSession, root: str) -> list[str]:
-    found = _latest(spark, root)
-    return found[1] if found else []
-
-
-def _commit(spark: SparkSession, root: str, folders: list[str], expected: int | None) -> None:
-    """Publish a version; fails if another load committed in between."""
-    final = f"{root}/{COMMITS}/{(expected or 0) + 1:020d}"
-    fs, p = hadoop_fs(spark, f"{root}/{COMMITS}/.{uuid.uuid4().hex}")
-    out = fs.create(p, False)
-    try:
-        out.write(bytearray("\n".join([*folders, END_MARK]) + "\n", "utf-8"))
-    finally:
-        out.close()
-    fs_jvm = spark._jvm.org.apache.hadoop.fs
-    context = fs_jvm.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration())
-    no_overwrite = spark.sparkContext._gateway.new_array(getattr(fs_jvm, "Options$Rename"), 0)
-    context.rename(p, fs_jvm.Path(final), no_overwrite)  # the commit point
-
-
-def _write_folder(df: DataFrame, root: str, num_partitions: int | None) -> str:
-    name = f"data-{uuid.uuid4().hex}"
-    if num_partitions:
-        df = df.repartition(num_partitions)
-    df.write.mode("errorifexists").parquet(f"{root}/{name}")
-    return name
-
-
-def _qualified(spark: SparkSession, path: str) -> str:
-    fs, p = hadoop_fs(spark, path)
-    return plain_path(str(fs.makeQualified(p))).rstrip("/")
-
-
-def _files_of(spark: SparkSession, root: str, entry: str) -> list[str]:
-    """Data files (relative to ``root``) behind one version entry."""
-    fs, p = hadoop_fs(spark, f"{root}/{entry}")
-    if not fs.getFileStatus(p).isDirectory():
-        return [entry]
-    qroot = _qualified(spark, root) + "/"
-    out, it = [], fs.listFiles(p, True)
-    while it.hasNext():
-        f = it.next()
-        name = f.getPath().getName()
-        if not name.startswith(("_", ".")):
-            out.append(plain_path(str(f.getPath()))[len(qroot):])
-    return out
+    return store.current(spark, root) is not None
 
 
 def create_target(spark: SparkSession, contract: TableContract, root: str) -> bool:
     """Create the empty table with the contract's columns and types if absent."""
     if table_exists(spark, root):
         return False
-    empty = spark.createDataFrame([], contract.struct_type())
-    name = _write_folder(empty, root, None)
-    _commit(spark, root, [name], None)
+    first = store.Version(1)
+    name, folder = store.write(spark, spark.createDataFrame([], contract.struct_type()), root, first)
+    first.folders[name] = folder
+    store.publish(spark, root, first)
     return True
 
 
 def read_target(spark: SparkSession, root: str, contract: TableContract | None = None) -> DataFrame:
-    folders = current_folders(spark, root)
-    if not folders:
+    version = store.current(spark, root)
+    if version is None:
         table = contract.table_name if contract is not None else root
         raise LoadError(f"There is no table ({table})")
-    reader = spark.read
-    if contract is not None:
-        reader = reader.schema(contract.struct_type())
-    return reader.parquet(*[f"{root}/{f}" for f in folders])
+    return store.read(spark, root, version, contract)
 
 
 # ---------------------------------------------------------- pure merges
@@ -190,103 +89,152 @@ def merge_upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> Dat
     return kept.unionByName(incoming.select(*target.columns))
 
 
-# --------------------------------------------------------------- loads
+# --------------------------------------------------------------- checks
 def prepare(incoming: DataFrame, contract: TableContract, keys: list[str], check: bool = True,
-            rejects: str | None = None) -> DataFrame:
-    """The rows to load: defaults for absent columns, alignment to the
-    contract, constraints (``check``) and uniqueness of the load key (always).
+            rejects: str | None = None, stored: DataFrame | None = None,
+            sets: list[tuple[str, ...]] = (), replacing: bool = False) -> DataFrame:
+    """The rows to load: defaults for absent columns, alignment to the contract,
+    constraints (``check``), uniqueness of the load key among them (always), and of
+    ``sets`` against ``stored`` — with ``replacing``, against the stored rows whose load key none of the
+    loading rows has.
 
     They are written once with their errors.  Rows with errors raise, or are
-    written to the folder ``rejects`` and left out."""
+    written to the folder ``rejects`` and left out.  A row that is refused does not
+    replace a stored one, which may refuse another; so the stored rows are asked until no
+    further row is refused."""
     df = align(apply_defaults(incoming, contract), contract)
     if not check and not keys:
         return staged(df, "incoming")
     checked = staged(constraint_check(df, contract, keys, only_keys=not check), "incoming")
-    bad = checked.where(F.size(ERRORS) > 0)
+    good = F.size(ERRORS) == 0
+    if rejects is None:
+        _refuse(checked.where(~good), contract, keys)
+    while sets:
+        loading = checked.where(good).select(*contract.column_names)
+        needed = dict.fromkeys([*(k for s in sets for k in s), *(keys if replacing else ())])
+        others = stored.select(*needed)
+        if replacing:
+            others = others.join(loading.select(*keys), keys, "left_anti")
+        taken = keysets.probe(loading, others, sets)
+        if not taken:
+            break
+        if rejects is None:
+            raise LoadError(f"duplicate key value violates unique constraint on {[list(s) for s in taken]} of {contract.table_name}")
+        checked = staged(_flag_taken(checked, taken), "incoming")
     if rejects is not None:
-        render_audit(bad).write.mode("overwrite").parquet(rejects)
-        checked = checked.where(F.size(ERRORS) == 0)
-    else:
-        summary = sorted((r["rule"], r["column"], r["n_rows"]) for r in violations_summary(bad).collect())
-        if any(r == "unique" and c == ",".join(keys) for r, c, _ in summary):
-            raise LoadError(f"incoming rows repeat a key of {keys}, duplicate key value violates unique constraint: {summary}")
-        if summary:
-            raise LoadError(f"Constraint violation in {contract.table_name}: {summary}")
+        render_audit(checked.where(~good)).write.mode("overwrite").parquet(rejects)
+        checked = checked.where(good)
     return checked.select(*contract.column_names)
 
 
-def _in_key_range(target: DataFrame, incoming_keys: DataFrame, keys: list[str]) -> DataFrame:
-    """Restrict the target to the incoming range of the first key column.
+def _refuse(bad: DataFrame, contract: TableContract, keys: list[str]) -> None:
+    summary = sorted((r["rule"], r["column"], r["n_rows"]) for r in violations_summary(bad).collect())
+    if any(r == "unique" and c == ",".join(keys) for r, c, _ in summary):
+        raise LoadError(f"incoming rows repeat a key of {keys}, duplicate key value violates unique constraint: {summary}")
+    if summary:
+        raise LoadError(f"Constraint violation in {contract.table_name}: {summary}")
 
-    The bound is a pushed filter, so Parquet row-group min/max statistics
-    skip every row group outside the range (clustered keys, e.g. increasing
-    ids, then read almost nothing); one aggregate over the written incoming
-    rows computes it."""
-    k = keys[0]
-    lo, hi = incoming_keys.agg(F.min(k), F.max(k)).first()
-    if lo is None:
-        return target.where(F.lit(False))
-    return target.where(F.col(k).between(F.lit(lo), F.lit(hi)))
 
+def _flag_taken(checked: DataFrame, taken: dict[tuple[str, ...], DataFrame]) -> DataFrame:
+    """``unique(columns)`` added to the errors of rows whose values are taken."""
+    for columns, values in taken.items():
+        renamed = values.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)], F.lit(True).alias("_taken"))
+        same = [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(columns)]
+        error = F.array(R.violation("unique", columns))
+        errors = F.when(F.col("_taken"), F.array_union(ERRORS, error)).otherwise(F.col(ERRORS))
+        checked = checked.join(renamed, same, "left").withColumn(ERRORS, errors).drop("_taken", *[f"_k{i}" for i in range(len(columns))])
+    return checked
 
-def _existing(spark: SparkSession, contract: TableContract, root: str) -> tuple[int, list[str]]:
-    found = _latest(spark, root)
+
+# --------------------------------------------------------------- loads
+def _existing(spark: SparkSession, contract: TableContract, root: str) -> store.Version:
+    found = store.current(spark, root)
     if found is None:
         raise LoadError(f"There is no table ({contract.table_name})")
     return found
 
 
+def _following(version: store.Version, rows: DataFrame, keys: list[str], empty: bool) -> store.Version:
+    """The next version without its new folder; a table without rows gets the bounds of these."""
+    out = store.Version(version.number + 1, version.keys, version.bounds, dict(version.folders))
+    if empty or not out.keys:
+        out.keys, out.bounds = list(keys), store.choose_bounds(rows, keys)
+    return out
+
+
+def _has_rows(version: store.Version) -> bool:
+    return any(f.segments for f in version.folders.values())
+
+
 def append(spark: SparkSession, incoming: DataFrame, contract: TableContract, root: str, *,
            keys=None, on_conflict: str = "error", check: bool = True, rejects: str | None = None) -> None:
-    last, entries = _existing(spark, contract, root)
+    version = _existing(spark, contract, root)
     keys = _keys(contract, keys)
     with scratch_scope():
-        rows = prepare(incoming, contract, keys, check, rejects)
-        target = _in_key_range(read_target(spark, root, contract), rows.select(*keys), keys)
-        if on_conflict != "ignore" and not target.select(*keys).join(rows.select(*keys), keys, "left_semi").isEmpty():
-            raise LoadError(f"duplicate key value violates unique constraint on {keys}")
-        name = _write_folder(merge_append(target, rows, keys, on_conflict), root, _partitions(contract))
-    _commit(spark, root, entries + [name], last)
+        target = store.read(spark, root, version, contract)
+        sets = unique_sets(contract, keys) if check else [tuple(keys)]
+        if on_conflict == "ignore":
+            aligned = align(apply_defaults(incoming, contract), contract)
+            incoming = staged(merge_append(target, aligned, keys, on_conflict), "new-keys")
+            sets = [s for s in sets if not set(keys) <= set(s)]
+        rows = prepare(incoming, contract, keys, check, rejects, target, sets if _has_rows(version) else [])
+        following = _following(version, rows, keys, not _has_rows(version))
+        name, folder = store.write(spark, rows, root, following, _partitions(contract))
+    following.folders[name] = folder
+    store.publish(spark, root, following)
 
 
 def replace(spark: SparkSession, incoming: DataFrame, contract: TableContract, root: str, *,
             keys=None, check: bool = True, rejects: str | None = None) -> None:
-    last, _ = _existing(spark, contract, root)
+    version = _existing(spark, contract, root)
     declared = keys or (contract.load and contract.load.primary_key) or any(c.primary_key for c in contract.columns)
+    keys = _keys(contract, keys) if declared else []
     with scratch_scope():
-        rows = prepare(incoming, contract, _keys(contract, keys) if declared else [], check, rejects)
-        name = _write_folder(rows, root, _partitions(contract))
-    _commit(spark, root, [name], last)
+        rows = prepare(incoming, contract, keys, check, rejects)
+        following = _following(version, rows, keys, True)
+        name, folder = store.write(spark, rows, root, following, _partitions(contract))
+    following.folders = {name: folder}
+    store.publish(spark, root, following)
 
 
 def upsert(spark: SparkSession, incoming: DataFrame, contract: TableContract, root: str, *,
            keys=None, check: bool = True, rejects: str | None = None) -> None:
-    last, entries = _existing(spark, contract, root)
+    version = _existing(spark, contract, root)
     keys = _keys(contract, keys)
-    qroot = _qualified(spark, root)
     with scratch_scope():
-        rows = prepare(incoming, contract, keys, check, rejects)
-        incoming_keys = rows.select(*keys)
-        # Files holding a key that is being replaced: one row per file reaches
-        # the driver (bounded by the table's file count).
-        target = _in_key_range(read_target(spark, root, contract), incoming_keys, keys)
-        hit = {r["_file"] for r in
-               target.select(*keys, plain_path_col(F.col("_metadata.file_path")).alias("_file"))
-               .join(incoming_keys, keys, "left_semi").select("_file").distinct().collect()}
+        target = store.read(spark, root, version, contract)
+        # a stored row with the same values in a set that holds the load key is replaced
+        sets = [s for s in unique_sets(contract, keys) if not set(keys) <= set(s)] if check and _has_rows(version) else []
+        rows = prepare(incoming, contract, keys, check, rejects, target, sets, replacing=True)
+        following = _following(version, rows, keys, not _has_rows(version))
+        touched = _touched(rows, keys, following)
         new = rows
-        if hit:
-            rest = spark.read.schema(contract.struct_type()).parquet(*sorted(hit))
-            new = rest.join(incoming_keys, keys, "left_anti").unionByName(rows)
-        name = _write_folder(new, root, _partitions(contract))
-    touched = {h[len(qroot) + 1:] for h in hit}
-    touched |= {t.split("/", 1)[0] for t in touched}
-    kept: list[str] = []
-    for entry in entries:
-        if entry not in touched:
-            kept.append(entry)  # untouched: carried over by reference
-        else:
-            kept.extend(f for f in _files_of(spark, root, entry) if f"{qroot}/{f}" not in hit)
-    _commit(spark, root, kept + [name], last)
+        if any(touched & set(f.segments) for f in version.folders.values()):
+            new = merge_upsert(store.read(spark, root, version, contract, touched), rows, keys)
+        name, folder = store.write(spark, new, root, following, _partitions(contract))
+    following.folders = store.without_segments(following.folders, touched) | {name: folder}
+    store.publish(spark, root, following)
+
+
+def _touched(rows: DataFrame, keys: list[str], version: store.Version) -> set[int]:
+    """The segments that may hold a row with one of the load keys: a row for each to the driver."""
+    if set(version.keys) - set(keys):
+        return set(range(version.n_segments))  # the load key does not say where a row lies
+    found = rows.select(store.segment_of(version.keys, version.bounds, rows.schema).alias("s")).distinct()
+    return {r["s"] for r in found.collect()}
+
+
+def recluster(spark: SparkSession, contract: TableContract, root: str, keys=None) -> None:
+    """Rewrite the table as one folder with new bounds, for one that has outgrown its first load or was
+    appended to many times."""
+    version = _existing(spark, contract, root)
+    keys = _keys(contract, keys)
+    with scratch_scope():
+        rows = staged(store.read(spark, root, version, contract), "recluster")
+        following = _following(version, rows, keys, True)
+        name, folder = store.write(spark, rows, root, following, _partitions(contract))
+    following.folders = {name: folder}
+    store.publish(spark, root, following)
 
 
 def _partitions(contract: TableContract) -> int | None:

@@ -733,6 +733,51 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment
 FROM ({SQL_CUSTOMER_TYPED}) WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0
 """
 
+UNIQUE_TABLE = TableContract.from_dict({
+    "table_name": "customer_unique", "columns": [
+        {"name": "c_custkey", "type": "int", "primary_key": True},
+        {"name": "c_name", "type": "string", "unique": True},
+        {"name": "c_acctbal", "type": "double"}],
+    "load_database": {"load_strategy": "upsert", "primary_key": "c_custkey"}})
+
+
+def q_load_unique_conflict(spark, sf):
+    """Names that stored rows have, appended and upserted under other keys: refused, unless the row that
+    has the name is replaced by the same load."""
+    root = scratch_path(spark, "load_unique")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    of_next = F.concat(F.lit("Customer#"), F.lpad((F.col("c_custkey") + 1).cast("string"), 9, "0"))
+    L.create_target(spark, UNIQUE_TABLE, root)
+    L.append(spark, c.where("c_custkey % 3 <> 0"), UNIQUE_TABLE, root)
+    new = c.where("c_custkey % 3 = 0").withColumn("c_name", F.when(F.col("c_custkey") % 4 == 0, of_next).otherwise(F.col("c_name")))
+    L.append(spark, new, UNIQUE_TABLE, root, rejects=f"{root}-append")
+    # the next key's row (mod 3: 2) frees its name only where it is loaded, too, under another one
+    moved = (c.where("c_custkey % 3 = 1").withColumn("c_name", F.when(F.col("c_custkey") % 2 == 0, of_next).otherwise(F.col("c_name")))
+             .unionByName(c.where("c_custkey % 15 = 8").withColumn("c_name", F.concat("c_name", F.lit(" moved")))))
+    L.upsert(spark, moved.withColumn("c_acctbal", F.col("c_acctbal") + 1), UNIQUE_TABLE, root, rejects=f"{root}-upsert")
+    out = L.read_target(spark, root, UNIQUE_TABLE).withColumn("outcome", F.lit("stored"))
+    for name in ("append", "upsert"):
+        refused = spark.read.parquet(f"{root}-{name}").select("c_custkey", "c_name", "c_acctbal", F.concat(F.lit(f"{name}: "), "error_message").alias("outcome"))
+        out = out.unionByName(refused)
+    return out
+
+
+SQL_LOAD_UNIQUE_CONFLICT = """
+WITH c AS (SELECT c_custkey AS k, c_name AS name, c_acctbal AS bal, 'Customer#' || lpad(CAST(c_custkey + 1 AS VARCHAR), 9, '0') AS of_next FROM customer),
+first AS (SELECT k, name, bal FROM c WHERE k % 3 <> 0),
+new AS (SELECT k, CASE WHEN k % 4 = 0 THEN of_next ELSE name END AS name, bal FROM c WHERE k % 3 = 0),
+refused_append AS (SELECT * FROM new WHERE name IN (SELECT name FROM first)),
+held AS (SELECT * FROM first UNION ALL SELECT * FROM new WHERE name NOT IN (SELECT name FROM first)),
+moved AS (SELECT k, CASE WHEN k % 3 = 1 AND k % 2 = 0 THEN of_next WHEN k % 3 = 2 THEN name || ' moved' ELSE name END AS name, bal + 1 AS bal
+          FROM c WHERE k % 3 = 1 OR k % 15 = 8),
+refused_upsert AS (SELECT * FROM moved WHERE name IN (SELECT name FROM held WHERE k NOT IN (SELECT k FROM moved))),
+loaded AS (SELECT * FROM moved WHERE k NOT IN (SELECT k FROM refused_upsert))
+SELECT k AS c_custkey, name AS c_name, bal AS c_acctbal, 'stored' AS outcome FROM loaded
+UNION ALL SELECT k, name, bal, 'stored' FROM held WHERE k NOT IN (SELECT k FROM loaded)
+UNION ALL SELECT k, name, bal, 'append: unique(c_name)' FROM refused_append
+UNION ALL SELECT k, name, bal, 'upsert: unique(c_name)' FROM refused_upsert
+"""
+
 ORDER_TABLE = TableContract.from_dict({
     "table_name": "order_serving", "columns": [
         {"name": "o_custkey", "type": "int", "primary_key": True},
@@ -1134,6 +1179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_upsert": q_load_upsert,
     "load_upsert_composite": q_load_upsert_composite,
     "load_dispatch": q_load_dispatch,
+    "load_unique_conflict": q_load_unique_conflict,
     "constraint_check": q_constraint_check,
     "constraint_default": q_constraint_default,
     "pipeline_rcv_l0": q_pipeline_rcv_l0,
@@ -1187,6 +1233,7 @@ ORACLE_SQL: dict[str, str] = {
     "load_upsert": SQL_LOAD_UPSERT,
     "load_upsert_composite": SQL_LOAD_UPSERT_COMPOSITE,
     "load_dispatch": SQL_LOAD_DISPATCH,
+    "load_unique_conflict": SQL_LOAD_UNIQUE_CONFLICT,
     "constraint_check": SQL_CONSTRAINT_CHECK,
     "constraint_default": SQL_CONSTRAINT_DEFAULT,
     "pipeline_rcv_l0": SQL_PIPELINE_RCV_L0,

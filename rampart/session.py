@@ -80,6 +80,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """The planner's estimate of the bytes of ``df``; of a written table, its files' bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _release(entries: list[tuple[SparkSession, str]]) -> None:
     for spark, path in entries:
         fs, p = hadoop_fs(spark, path)

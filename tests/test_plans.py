@@ -56,6 +56,7 @@ def test_input_is_evaluated_once_for_each_key_set(spark):
 
 def test_load_key_probe_is_range_pruned(spark, tmp_dir):
     from rampart import TableContract
+    from rampart.operators import keysets
     from rampart.operators import load as L
 
     c = TableContract.from_dict({"table_name": "t", "columns": [
@@ -64,7 +65,7 @@ def test_load_key_probe_is_range_pruned(spark, tmp_dir):
     L.create_target(spark, c, root)
     L.append(spark, spark.range(0, 1000).selectExpr("id as k", "'x' as v"), c, root)
     target = L.read_target(spark, root, c)
-    probe = L._in_key_range(target, spark.createDataFrame([(10,), (20,)], "k long"), ["k"])
+    probe = keysets.in_range(target, spark.createDataFrame([(10,), (20,)], "k long"), [("k",)])
     p = plan(probe)
     assert "GreaterThanOrEqual(k,10)" in p and "LessThanOrEqual(k,20)" in p
     assert probe.count() == 11

@@ -10,6 +10,7 @@ from rampart import RuleSpec, TableContract, check_rules
 from rampart.contract import load_contract
 from rampart.errors import LoadError
 from rampart.operators import load as L
+from rampart.operators import store
 from rampart.plans import ledger
 from rampart.plans.pipeline import l0_to_l1, l1_to_target, rcv_to_l0
 from rampart.session import shared_dir
@@ -85,18 +86,22 @@ def test_breakers_become_rows(spark, tmp_dir):
     assert sorted(r["error_message"] for r in got.collect()) == ["not_null(guest)", "unique(row_no,seat)", "unique(row_no,seat)"]
 
 
-def test_half_written_commit_leaves_the_old_version(spark, tmp_dir):
+def test_failed_loads_leave_the_old_version(spark, tmp_dir):
     root = f"{tmp_dir}/a table"
     L.create_target(spark, SEATS, root)
     L.append(spark, seats(spark, [(1, "A", "x")]), SEATS, root)
-    for n, body in ((3, ""), (4, "data-gone\n")):
-        with open(f"{root}/_commits/{n:020d}", "w") as fh:
-            fh.write(body)
+    stale = store.current(spark, root)
+    store.write(spark, seats(spark, [(9, "Z", "lost")]), root, stale)  # a load that ended before it was published
+    with open(f"{root}/._current.json.1", "w") as fh:
+        fh.write('{"number": 9')
     assert L.read_target(spark, root, SEATS).count() == 1
     L.upsert(spark, seats(spark, [(1, "A", "y"), (2, "A", "z")]), SEATS, root)
     assert sorted(map(tuple, L.read_target(spark, root, SEATS).collect())) == [(1, "A", "y"), (2, "A", "z")]
-    with pytest.raises(Exception, match="exist"):
-        L._commit(spark, root, ["x"], 4)  # another load came first
+    stale.number += 1
+    with pytest.raises(LoadError, match="came first"):
+        store.publish(spark, root, stale)
+    assert len(store.delete_unused(spark, root)) == 2  # the lost load and the replaced row
+    assert sorted(map(tuple, L.read_target(spark, root, SEATS).collect())) == [(1, "A", "y"), (2, "A", "z")]
 
 
 def _contracts():
