@@ -9,6 +9,7 @@ one whole-stage-codegen projection.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,6 +71,32 @@ def malformed(corrupt_column: str) -> Column:
     return flag(F.col(corrupt_column).isNotNull(), "malformed", "row")
 
 
+@dataclass(frozen=True, eq=False)
+class KeyRule:
+    """A rule about the rows of a key that repeats: ``aggregate`` of the rows' ``value``, and when
+    its result breaks the rule for all of them. Keys with a NULL pass."""
+
+    value: Column
+    aggregate: Callable[[Column], Column]
+    broken: Callable[[Column], Column]
+
+
+#: Rule name -> builder(schema, RuleSpec) -> KeyRule; the spec's columns are the key.
+KEY_RULES: dict[str, Callable] = {}
+
+
+def register_key_rule(name: str, builder: Callable) -> None:
+    """Register a rule over a key set (``column`` in a contract's ``validation`` list).
+
+    ``builder(schema: StructType, spec: RuleSpec) -> KeyRule``; it is answered in the passes
+    that ``unique`` and ``duplicate`` share.  A key with one row never breaks it.
+    """
+    from .. import contract
+
+    KEY_RULES[name] = builder
+    contract._EXTRA_RULES.add(name)
+
+
 # Extension surface: rule name -> builder(schema, RuleSpec) -> Column.
 ROW_RULES: dict[str, Callable] = {}
 

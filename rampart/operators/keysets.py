@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import plan_bytes, staged
 
@@ -19,6 +20,8 @@ WORDS, WORD_BITS, KEY_BITS = 8, 64, 12
 BLOOM_KEYS = 40_000_000
 
 DIGEST = ("_h1", "_h2")
+#: Bytes of a text from which on its digest stands for it.
+LONG = 32
 
 
 def digest(columns) -> list[Column]:
@@ -27,6 +30,44 @@ def digest(columns) -> list[Column]:
     return [F.xxhash64(*cols).alias(DIGEST[0]), F.xxhash64(F.lit("rampart"), *cols).alias(DIGEST[1])]
 
 
+def is_text(kind: T.DataType) -> bool:
+    """Values that may be long: texts, bytes, nested ones."""
+    return isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType))
+
+
+def as_text(column: str, kind: T.DataType) -> Column:
+    """A text that is equal for equal values of such a column."""
+    v = F.col(column)
+    if isinstance(kind, T.BinaryType):
+        return F.hex(v)
+    if isinstance(kind, T.StringType):
+        return v
+    return F.to_json(F.struct(v.alias("v")), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+
+
+def canonical(columns, types: dict[str, T.DataType]) -> Column:
+    """The columns' values as one text, never empty: equal for equal keys (NULLs are equal), different for others."""
+    def part(c: str) -> Column:
+        v, t = F.col(c), types[c]
+        if isinstance(t, (T.FloatType, T.DoubleType)):
+            v = F.when(v == 0, F.lit(0).cast(t)).otherwise(v)  # one zero
+        text = as_text(c, t) if is_text(t) else v.cast("string")
+        return F.when(v.isNull(), F.lit("-")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
+
+    return F.concat(*[part(c) for c in columns])
+
+
+def compact(columns, types: dict[str, T.DataType]) -> list[Column]:
+    """Three columns that stand for a key with texts, none NULL: its values as one text and two zeros, or, if its
+    texts have more than LONG bytes, an empty text and its digest."""
+    texts = [c for c in columns if is_text(types[c])]
+    size = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(as_text(c, types[c])), F.lit(0)) for c in texts])
+    short = size <= LONG
+    missing = [F.col(c).isNull() for c in columns]  # a hash passes over NULLs
+    return [F.when(short, canonical(columns, types)).otherwise(F.lit("")),
+            *[F.when(short, F.lit(0).cast("long")).otherwise(h) for h in digest([*columns, *missing])]]
+
+
 def exploded(df: DataFrame, sets: list[tuple[str, ...]]) -> DataFrame:
     """(_set, _h1, _h2): a row for each row of ``df`` and key set whose values are all present."""
     def one(j: int, keys: tuple[str, ...]) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import RuleSpec, TableContract, load_contract
+from ..functions.rules import KeyRule, register_key_rule
 from ..operators import load as L
 from ..operators.constraints import apply_defaults, constraint_check
 from ..operators.reshape import add_lineage, align, apply_transforms, filter_columns, rename
@@ -229,6 +230,25 @@ SELECT o_orderkey, o_custkey,
 FROM s
 """
 
+register_key_rule("at_most", lambda schema, spec: KeyRule(F.lit(1), F.count, lambda n: n > spec.param("n")))
+
+
+def q_rule_at_most(spark, sf):
+    """A registered rule over a key set, with a unique rule on the same keys."""
+    o = _t(spark, sf, "orders", index=True).select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 13 != 0, F.col("o_custkey")).alias("o_custkey"), "_source_file", INDEX)
+    rules = [RuleSpec("at_most", ("o_custkey",), (("n", 10),)), RuleSpec("unique", ("o_custkey",))]
+    return error_message(check_rules(o, rules)).select("o_orderkey", "o_custkey", "error_message")
+
+
+SQL_RULE_AT_MOST = """
+WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 <> 0 THEN o_custkey END AS o_custkey FROM orders),
+c AS (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM s)
+SELECT o_orderkey, o_custkey, CASE WHEN o_custkey IS NULL OR n = 1 THEN NULL WHEN n > 10 THEN 'at_most(o_custkey); unique(o_custkey)'
+  ELSE 'unique(o_custkey)' END AS error_message
+FROM c
+"""
+
 LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                  "l_shipdate"]
@@ -1153,6 +1173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_not_null": q_rule_not_null,
     "rule_unique": q_rule_unique,
     "rule_unique_composite": q_rule_unique_composite,
+    "rule_at_most": q_rule_at_most,
     "rule_duplicate_row": q_rule_duplicate_row,
     "rule_duplicate_key": q_rule_duplicate_key,
     "rule_range": q_rule_range,
@@ -1207,6 +1228,7 @@ ORACLE_SQL: dict[str, str] = {
     "rule_not_null": SQL_RULE_NOT_NULL,
     "rule_unique": SQL_RULE_UNIQUE,
     "rule_unique_composite": SQL_RULE_UNIQUE_COMPOSITE,
+    "rule_at_most": SQL_RULE_AT_MOST,
     "rule_duplicate_row": SQL_RULE_DUPLICATE_ROW,
     "rule_duplicate_key": SQL_RULE_DUPLICATE_KEY,
     "rule_range": SQL_RULE_RANGE,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 LEDGER_SCHEMA = ("table_name string, run_id string, stage string, status string, "
                  "started_at timestamp_ntz, ended_at timestamp_ntz, source string, "
                  "error string, n_in bigint, n_valid bigint, n_error bigint, "
-                 "n_rejected_files bigint, n_rejected_rows bigint, seq bigint")
+                 "n_rejected_files bigint, n_rejected_rows bigint, errors_by_rule array<struct<rule:string,n_rows:bigint>>, seq bigint")
 
 # Run states.
 STATUSES = ("RUNNING", "FAILED", "SUCCESS")
@@ -26,7 +26,7 @@ def record(spark: SparkSession, ledger_path: str, table: str, run_id: str, stage
     c = counts or {}
     row = [(table, run_id, stage, status, started_at, ended_at, source, error,
             c.get("n_in"), c.get("n_valid"), c.get("n_error"), c.get("n_rejected_files"),
-            c.get("n_rejected_rows"), time.time_ns())]
+            c.get("n_rejected_rows"), sorted(c["errors_by_rule"].items()) if c.get("errors_by_rule") is not None else None, time.time_ns())]
     spark.createDataFrame(row, LEDGER_SCHEMA).write.mode("append").parquet(ledger_path)
 
 

@@ -19,8 +19,8 @@ from ..contract import TableContract, load_contract
 from ..errors import StageError, ValidationError
 from ..operators import load as L
 from ..operators.reshape import align, apply_transforms, reshape
-from ..operators.routing import observe_counts, split
-from ..operators.validate import validate
+from ..operators.routing import split
+from ..operators.validate import RuleCounts, validate
 from ..session import hadoop_fs, plain_path, plain_path_col, scratch_scope, staged
 from ..sources.files import layer_path, read_table, write_table
 from ..sources.gates import copy_to_quarantine, judge_files
@@ -41,6 +41,7 @@ class StageResult:
     n_error: int | None = None
     n_rejected_files: int | None = None
     n_rejected_rows: int | None = None
+    errors_by_rule: dict[str, int] | None = None
 
 
 def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base: str,
@@ -102,7 +103,7 @@ def l0_to_l1(spark: SparkSession, l0: TableContract, l1: TableContract, base: st
     The indexed L0 rows are written once as Parquet to the shared folder, so
     that the landing format is parsed once for the data and the key rules read
     only their key columns; so is the checked table, which both sinks read.
-    Record counts come from an ``Observation`` on that write.  Both copies are
+    Counts of rows and of violations by rule come with that write.  Both copies are
     deleted when the stage ends.
     """
     src = layer_path(base, l0, "l0", process_date, l0.format("l0"))
@@ -110,15 +111,14 @@ def l0_to_l1(spark: SparkSession, l0: TableContract, l1: TableContract, base: st
         df = read_table(spark, src, l0.format("l0"), contract=l0, index=True,
                         flag_malformed=l0.format("l0") == "csv",
                         multiline=bool(l0.raw.get("multiline", False)))
-        checked, obs = observe_counts(validate(staged(df, f"l0-{l0.table_name}"), l0, order_by=order_by))
+        found = RuleCounts()
+        checked = validate(staged(df, f"l0-{l0.table_name}"), l0, order_by=order_by, counts=found)
         valid, audit = split(staged(checked, f"checked-{l0.table_name}"))
         dst = layer_path(base, l1, "l1", process_date, l0.format("l1"))
         write_table(reshape(valid, l0, l1), dst, l0.format("l1"))
         write_table(audit, layer_path(base, l0, "audit", process_date, l0.format("audit")),
                     l0.format("audit"))
-    counts = obs.get
-    return StageResult("l0_to_l1", l0.table_name, dst, counts.get("n_in"), counts.get("n_valid"),
-                       counts.get("n_error"))
+    return StageResult("l0_to_l1", l0.table_name, dst, **found.totals, errors_by_rule=found.by_rule)
 
 
 def l1_to_target(spark: SparkSession, l1: TableContract, base: str, process_date,
@@ -180,6 +180,6 @@ def run_table(spark: SparkSession, table: str, base: str, process_date, target_r
             ledger.record(spark, ledger_path, table, run_id, name, "SUCCESS", started,
                           _dt.datetime.now(), source=base,
                           counts={k: getattr(res, k) for k in
-                                  ("n_in", "n_valid", "n_error", "n_rejected_files", "n_rejected_rows")})
+                                  ("n_in", "n_valid", "n_error", "n_rejected_files", "n_rejected_rows", "errors_by_rule")})
         out.append(res)
     return out

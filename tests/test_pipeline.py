@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from rampart.errors import StageError
 from rampart.operators import load as L
-from rampart.plans import catalog, generate
+from rampart.operators.routing import error_summary
+from rampart.operators.validate import validate
+from rampart.plans import catalog, generate, ledger
 from rampart.plans.pipeline import l0_to_l1, rcv_to_l0, run_stage, run_table
 from rampart.sources.files import layer_path, read_table, write_table
 
@@ -35,6 +37,17 @@ def test_counts_balance(lake):
     assert r.n_in == r.n_valid + r.n_error and r.n_error > 0 and r.n_valid > 0
 
 
+def test_counts_by_rule_are_the_summary(spark, lake):
+    """Counted with the write, and kept in the ledger."""
+    base, _, l0, _, results = lake
+    checked = validate(read_table(spark, layer_path(base, l0, "l0", DATE, "csv"), "csv", contract=l0, index=True, flag_malformed=True), l0)
+    want = {f"{r['error_rule']}({r['error_column']})": r["n_rows"] for r in error_summary(checked).collect()}
+    assert results[1].errors_by_rule == want and len(want) == 3
+    path = f"{base}/ledger"
+    ledger.record(spark, path, "customers", "r", "l0_to_l1", "SUCCESS", TS, TS, counts={"n_in": 1, "errors_by_rule": results[1].errors_by_rule})
+    assert ledger.latest(spark.read.parquet(path)).first()["errors_by_rule"] == sorted(want.items())
+
+
 def test_audit_rows_have_violations(spark, lake):
     base, _, l0, _, results = lake
     audit = read_table(spark, layer_path(base, l0, "audit", DATE, "parquet"), "parquet")

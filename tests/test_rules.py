@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from rampart import RuleSpec, TableContract, check_rules, validate
 from rampart.errors import ContractError
+from rampart.functions.rules import KeyRule, register_key_rule
+from rampart.operators import keysets
+from rampart.operators import validate as validate_module
 from rampart.operators.routing import error_message, split
 
 
@@ -161,3 +164,63 @@ def test_order_by_keeps_first_in_given_order(spark):
     out = check_rules(df, [RuleSpec("duplicate", ("a",))], order_by=["t"])
     kept = [r["_source_index"] for r in out.where(F.size("_errors") == 0).collect()]
     assert kept == [1]
+
+
+LONG_A, LONG_B = "a" * 40, "b" * 40
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_long_keys_by_digest(spark, monkeypatch, collide):
+    """Long texts, short ones, NULLs, and both in one key; different texts may share a digest."""
+    if collide:
+        monkeypatch.setattr(keysets, "digest", lambda columns: [F.lit(7).cast("long").alias("_h1"), F.lit(9).cast("long").alias("_h2")])
+    data = [(0, LONG_A, 1), (1, LONG_B, 1), (2, LONG_A, 2), (3, "x", 1), (4, "x", 1), (5, None, 1), (6, None, 1), (7, "", 1), (8, LONG_A, 1),
+            (9, "c" * 33, None), (10, "c" * 33, None), (11, "d" * 32, 5), (12, "d" * 32, 5), (13, "-", 1), (14, "1:x", 1)]
+    df = spark.createDataFrame(data, "_source_index long, t string, n long").repartition(3)
+    rules = [RuleSpec("unique", ("t",)), RuleSpec("unique", ("t", "n")), RuleSpec("duplicate", ("n", "t"))]
+    got = {r["_source_index"]: r["error_message"] for r in error_message(check_rules(df, rules)).collect()}
+    want = {}
+    for i, t, n in data:
+        messages = []
+        if t is not None and sum(u == t for _, u, _ in data) > 1:
+            messages.append("unique(t)")
+        if t is not None and n is not None and sum((u, m) == (t, n) for _, u, m in data) > 1:
+            messages.append("unique(t,n)")
+        if any((u, m) == (t, n) and j < i for j, u, m in data):
+            messages.append("duplicate(n,t)")
+        want[i] = "; ".join(messages) or None
+    assert got == want
+
+
+def test_whole_rows_with_texts_bytes_and_arrays(spark):
+    data = [(0, "a" * 50, b"\x00\x01", [1, 2], 0.0), (1, "a" * 50, b"\x00\x01", [1, 2], -0.0), (2, "a" * 50, b"\x00", [1, 2], 0.0), (3, "a" * 50, b"\x00\x01", [1], 0.0),
+            (4, None, None, None, None), (5, None, None, None, None), (6, None, None, [], None)]
+    df = spark.createDataFrame(data, "_source_index long, t string, b binary, l array<int>, d double")
+    got = {r["_source_index"] for r in validate(df, None, rules=[], check_datatypes=False).where(F.size("_errors") > 0).collect()}
+    assert got == {1, 5}
+
+
+def test_unique_rule_moves_no_texts(spark):
+    docs = spark.createDataFrame([(i, "word " * 100 + str(i % 50)) for i in range(100)], "_source_index long, text string")
+    keys = validate_module._KeySet(0, ("text",), {"text": docs.schema["text"].dataType})
+    plan = keys._repeated(docs, None, True)._jdf.queryExecution().executedPlan().toString()
+    exchange = plan[plan.index("Exchange hashpartitioning"):]
+    shuffled = exchange[:exchange.index(")")]
+    assert "text#" not in shuffled and "SortAggregate" not in plan
+    out = check_rules(docs, [RuleSpec("unique", ("text",))])
+    assert out.where(F.size("_errors") == 1).count() == 100
+
+
+def test_registered_key_rule(spark):
+    """At most n rows a key; and the rows of a key agree on a value."""
+    register_key_rule("at_most", lambda schema, spec: KeyRule(F.lit(1), F.count, lambda n: n > spec.param("n")))
+    register_key_rule("one_value", lambda schema, spec: KeyRule(F.col(spec.param("of")), F.count_distinct, lambda n: n > 1))
+    c = TableContract.from_dict({"table_name": "t", "columns": [{"name": "k", "type": "string"}, {"name": "v", "type": "int"}], "validation": [
+        {"rule": "at_most", "column": "k", "n": 2}, {"rule": "one_value", "column": "k", "of": "v"}, {"rule": "unique", "column": "k"}]})
+    df = spark.createDataFrame([(0, "a", 1), (1, "a", 1), (2, "b", 1), (3, "b", 2), (4, "b", 1), (5, "c", 9), (6, None, 1), (7, None, 2), (8, None, 3)],
+                               "_source_index long, k string, v long")
+    got = {r["_source_index"]: r["error_message"] for r in error_message(validate(df, c, whole_row_duplicate=False)).collect()}
+    b = "at_most(k); one_value(k); unique(k)"
+    assert got == {0: "unique(k)", 1: "unique(k)", 2: b, 3: b, 4: b, 5: None, 6: None, 7: None, 8: None}
+    with pytest.raises(ContractError, match="Columns not found"):
+        validate(df.drop("k"), None, rules=[RuleSpec("at_most", ("k",), (("n", 2),))], whole_row_duplicate=False)
