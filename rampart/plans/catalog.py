@@ -939,6 +939,27 @@ SQL_SCAN_CSV = (f"SELECT nullif(id, '') AS id, nullif(name, '') AS name, birthda
                 f"FROM ({SQL_GEN_CUSTOMERS})")
 
 
+NOTES_TEXT = TableContract.from_dict({"table_name": "notes", "columns": [
+    {"name": n, "type": "string"} for n in ("doc_id", "text", "lang", "source")]})
+
+
+def q_scan_csv_multiline(spark, sf):
+    """Whole document texts, with line breaks, quotes and commas, through CSV."""
+    path = scratch_path(spark, "multiline")
+    d = _t(spark, sf, "documents")
+    note = F.concat(F.lit('first line, "quoted"\n\n'), F.replace("text", F.lit(". "), F.lit('.\n"')))
+    write_table(d.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(note).alias("text"), "lang", "source"), path, "csv")
+    out = read_table(spark, path, "csv", contract=NOTES_TEXT, multiline=True, index=True)
+    dense = out.agg((F.count_distinct(INDEX) == F.max(INDEX) + 1).alias("dense"))
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha")).join(F.broadcast(dense), F.lit(True))
+
+
+SQL_SCAN_CSV_MULTILINE = """
+SELECT doc_id, lang, source, length(t) AS n, sha256(t) AS sha, true AS dense
+FROM (SELECT *, CASE WHEN doc_id % 3 = 0 THEN text ELSE 'first line, "quoted"' || chr(10) || chr(10) || replace(text, '. ', '.' || chr(10) || '"') END AS t FROM documents)
+"""
+
+
 def q_source_index_csv(spark, sf):
     """The index that a CSV scan attaches: one file a nation, in path order."""
     path = scratch_path(spark, "source_index")
@@ -1163,6 +1184,7 @@ def q_pipeline_stream(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": q_scan_parquet,
     "scan_csv": q_scan_csv,
+    "scan_csv_multiline": q_scan_csv_multiline,
     "source_index_csv": q_source_index_csv,
     "sink_csv_roundtrip": q_sink_csv_roundtrip,
     "sink_parquet_roundtrip": q_sink_parquet_roundtrip,
@@ -1218,6 +1240,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": SQL_SCAN_PARQUET,
     "scan_csv": SQL_SCAN_CSV,
+    "scan_csv_multiline": SQL_SCAN_CSV_MULTILINE,
     "source_index_csv": SQL_SOURCE_INDEX_CSV,
     "sink_csv_roundtrip": SQL_CUSTOMER_TYPED,
     "sink_parquet_roundtrip": SQL_SCAN_PARQUET,

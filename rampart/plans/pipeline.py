@@ -21,7 +21,7 @@ from ..operators import load as L
 from ..operators.reshape import align, apply_transforms, reshape
 from ..operators.routing import split
 from ..operators.validate import RuleCounts, validate
-from ..session import hadoop_fs, plain_path, plain_path_col, scratch_scope, staged
+from ..session import hadoop_fs, plain_path, scratch_scope, staged
 from ..sources.files import layer_path, read_table, write_table
 from ..sources.gates import copy_to_quarantine, judge_files
 
@@ -81,8 +81,7 @@ def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base:
         raise ValidationError(why)
     # Only the file path is needed here (lineage); positions are taken at L0.
     df = read_table(spark, accepted, rcv.format("rcv"), contract=rcv,
-                    multiline=bool(rcv.raw.get("multiline", False)))
-    df = df.select("*", plain_path_col(F.col("_metadata.file_path")).alias("_source_file"))
+                    multiline=bool(rcv.raw.get("multiline", False)), source_file=True)
     target = l0
     if raw_l0:
         target = TableContract.from_dict({**l0.raw, "columns": [
@@ -100,9 +99,9 @@ def l0_to_l1(spark: SparkSession, l0: TableContract, l1: TableContract, base: st
     """Validate L0 against every rule, write valid rows reshaped to L1 and the
     audit rows (always, so a clean rerun replaces an older audit).
 
-    The indexed L0 rows are written once as Parquet to the shared folder, so
-    that the landing format is parsed once for the data and the key rules read
-    only their key columns; so is the checked table, which both sinks read.
+    The L0 rows are parsed once, into a Parquet copy in the shared folder (the index
+    needs it), of which the key rules read only their key columns; the checked table is
+    written once, too, which both sinks read.
     Counts of rows and of violations by rule come with that write.  Both copies are
     deleted when the stage ends.
     """
@@ -112,7 +111,7 @@ def l0_to_l1(spark: SparkSession, l0: TableContract, l1: TableContract, base: st
                         flag_malformed=l0.format("l0") == "csv",
                         multiline=bool(l0.raw.get("multiline", False)))
         found = RuleCounts()
-        checked = validate(staged(df, f"l0-{l0.table_name}"), l0, order_by=order_by, counts=found)
+        checked = validate(df, l0, order_by=order_by, counts=found)
         valid, audit = split(staged(checked, f"checked-{l0.table_name}"))
         dst = layer_path(base, l1, "l1", process_date, l0.format("l1"))
         write_table(reshape(valid, l0, l1), dst, l0.format("l1"))

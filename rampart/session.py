@@ -118,9 +118,11 @@ def plain_path(uri: str) -> str:
 
 
 def plain_path_col(uri: Column) -> Column:
-    """``plain_path`` of a ``_metadata.file_path`` column."""
-    decoded = F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))  # a plus is a plus in a path
-    return F.regexp_replace(decoded, "^file:///", "file:/")
+    """``plain_path`` of a ``_metadata.file_path`` column. It is evaluated for every row, so
+    only paths with escapes are decoded."""
+    short = F.when(uri.startswith("file:///"), F.concat(F.lit("file:/"), uri.substr(9, 1 << 30))).otherwise(uri)
+    decoded = F.url_decode(F.regexp_replace(short, r"\+", "%2B"))  # a plus is a plus in a path
+    return F.when(uri.contains("%"), decoded).otherwise(short)
 
 
 def hadoop_fs(spark: SparkSession, path: str):

@@ -3,10 +3,11 @@
 ``_source_index`` is the 0-based position of a row over all input files in
 path order and ``_source_file`` the file itself; together they give a total,
 reproducible keep-first order across many files and splits.  For Parquet both
-come from the scan's ``_metadata`` (``row_index``).  CSV has no row index, so it
-is rebuilt from split boundaries: rows per (file, split) and the first row id of
+come from the scan's ``_metadata`` (``row_index``).  CSV has no row index: it is parsed
+once, into a Parquet copy whose rows keep their split and their place among the task's rows. From the
+copy, rows per (file, split) and the first row id of
 each split are aggregated (one small row per split), turned into offsets by a
-distributed prefix sum over that table, written once, and joined back; the planner
+distributed prefix sum over that table, written once, and joined back to the copy; the planner
 broadcasts the offsets or shuffles by their written size.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 from ..contract import SUPPORTED_FORMATS, TableContract
 from ..operators.validate import CORRUPT, FILE, INDEX
 from ..session import hadoop_fs, plain_path_col, staged
+from . import multiline
 
 # Fixed value: units per task aimed at in the prefix sum of offsets.
 PREFIX_ROWS_PER_TASK = 50_000
@@ -34,20 +36,27 @@ def _check_format(fmt: str) -> str:
 
 def read_table(spark: SparkSession, path, fmt: str, *, schema: T.StructType | None = None,
                contract: TableContract | None = None, index: bool = False,
-               flag_malformed: bool = False, multiline: bool = False) -> DataFrame:
-    """Scan CSV (header row, all text, no inference) or Parquet."""
+               flag_malformed: bool = False, multiline: bool = False, source_file: bool = False) -> DataFrame:
+    """Scan CSV (header row, all text, no inference) or Parquet.
+
+    ``index`` attaches ``_source_file`` and ``_source_index``, ``source_file`` the first alone.
+    With ``multiline`` quoted CSV fields may hold line breaks: the records are put together by
+    many tasks a file (:mod:`multiline`) and parsed once; it needs a schema or contract."""
     _check_format(fmt)
     paths = [path] if isinstance(path, str) else list(path)
     if fmt == "csv":
         if schema is None and contract is not None:
             schema = contract.string_schema()
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+        options = {"mode": "PERMISSIVE", "escape": '"'}
+        if schema is not None and flag_malformed:
+            schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+            options["columnNameOfCorruptRecord"] = CORRUPT
         if multiline:
-            reader = reader.option("multiLine", True)
+            if schema is None:
+                raise ValueError("multiline needs a schema or contract")
+            return _read_multiline(spark, paths, schema, options, index, source_file)
+        reader = spark.read.options(header=True, **options)
         if schema is not None:
-            if flag_malformed:
-                schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-                reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
             reader = reader.schema(schema)
         df = reader.csv(paths)
     else:
@@ -55,7 +64,22 @@ def read_table(spark: SparkSession, path, fmt: str, *, schema: T.StructType | No
         if schema is not None:
             reader = reader.schema(schema)
         df = reader.parquet(*paths)
-    return with_source_index(df, fmt, paths) if index else df
+    if index:
+        return with_source_index(df, fmt, paths)
+    return df.select("*", plain_path_col(F.col("_metadata.file_path")).alias(FILE)) if source_file else df
+
+
+def _read_multiline(spark: SparkSession, paths: list[str], schema: T.StructType, options: dict, index: bool, source_file: bool) -> DataFrame:
+    splits = split_bound(spark, paths)
+    records, counts = multiline.read_records(spark, paths, splits)
+    rows = multiline.parsed(records, schema, options)
+    rows = staged(rows.select(plain_path_col(F.col("file")).alias(FILE), "number", *schema.names), "multiline")
+    if not index:
+        return rows.drop("number") if source_file else rows.drop("number", FILE)
+    # a file's records are numbered already, from its header on
+    units = counts.select(plain_path_col(F.col("file")).alias(FILE), (F.col("records") - 1).alias("_cnt"))
+    offsets = staged(prefix_offsets(units, [FILE], "_cnt", splits).drop("_cnt"), "offsets")
+    return rows.join(offsets, FILE).select(*schema.names, FILE, (F.col("_off") + F.col("number") - 1).alias(INDEX))
 
 
 def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
@@ -65,8 +89,8 @@ def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
     ``_source_index`` is dense and 0-based over all input files taken in path
     order (so it alone identifies a row); with ``per_file`` it restarts at 0
     in every file.  Offsets come from one small row per file (Parquet, whose
-    scan exposes ``row_index``) or per (file, split) (text formats), prefixed
-    by a window over that small table and joined back.
+    scan exposes ``row_index``) or per (file, split) (text formats, from a written
+    copy of the scan, which the result reads), prefixed by a window over that small table and joined back.
     """
     spark = df.sparkSession
     if fmt == "parquet":
@@ -83,7 +107,7 @@ def with_source_index(df: DataFrame, fmt: str, paths: list[str] | None = None,
                        F.col("_metadata.file_block_start").alias("_blk"),
                        F.monotonically_increasing_id().alias("_mid"))
     bound = split_bound(spark, paths) if paths is not None else None
-    return dense_index(marked, df.columns, per_file=per_file, n_hint=bound)
+    return dense_index(staged(marked, "landing"), df.columns, per_file=per_file, n_hint=bound)
 
 
 def prefix_offsets(units: DataFrame, order: list[str], count_col: str,
