@@ -1041,7 +1041,13 @@ def _label(path_col: str):
 def _gate(spark, sf, checks) -> DataFrame:
     root = _landing(spark, sf)
     v = judge_files(spark, [root, f"{root}/missing/part.csv"], GATE_CONTRACT, checks=checks)
-    return v.select(_label("file_path").alias("label"), "status").distinct()
+    return v.select(_label("file_path").alias("label"), "status", _reason().alias("reason")).distinct()
+
+
+def _reason():
+    """A reason with the file's label for its path; a header that is no text is left out."""
+    named = F.regexp_replace("reason", r"\S*/landing-[0-9a-f]+/([^/]+(?:/c_nationkey=\d+)?)\S*", "$1")
+    return F.regexp_replace(named, r"got \[.*Customer#(?s:.*)\]$", "got [data]")
 
 
 def q_file_gate(spark, sf):
@@ -1049,46 +1055,50 @@ def q_file_gate(spark, sf):
 
 
 _NATIONS = "SELECT DISTINCT c_nationkey FROM customer"
-SQL_FILE_GATE = f"""
-SELECT 'good/c_nationkey=' || CAST(c_nationkey AS VARCHAR) AS label, 'accepted' AS status FROM ({_NATIONS})
-UNION ALL SELECT 'mismatch/c_nationkey=' || CAST(c_nationkey AS VARCHAR), 'schema_mismatch' FROM ({_NATIONS})
-UNION ALL SELECT 'badutf8/c_nationkey=' || CAST(c_nationkey AS VARCHAR), 'unreadable' FROM ({_NATIONS})
-UNION ALL SELECT 'headeronly', 'header_only'
-UNION ALL SELECT 'blankfirst', 'empty'
-UNION ALL SELECT 'zerobyte', 'empty'
-UNION ALL SELECT 'missing', 'not_found'
-"""
+_MISMATCH = "Schema mismatch. Expected [''c_custkey'', ''c_name'', ''c_acctbal'', ''c_mktsegment''], got "
+
+
+def _sql_gate(verdicts: dict[str, tuple[str, str | None]]) -> str:
+    """One row a label; those of the first three kinds for every nation. ``{}`` in a reason is the label."""
+    rows = []
+    for kind, (status, reason) in verdicts.items():
+        label = f"'{kind}/c_nationkey=' || CAST(c_nationkey AS VARCHAR)" if kind in ("good", "mismatch", "badutf8") else f"'{kind}'"
+        text = "CAST(NULL AS VARCHAR)" if reason is None else f"replace('{reason}', '{{}}', {label})"
+        rows.append(f"SELECT {label} AS label, '{status}' AS status, {text} AS reason" + (f" FROM ({_NATIONS})" if "||" in label else ""))
+    return "\nUNION ALL ".join(rows)
+
+
+_SWAPPED = _MISMATCH + "[''c_name'', ''c_custkey'', ''c_acctbal'', ''c_mktsegment'']"
+SQL_FILE_GATE = _sql_gate({
+    "good": ("accepted", None), "mismatch": ("schema_mismatch", _SWAPPED), "badutf8": ("unreadable", "File is not readable - {}"),
+    "headeronly": ("header_only", "File contains only header without data - {}"), "blankfirst": ("empty", "File empty - {}"),
+    "zerobyte": ("empty", "File empty - {}"), "missing": ("not_found", "File not found - {}")})
 
 
 def q_schema_gate(spark, sf):
     return _gate(spark, sf, ("validate_schema",))
 
 
-SQL_SCHEMA_GATE = f"""
-SELECT 'good/c_nationkey=' || CAST(c_nationkey AS VARCHAR) AS label, 'accepted' AS status FROM ({_NATIONS})
-UNION ALL SELECT 'mismatch/c_nationkey=' || CAST(c_nationkey AS VARCHAR), 'schema_mismatch' FROM ({_NATIONS})
-UNION ALL SELECT 'badutf8/c_nationkey=' || CAST(c_nationkey AS VARCHAR), 'schema_mismatch' FROM ({_NATIONS})
-UNION ALL SELECT 'headeronly', 'accepted'
-UNION ALL SELECT 'blankfirst', 'schema_mismatch'
-UNION ALL SELECT 'zerobyte', 'schema_mismatch'
-UNION ALL SELECT 'missing', 'not_found'
-"""
+SQL_SCHEMA_GATE = _sql_gate({
+    "good": ("accepted", None), "mismatch": ("schema_mismatch", _SWAPPED), "badutf8": ("schema_mismatch", _MISMATCH + "[data]"),
+    "headeronly": ("accepted", None), "blankfirst": ("schema_mismatch", _MISMATCH + "[" + "'" * 4 + "]"),
+    "zerobyte": ("schema_mismatch", None), "missing": ("not_found", "File not found - {}")})
 
 
 def q_quarantine_lines(spark, sf):
+    """Every data line of the rejected files, byte for byte, with the reason."""
     root = _landing(spark, sf)
     v = judge_files(spark, [root], GATE_CONTRACT)
     q = quarantine_lines(spark, v)
-    label = F.regexp_extract(F.col("file_path"), r"/landing-[0-9a-f]+/([^/]+)", 1)
     data_line = ~F.col("line").startswith("c_") & F.col("line").rlike(r"\S")
-    return q.groupBy(label.alias("label")).agg(F.count_if(data_line).alias("n_data_lines"))
+    return q.where(data_line).select(_label("file_path").alias("label"), F.hex(F.col("line").cast("binary")).alias("line_hex"), _reason().alias("reason"))
 
 
-SQL_QUARANTINE_LINES = """
-SELECT 'mismatch' AS label, count(*) AS n_data_lines FROM customer
-UNION ALL SELECT 'badutf8', count(*) FROM customer
-UNION ALL SELECT 'headeronly', 0
-UNION ALL SELECT 'blankfirst', 1
+SQL_QUARANTINE_LINES = f"""
+WITH c AS (SELECT *, CAST(c_custkey AS VARCHAR) AS k, CAST(c_acctbal AS VARCHAR) AS b, 'c_nationkey=' || CAST(c_nationkey AS VARCHAR) AS n FROM customer)
+SELECT 'mismatch/' || n AS label, hex(encode(concat_ws(',', c_name, k, b, c_mktsegment))) AS line_hex, '{_SWAPPED}' AS reason FROM c
+UNION ALL SELECT 'badutf8/' || n, hex(encode(k || ',' || c_name)) || 'FF' || hex(encode(',' || b || ',' || c_mktsegment)), 'File is not readable - badutf8/' || n FROM c
+UNION ALL SELECT 'blankfirst', hex(encode('1,x,1.0,AUTO')), 'File empty - blankfirst'
 """
 
 
@@ -1139,6 +1149,24 @@ def q_pipeline_l0_l1(spark, sf):
     return read_table(spark, layer_path(base, l1, "l1", PROCESS_DATE, "parquet"), "parquet").select(*FINAL_COLS)
 
 
+def q_pipeline_audit(spark, sf):
+    """The audit that l0 -> l1 writes: every refused row with its reasons."""
+    base, rcv, l0, l1 = _landed(spark, sf)
+    rcv_to_l0(spark, rcv, l0, base, PROCESS_DATE, RUN_TS, on_reject="skip")
+    l0_to_l1(spark, l0, l1, base, PROCESS_DATE)
+    audit = read_table(spark, layer_path(base, l0, "audit", PROCESS_DATE, l0.format("audit")), l0.format("audit"))
+    return audit.select("id", "name", "birthday", "address", F.col("kpi").cast("double").alias("kpi"), "error_type", "error_rule", "error_column", "error_message")
+
+
+_audit_v = _flagged([("not_null", c, _nn(c)) for c in ("id", "name", "birthday", "address", "kpi", "process_date")]
+                    + [("range", "kpi", "kpi IS NOT NULL AND NOT (kpi >= 0 AND kpi <= 100)")])
+SQL_PIPELINE_AUDIT = f"""
+SELECT id, name, CAST(birthday AS VARCHAR) AS birthday, address, kpi, 'validation' AS error_type, {_audit_v['rule']} AS error_rule,
+       {_audit_v['column']} AS error_column, {_audit_v['message']} AS error_message
+FROM ({SQL_L0_TYPED}) WHERE {_audit_v['n']} > 0
+"""
+
+
 def q_pipeline_load(spark, sf):
     """Names of one word have no last name, which the serving table demands:
     those rows are refused with their reason, the others load."""
@@ -1227,6 +1255,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "constraint_default": q_constraint_default,
     "pipeline_rcv_l0": q_pipeline_rcv_l0,
     "pipeline_l0_l1": q_pipeline_l0_l1,
+    "pipeline_audit": q_pipeline_audit,
     "pipeline_load": q_pipeline_load,
     "pipeline_full": q_pipeline_full,
     "pipeline_stream": q_pipeline_stream,
@@ -1283,6 +1312,7 @@ ORACLE_SQL: dict[str, str] = {
     "constraint_default": SQL_CONSTRAINT_DEFAULT,
     "pipeline_rcv_l0": SQL_PIPELINE_RCV_L0,
     "pipeline_l0_l1": SQL_PIPELINE_L1,
+    "pipeline_audit": SQL_PIPELINE_AUDIT,
     "pipeline_load": SQL_PIPELINE_LOAD,
     "pipeline_full": SQL_PIPELINE_L1,
     "pipeline_stream": SQL_PIPELINE_L1,

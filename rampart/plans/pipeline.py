@@ -23,7 +23,7 @@ from ..operators.routing import split
 from ..operators.validate import RuleCounts, validate
 from ..session import hadoop_fs, plain_path, scratch_scope, staged
 from ..sources.files import layer_path, read_table, write_table
-from ..sources.gates import copy_to_quarantine, judge_files
+from ..sources.gates import copy_all_to_quarantine, judge_files
 
 CONFIG_ROOT = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "config")
 
@@ -74,9 +74,7 @@ def rcv_to_l0(spark: SparkSession, rcv: TableContract, l0: TableContract, base:
                       dict(rcv.formats).get("quarantine", rcv.format("rcv")))
     fs, p = hadoop_fs(spark, src)
     below = plain_path(str(fs.makeQualified(p))) + "/" if rejected and fs.exists(p) and fs.getFileStatus(p).isDirectory() else None
-    for r in rejected:
-        if r["quarantine"]:
-            copy_to_quarantine(spark, r["file_path"], qdir if below is None else f"{qdir}/{r['file_path'][len(below):]}")
+    copy_all_to_quarantine(spark, [(r["file_path"], qdir if below is None else f"{qdir}/{r['file_path'][len(below):]}") for r in rejected if r["quarantine"]])
     if rejected and (on_reject == "raise" or not accepted):
         raise ValidationError(why)
     # Only the file path is needed here (lineage); positions are taken at L0.

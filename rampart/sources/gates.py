@@ -19,6 +19,8 @@ Gates run in the contract's order; the first that fails gives the verdict.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,8 @@ VERDICT_SCHEMA = T.StructType([
 ])
 
 
+COPIES = 16  # byte copies at a time
+
 # A comma that is not inside double quotes.
 _CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -54,13 +58,6 @@ def _landing_text(spark: SparkSession, paths) -> tuple[DataFrame | None, list[st
     return text, [plain_path(f) for f in text.inputFiles()], missing
 
 
-def list_files(spark: SparkSession, paths) -> list[tuple[str, bool]]:
-    """(file path, exists) for each expected file; folders expand to the
-    data files below them (names starting ``_`` or ``.`` skipped)."""
-    _, files, missing = _landing_text(spark, paths)
-    return [(f, True) for f in files] + [(m, False) for m in missing]
-
-
 def parse_header(line) -> "F.Column":
     """Header line -> array of column names (CSV quoting, BOM and CR removed)."""
     clean = F.regexp_replace(F.regexp_replace(line, "^﻿", ""), r"\r$", "")
@@ -157,5 +154,12 @@ def copy_to_quarantine(spark: SparkSession, src: str, dst: str) -> None:
                                                   spark._jsc.hadoopConfiguration())
 
 
+def copy_all_to_quarantine(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
+    """Byte copies of rejected files, COPIES at a time. (A DataFrame can't write bytes to named
+    files; the lines as a table are :func:`quarantine_lines`.)"""
+    with ThreadPoolExecutor(COPIES) as pool:
+        list(pool.map(lambda pair: copy_to_quarantine(spark, *pair), pairs))
+
+
 def accepted_files(verdicts: DataFrame) -> list[str]:
     return [r["file_path"] for r in verdicts.where("status = 'accepted'").select("file_path").collect()]
