@@ -82,5 +82,5 @@ def test_run_and_empty_tables(spark, corpus, tmp_path):
 def test_every_query_is_registered():
     names = entry.queries()
     assert [n for n in names if n.startswith("op")] == list(queries.QUERIES) and "pipeline" in names
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(names) and set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
