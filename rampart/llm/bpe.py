@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rampart.llm.common import release
+
 CACHE_ENTRIES = 700_000  # in each worker
 
 
@@ -267,6 +269,7 @@ def add_columns(df: DataFrame, columns: dict[str, tuple[str | T.DataType, pa.Dat
         schema.add(name, kind)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         work = make()
         for whole in batches:
             for start in range(0, whole.num_rows, rows):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -55,6 +57,16 @@ def shards(spark: SparkSession) -> int:
     return 2 * max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def release() -> None:
+    """Give back to the system what a worker's former tasks have left: workers outlive
+    tasks and stages, and free memory that they keep would count for each stage that follows."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def columns(batch: pa.RecordBatch) -> list[list]:
     return [c.to_pylist() for c in batch.columns]
 
@@ -87,6 +99,7 @@ def to_blocks(df: DataFrame, id_col: str, text_col: str, flag: Column | None = N
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        release()
         task, seq, size = TaskContext.get().partitionId(), 0, 0
         ids: list = []
         flags: list = []
@@ -120,6 +133,7 @@ def unpack(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 
 
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    release()
     for b in batches:
         for k in range(b.num_rows):
             yield b.slice(k, 1).to_pylist()[0]
@@ -281,7 +295,7 @@ BASE = 0x9E3779B97F4A7C15  # odd, so that powers have an inverse modulo 2**64
 class WordHashes(dict):
     """64-bit hash of a word, kept for the worker's most recent words."""
 
-    LIMIT = 500_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         self[word] = out = xxhash.xxh64_intdigest(word)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rampart.llm.bpe import add_columns
+from rampart.llm.common import discard, materialize
 
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 1000
@@ -113,7 +114,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", where:
                     yield from flush()
         yield from flush()
 
-    counts = src.mapInArrow(count, "l string, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n"))
+    counts = materialize(src.mapInArrow(count, "l string, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")), "lang-counts")
     langs = sorted(r[0] for r in counts.filter(F.col("bucket") >= BUCKETS).select("l").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} different languages")
@@ -122,6 +123,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", where:
     if found is not None:
         place = {lang: i for i, lang in enumerate(langs)}
         table[found.column("bucket").to_numpy(), [place[x] for x in found.column("l").to_pylist()]] = found.column("n").to_numpy()
+    discard(counts)
     grams, scripts = table[:BUCKETS], table[BUCKETS:]
     share = (grams + 0.1) / (grams.sum(0) + 0.1 * BUCKETS)
     return {"langs": langs, "scores": np.log(share).astype(np.float32), "scripts": scripts / np.maximum(scripts.sum(0), 1)}

@@ -33,6 +33,7 @@ from rampart.llm.common import RangeHashes, WordHashes, mix
 
 LENGTH = 50
 GRAM = 10
+BLOCK_BYTES = 2 << 20  # of text in a block: the arrays of its words take some fifty times that
 
 MEMBER = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<i8")])
 REPEAT, EXTEND = 1, 2  # answers to a member
@@ -182,7 +183,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
     if not 0 < gram < length or length - gram > 255:
         raise ValueError("0 < gram < length <= gram + 255")
     many = common.shards(df.sparkSession)
-    blocks = common.to_blocks(df, id_col, text_col)
+    blocks = common.to_blocks(df, id_col, text_col, block_bytes=BLOCK_BYTES)
     member_rows = extension_dtype(length, gram)
     reach = length - gram
 
