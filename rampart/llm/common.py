@@ -79,22 +79,36 @@ def columns(batch: pa.RecordBatch) -> list[list]:
 
 BLOCK_BYTES = 4 << 20
 LEVEL = 3  # of compression
-BLOCK_SCHEMA = "block long, ids binary, flags binary, sizes binary, payload binary"
+BLOCK_SCHEMA = "block long, ids binary, flags binary, sizes binary, payload binary, rest binary"
 
 
-def _block(task: int, seq: int, ids: list, flags: list, texts: list[bytes]) -> dict:
+def _block(task: int, seq: int, ids: list, flags: list, texts: list[bytes], rest: pa.Table | None = None) -> dict:
     payload = zstandard.compress(b"".join(texts), LEVEL)
     return {"block": (task << 24) + seq,
             "ids": np.array([NO_ID if i is None else i for i in ids], np.int64).tobytes(),
             "flags": np.array(flags, np.uint8).tobytes(),
-            "sizes": np.array([len(t) for t in texts], np.int64).tobytes(), "payload": payload}
+            "sizes": np.array([len(t) for t in texts], np.int64).tobytes(), "payload": payload,
+            "rest": None if rest is None else _written(rest)}
+
+
+def _written(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def carried(row: dict) -> pa.Table:
+    """The further columns of a block's documents."""
+    return pa.ipc.open_stream(row["rest"]).read_all()
 
 
 def to_blocks(df: DataFrame, id_col: str, text_col: str, flag: Column | None = None,
-              name: str = "blocks", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Documents as a written table of blocks (null texts are empty)."""
+              name: str = "blocks", block_bytes: int = BLOCK_BYTES, carry: list[str] = ()) -> DataFrame:
+    """Documents as a written table of blocks (null texts are empty); ``carry`` names columns to keep
+    with them (:func:`carried`)."""
     src = df.select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"),
-                    (F.lit(0) if flag is None else flag.cast("int")).alias("f"))
+                    (F.lit(0) if flag is None else flag.cast("int")).alias("f"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -104,24 +118,33 @@ def to_blocks(df: DataFrame, id_col: str, text_col: str, flag: Column | None = N
         ids: list = []
         flags: list = []
         texts: list[bytes] = []
+        rest: list[pa.RecordBatch] = []
+
+        def block() -> pa.RecordBatch:
+            table = pa.Table.from_batches(rest) if carry else None
+            return pa.RecordBatch.from_pylist([_block(task, seq, ids, flags, texts, table)], BLOCK_ARROW)
+
         for b in batches:
-            for i, t, f in zip(*columns(b)):
+            start = 0  # of this batch's rows in the block
+            for k, (i, t, f) in enumerate(zip(*columns(b.select(["i", "t", "f"])))):
                 t = t.encode()
                 if texts and size + len(t) > block_bytes:
-                    yield pa.RecordBatch.from_pylist([_block(task, seq, ids, flags, texts)], BLOCK_ARROW)
-                    seq, size, ids, flags, texts = seq + 1, 0, [], [], []
+                    rest.append(b.select(b.schema.names[3:]).slice(start, k - start))
+                    yield block()
+                    seq, size, ids, flags, texts, rest, start = seq + 1, 0, [], [], [], [], k
                 ids.append(i)
                 flags.append(f)
                 texts.append(t)
                 size += len(t)
+            rest.append(b.select(b.schema.names[3:]).slice(start))
         if texts:
-            yield pa.RecordBatch.from_pylist([_block(task, seq, ids, flags, texts)], BLOCK_ARROW)
+            yield block()
 
     return materialize(src.mapInArrow(run, BLOCK_SCHEMA), name, compression="none")
 
 
 BLOCK_ARROW = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("flags", pa.binary()),
-                         ("sizes", pa.binary()), ("payload", pa.binary())])
+                         ("sizes", pa.binary()), ("payload", pa.binary()), ("rest", pa.binary())])
 
 
 def unpack(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:

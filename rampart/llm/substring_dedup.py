@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rampart.llm import common
 from rampart.llm.common import RangeHashes, WordHashes, mix
@@ -170,11 +171,13 @@ def repeated_words(seeds: Seeds, verdict: np.ndarray, flags: np.ndarray, found:
 
 
 def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                   hot: int = common.HOT) -> DataFrame:
+                   hot: int = common.HOT, carry: list[str] = (), whole: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, spans, text and text_hash for every row: the text's
     words without those in a window of ``length`` words that also starts in a document
     of a smaller id; spans are the maximal removed runs (first, last word), and
-    text_hash is xxhash64 of the text as it was, to join rows of repeated ids.
+    text_hash is xxhash64 of the text as it was, to join rows of repeated ids. Columns named in
+    ``carry`` follow as c0, c1, ...: a row and its result need no join. With ``whole`` a text that loses
+    no word stays as it was, a null one too.
 
     Words are what ASCII white space separates, kept ones are joined by one space.
     A null or empty text has none; a null id counts as larger than all; rows
@@ -183,7 +186,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
     if not 0 < gram < length or length - gram > 255:
         raise ValueError("0 < gram < length <= gram + 255")
     many = common.shards(df.sparkSession)
-    blocks = common.to_blocks(df, id_col, text_col, block_bytes=BLOCK_BYTES)
+    blocks = common.to_blocks(df, id_col, text_col, flag=F.col(text_col).isNull(), block_bytes=BLOCK_BYTES, carry=carry)
     member_rows = extension_dtype(length, gram)
     reach = length - gram
 
@@ -233,6 +236,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
             flags = common.scatter(s.shard[wanted], row["extensions"], np.dtype(("u1", reach + 1)))
             gone = repeated_words(s, verdict, flags.reshape(len(wanted), reach + 1), row.get("strings"))
             out: list[list] = [[], [], [], [], [], []]
+            _, missing, raw = common.unpack(row) if whole else (None, None, None)
             for k, words in enumerate(s.words):
                 drop = gone[s.starts[k]:s.starts[k + 1]]
                 edge = np.flatnonzero(np.diff(np.r_[False, drop, False].astype(np.int8)))
@@ -244,10 +248,16 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
                 out[1].append(len(words))
                 out[2].append(int(drop.sum()))
                 out[3].append([{"first": a, "last": b - 1} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
-                out[4].append(b" ".join(kept).decode())
+                if whole and not len(edge):
+                    out[4].append(None if missing[k] else raw[k].decode())
+                else:
+                    out[4].append(b" ".join(kept).decode())
                 out[5].append(s.texts_hash[k])
             types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "n_words", "n_removed", "spans", "text", "text_hash"])
+            names = ["doc_id", "n_words", "n_removed", "spans", "text", "text_hash"]
+            rest = common.carried(row).combine_chunks() if carry else None
+            kept_too = [c.combine_chunks() for c in rest.columns] if carry else []
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(out, types)), *kept_too], names=names + [f"c{k}" for k in range(len(carry))])
 
     anchors = common.materialize(common.answered(blocks.mapInArrow(ask_anchors, common.ASK_SCHEMA), common.ANCHOR, common.judge_anchors(hot)), "anchors")
     told = common.with_answers(blocks, anchors=anchors)
@@ -257,4 +267,5 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
     if common.any_crowded(anchors):
         told = common.with_strings(told, ask_windows)
     return common.with_answers(told, members=members, extensions=extensions).mapInArrow(
-        remove, "doc_id long, n_words long, n_removed long, spans array<struct<first:int,last:int>>, text string, text_hash long")
+        remove, "doc_id long, n_words long, n_removed long, spans array<struct<first:int,last:int>>, text string, text_hash long"
+        + "".join(f", c{k} {df.schema[c].dataType.simpleString()}" for k, c in enumerate(carry)))
