@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from rampart.llm import langid, packing, simhash, substring_dedup, toxicity
 from rampart.llm.common import fresh, materialize
 from rampart.llm.queries import BITS, CONTEXT, REPEAT_WORDS, SHINGLE, TOXIC, tokenizer_path
+from rampart.operators.validate import FILE, INDEX
+from rampart.sources.files import with_source_index
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,22 +39,30 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """One document of each near-duplicate group: that of the smallest id, nulls last.
     Rows that share an id, or have none, are told apart by a key of their own."""
     key, group = fresh(docs, "_key", "_group")
-    keyed = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    keyed = _keyed(docs, key)
     groups = simhash.simhash_groups(keyed, SHINGLE, BITS, id_col=key).select(F.col("doc_id").alias(key), F.col("component_id").alias(group))
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key).alias("key"))
     keep = keyed.select(key, "doc_id").join(groups, key).groupBy(group).agg(F.min(rank)["key"].alias(key))
     return keyed.join(keep, key, "left_semi").select(docs.columns)
 
 
+def _keyed(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with a number for each row. Rows of a Parquet table have a place of their own; others are
+    written once with theirs."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().toString() == "parquet":
+        return with_source_index(docs, "parquet").withColumnRenamed(INDEX, key).drop(FILE)
+    return materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+
+
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without passages that a document of a smaller id has."""
-    i, h, t = fresh(docs, "_id", "_hash", "_text")
-    found = substring_dedup.remove_repeats(docs, REPEAT_WORDS).filter("n_removed > 0")
-    shorter = found.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), F.col("text").alias(t)).dropDuplicates([i, h])
-    same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(h))
-    n_chars = F.when(F.col(t).isNotNull(), F.length(t).cast("long")).otherwise(F.col("n_chars"))
-    out = docs.join(shorter, same, "left").withColumns({"n_chars": n_chars, "text": F.coalesce(t, "text")})
-    return out.select(docs.columns)
+    """All documents, without passages that a document of a smaller id has. Texts that lose none stay as
+    they are, null ones too; of the others the kept words are joined by one space, and n_chars is their length."""
+    rest = [c for c in docs.columns if c != "text"]
+    found = substring_dedup.remove_repeats(docs, REPEAT_WORDS, carry=rest, whole=True)
+    kept = {c: F.col(f"c{k}") for k, c in enumerate(rest)} | {"text": F.col("text")}
+    kept["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(kept["n_chars"])
+    return found.select(*[kept[c].alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
