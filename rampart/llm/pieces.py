@@ -9,7 +9,7 @@ ids and texts back by the positions of their chunks.
 
 The table is one for about PORTION_BYTES of text, not for the corpus: so nothing is shuffled, no chunk is
 hot, and a lost task repeats only its own rows. (A table of the corpus, joined back to blocks, would
-move each portion's different chunks twice: about a quarter of all words in the given
+move each portion's different chunks twice: about a fifth of all words in the given
 documents.)
 """
 
