@@ -16,6 +16,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from rampart.llm import vectors
 
@@ -129,17 +130,18 @@ def nearest_neighbours(df: DataFrame, queries: Column, k: int, confidence: float
     go to the smaller id. Every row is indexed.
 
     Rows with a null id, or a vector that is null, empty, zero or holds a null or
-    non-finite component, take no part; equal rows count once; a row never meets
-    rows of its own id; fewer rows than k give all; an empty table gives an empty
-    result; more columns are not read."""
-    rows = vectors.usable(df, id_col, vector_col, nonzero=True)
+    non-finite component, take no part. Every row is a candidate, repeated ones each
+    for itself, but for rows of the query's id; each of several query rows of an id gets
+    its own k. Fewer rows than k give all; an empty table gives an empty result; more
+    columns are not read."""
+    rows = vectors.usable(df, queries, id_col, vector_col, nonzero=True)
 
     def build(ids: np.ndarray, data: np.ndarray) -> bytes:
         order, nodes = kd_tree(data @ projection(data.shape[1]))
         return order.astype(np.int64).tobytes() + nodes.tobytes()
 
     index = vectors.grouped(rows, vectors.BLOCK_ROWS, build, "trees")
-    asked = vectors.grouped(vectors.usable(df.filter(queries), id_col, vector_col, nonzero=True), vectors.QUERY_ROWS, None, "queries")
+    asked = vectors.grouped(rows.filter("asked"), vectors.QUERY_ROWS, None, "queries")
     stop = chi_square_quantile(confidence)
 
     def search(block: dict, ask: dict) -> pa.RecordBatch:
@@ -152,6 +154,6 @@ def nearest_neighbours(df: DataFrame, queries: Column, k: int, confidence: float
         many = [len(r) for r, _ in found]
         rows_ = np.concatenate([np.zeros(0, np.int64), *(r for r, _ in found)])
         score = np.concatenate([np.zeros(0), *(d for _, d in found)])
-        return pa.RecordBatch.from_arrays([pa.array(np.repeat(ask["ids"], many)), pa.array(ids[rows_]), pa.array(score)], names=["query_id", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(many)), many)), pa.array(np.repeat(ask["ids"], many)), pa.array(ids[rows_]), pa.array(score)], names=["asker", "query_id", "vec_id", "score"])
 
-    return vectors.best(vectors.meet(index, asked, search, "query_id long, vec_id long, score double"), k, nearest=True)
+    return vectors.best(vectors.meet(index, asked, search, "query_id long, vec_id long, score double"), k, F.asc("score"))

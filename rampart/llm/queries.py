@@ -189,11 +189,11 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (r)""",
     "op6_top_inner_products": """
-        WITH v AS (SELECT DISTINCT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w
+        WITH v AS (SELECT row_number() OVER () AS n, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w
                    FROM embeddings
                    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
-        s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum([q.w[i] * c.w[i] FOR i IN range(1, len(q.w) + 1)]) AS BIGINT) AS score
+        s AS (SELECT q.n, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum([q.w[i] * c.w[i] FOR i IN range(1, len(q.w) + 1)]) AS BIGINT) AS score
               FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w) WHERE q.vec_id % 20 = 0),
-        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
 }
