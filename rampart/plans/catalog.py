@@ -28,7 +28,7 @@ from ..operators.routing import (count_audit, error_message, error_summary, rend
                                  route_errors, route_valid)
 from ..operators.validate import INDEX, check_rules, validate
 from ..session import hadoop_fs, scratch_path
-from ..sources.files import layer_path, read_table, write_table
+from ..sources.files import layer_path, read_table, read_versions, write_table
 from ..sources.gates import judge_files, quarantine_lines
 from . import generate as G
 from . import ledger
@@ -926,6 +926,30 @@ def q_scan_parquet(spark, sf):
 
 SQL_SCAN_PARQUET = "SELECT * FROM customer"
 
+ORDERS_NOW = TableContract.from_dict({"table_name": "orders", "columns": [
+    {"name": "o_orderkey", "type": "int"}, {"name": "o_custkey", "type": "int"}, {"name": "o_totalprice", "type": "decimal"},
+    {"name": "o_orderdate", "type": "date", "format": "YYYY-MM-DD"}, {"name": "o_orderpriority", "type": "string"}]})
+
+
+def q_scan_versions(spark, sf):
+    """Days written under three contracts: keys as text, dates as text and another column; a
+    narrower key and no priority; the present one."""
+    root, o = scratch_path(spark, "scan_versions"), _t(spark, sf, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    written = [o.select(F.col("o_orderkey").cast("string"), F.when(F.col("o_custkey") % 10 == 0, "unknown").otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+                        "o_totalprice", "o_orderstatus", day.alias("o_orderdate"), "o_orderpriority"),
+               o.select(F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("int"), F.col("o_totalprice").cast("string"), F.col("o_orderdate").cast("date")),
+               align(o.withColumn("o_orderdate", day), ORDERS_NOW)]
+    for k, rows in enumerate(written):
+        write_table(rows.where(F.col("o_orderkey").cast("long") % 3 == k), f"{root}/{k}", "parquet")
+    return read_versions(spark, [f"{root}/{k}" for k in range(3)], ORDERS_NOW)
+
+
+SQL_SCAN_VERSIONS = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 OR o_custkey % 10 <> 0 THEN o_custkey END AS o_custkey, o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, CASE WHEN o_orderkey % 3 <> 1 THEN o_orderpriority END AS o_orderpriority
+FROM orders"""
+
 LANDING_CUSTOMERS = _c("rcv", "customers")
 
 
@@ -1211,6 +1235,7 @@ def q_pipeline_stream(spark, sf):
 # ------------------------------------------------------------- registry
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": q_scan_parquet,
+    "scan_versions": q_scan_versions,
     "scan_csv": q_scan_csv,
     "scan_csv_multiline": q_scan_csv_multiline,
     "source_index_csv": q_source_index_csv,
@@ -1268,6 +1293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": SQL_SCAN_PARQUET,
+    "scan_versions": SQL_SCAN_VERSIONS,
     "scan_csv": SQL_SCAN_CSV,
     "scan_csv_multiline": SQL_SCAN_CSV_MULTILINE,
     "source_index_csv": SQL_SOURCE_INDEX_CSV,

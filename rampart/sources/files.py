@@ -14,16 +14,21 @@ broadcasts the offsets or shuffles by their written size.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import SUPPORTED_FORMATS, TableContract
+from ..operators.reshape import align
 from ..operators.validate import CORRUPT, FILE, INDEX
 from ..session import hadoop_fs, plain_path_col, staged
 from . import multiline
 
+FOOTERS = 16  # read at a time
+
 # Fixed value: units per task aimed at in the prefix sum of offsets.
 PREFIX_ROWS_PER_TASK = 50_000
 
@@ -69,6 +74,33 @@ def read_table(spark: SparkSession, path, fmt: str, *, schema: T.StructType | No
     return df.select("*", plain_path_col(F.col("_metadata.file_path")).alias(FILE)) if source_file else df
 
 
+def read_versions(spark: SparkSession, paths: list[str], contract: TableContract, *, source_file: bool = False) -> DataFrame:
+    """Parquet folders written under different versions of a contract as one table of its columns
+    and types.
+
+    A folder is one write and has one schema, taken from a footer (FOOTERS folders at a time).
+    Folders of one schema are one scan; those that differ from the contract are aligned to it (an older
+    type is converted, a column they lack is NULL, one that the contract has no more is dropped), so
+    a column of the declared type keeps its pushed filters. ``source_file`` adds ``_source_file``."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
+    groups: dict[str, list[int]] = {}
+    for i, schema in enumerate(schemas):
+        groups.setdefault(schema.json(), []).append(i)
+    parts = []
+    for members in groups.values():
+        schema = schemas[members[0]]
+        part = spark.read.schema(schema).parquet(*(paths[i] for i in members))
+        keep = (FILE,) if source_file else ()
+        if source_file:
+            part = part.withColumn(FILE, plain_path_col(F.col("_metadata.file_path")))
+        parts.append(align(part, contract, keep=keep))
+    if not parts:
+        return spark.createDataFrame([], T.StructType(contract.struct_type().fields + ([T.StructField(FILE, T.StringType())] if source_file else [])))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _read_multiline(spark: SparkSession, paths: list[str], schema: T.StructType, options: dict, index: bool, source_file: bool) -> DataFrame:
     splits = split_bound(spark, paths)
     records, counts = multiline.read_records(spark, paths, splits)

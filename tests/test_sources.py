@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rampart import TableContract
-from rampart.sources.files import layer_path, read_table, write_table
+from rampart.sources.files import layer_path, read_table, read_versions, write_table
 from rampart.sources.gates import judge_files, quarantine_lines
 
 CONTRACT = TableContract.from_dict({
@@ -163,3 +163,23 @@ def test_prefix_offsets_many_partitions(spark):
         expected.append(running)
         running += r["_cnt"]
     assert [r["_off"] for r in rows] == expected
+
+
+NOW = TableContract.from_dict({"table_name": "t", "columns": [{"name": "id", "type": "int"}, {"name": "v", "type": "decimal"}, {"name": "new", "type": "string"}]})
+
+
+def test_folders_of_several_contract_versions(spark, tmp_dir):
+    """Older types, missing and dropped columns, unconvertible and null values, an empty folder; one scan a schema."""
+    spark.createDataFrame([("1", "2.5", "x"), ("bad", None, "y"), (None, "nan?", None)], "id string, v string, gone string").write.parquet(f"{tmp_dir}/1")
+    for n in (2, 3):
+        spark.createDataFrame([(n, 1.5)], "id int, v float").write.parquet(f"{tmp_dir}/{n}")
+    spark.createDataFrame([(4, 4.0, "n"), (None, None, None)], "id long, v double, new string").write.parquet(f"{tmp_dir}/4")
+    spark.createDataFrame([], "id long, v decimal(9,2), new string").write.parquet(f"{tmp_dir}/5")
+    df = read_versions(spark, [f"{tmp_dir}/{n}" for n in range(1, 6)], NOW, source_file=True)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema] == [("id", "bigint"), ("v", "double"), ("new", "string"), ("_source_file", "string")]
+    got = sorted(((r["_source_file"].split("/")[-2], r["id"], r["v"], r["new"]) for r in df.collect()), key=str)
+    assert got == sorted([("1", 1, 2.5, None), ("1", None, None, None), ("1", None, None, None), ("2", 2, 1.5, None), ("3", 3, 1.5, None),
+                          ("4", 4, 4.0, "n"), ("4", None, None, None)], key=str)
+    plan = df.where("id > 3").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 4 and "PushedFilters: [IsNotNull(id), GreaterThan(id,3)]" in plan
+    assert read_versions(spark, [], NOW, source_file=True).count() == 0
