@@ -22,14 +22,23 @@ from rampart.sources.files import with_source_index
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; those without any lettered word go."""
+    """Documents in a language, the labeller's where they state none (a null lang); those without
+    any lettered word, null and empty texts among them, go, and all go where no document states a language.
+
+    Rows are judged one by one, repeated ones too; a tie of languages goes to the first in order. Any column of
+    ``docs`` may have any name beside doc_id, text and lang."""
     model = langid.train(docs)
     names = fresh(docs, "_lang", "_share", "_spans")
-    return langid.identify(docs, model, names=names).filter(F.col(names[0]) != "und").select(docs.columns)
+    found = langid.identify(docs, model, names=names).filter(F.col(names[0]) != "und")
+    return found.withColumn("lang", F.coalesce("lang", names[0])).select(docs.columns)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below TOXIC."""
+    """Documents whose toxicity is below TOXIC; null and empty texts have the score of a text without
+    scored words and stay.
+
+    Labels are those of labels.parquet for rows of ``docs``; without any, no word is scored and all stay. Rows
+    are judged one by one, repeated ones too; columns beside doc_id and text may have any name."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     names = fresh(docs, "_toxicity", "_restored")
     return toxicity.score(docs, model, names=names).filter(F.col(names[0]) < TOXIC).select(docs.columns)
@@ -66,7 +75,10 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every kept document, tokenized and packed into sequences: one row for each piece."""
+    """Every kept document, tokenized and packed into sequences: one row for each piece.
+
+    A null or empty text is a piece of its end token alone; repeated rows, and rows of a null doc_id, are packed
+    each for itself; further columns are not read; no documents give no rows."""
     return packing.pack_documents(docs, tokenizer_path(), CONTEXT)
 
 
