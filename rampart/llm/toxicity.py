@@ -26,7 +26,6 @@ from rampart.llm.common import discard, materialize
 
 HASHES = 1 << 53     # values of the hash that the sample is drawn by
 LABELLED = 50_000   # about so many distinct labelled texts fit the word scores, the first by hash
-LEXICON = 20_000    # words with a score, the most frequent ones in toxic texts
 LEAST_TEXTS, LEAST_SHARE = 5, 0.005  # of the toxic texts, that a word must occur in
 LEAST_SCORE = 0.6
 PRIOR_TEXTS = 4.0
@@ -212,8 +211,8 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
 
     The character model counts all rows of ``docs`` (within ``where``). The word
     scores come from about ``labelled`` different labelled texts, those that are first by
-    a hash of the text; copies count once, a null label not at all. Without
-    labelled texts the lexicon is empty."""
+    a hash of the text; copies count once, a null label not at all. The lexicon holds every
+    word of LEAST_SCORE that enough of their toxic texts have. Without labelled texts it is empty."""
     kept = (docs if where is None else docs.filter(where)).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     characters = train_characters(kept, "_text")
     truth = labels.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("y")).filter("y is not null and _id is not null")
@@ -251,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     score = (F.col("toxic") + PRIOR_TEXTS * prior) / (F.col("toxic") + F.col("clean") + PRIOR_TEXTS)
     words = (rows.mapInArrow(count, "w string, clean long, toxic long").groupBy("w").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
              .filter(F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * float(toxic))).select("w", "toxic", score.alias("p")).filter(F.col("p") >= LEAST_SCORE)
-             .orderBy(F.desc("toxic"), "w").limit(LEXICON))
+             .orderBy("w"))  # of the labelled sample alone, in LEAST_TEXTS of its toxic texts
     lexicon = {r["w"]: r["p"] for r in words.collect()}
     discard(texts)
     return {"characters": characters, "lexicon": lexicon, "prior": prior}
@@ -265,7 +264,7 @@ def score(df: DataFrame, model: dict, text_col: str = "text", names: tuple[str,
     toxic; without any, and for null and empty texts, a third of the prior. All
     rows, repeated ones too, and columns are kept; columns of these names are
     replaced."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # SIZE cubed numbers and LEXICON words
+    shared = df.sparkSession.sparkContext.broadcast(model)  # SIZE cubed numbers and the words of :func:`train`
 
     def make():
         m = shared.value

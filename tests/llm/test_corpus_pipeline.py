@@ -58,6 +58,22 @@ def test_stages_do_what_they_say(spark, corpus):
     assert all(r["n_chars"] == len(r["text"]) for r in texts.values()) and {r["_text"] for r in texts.values()} == {"kept"}
 
 
+def test_language_stage_states_the_language_it_finds(spark, tmp_path, monkeypatch):
+    rng = random.Random(9)
+    words = {"aa": ["wekto", "lomira", "tasen", "pirul", "kedo"], "bb": ["shring", "thoub", "wrench", "blight", "quonth"]}
+    prose = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
+    rows = [(i, prose(lang, 30), lang, i) for i in range(60) for lang in [("aa", "bb")[i % 2]]]
+    rows += [(100, prose("aa", 20), None, 1), (101, prose("bb", 20), None, 2), (102, prose("bb", 20_000), None, 3), (103, "12 --", None, 4), (104, None, "aa", 5), (105, prose("aa", 3), "bb", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _lang int")
+    stated = lambda: {r["doc_id"]: (r["lang"], r["_lang"]) for r in pipe.language_id(spark, docs, str(tmp_path)).collect()}
+    got = stated()
+    assert set(got) == set(range(60)) | {100, 101, 102, 105}
+    assert got[100] == ("aa", 1) and got[101] == ("bb", 2) and got[102] == ("bb", 3) and got[105] == ("bb", 6)
+    train = pipe.langid.train
+    monkeypatch.setattr(pipe.langid, "train", lambda d: train(d.replace({"aa": "bb", "bb": "aa"}, subset="lang")))
+    assert stated()[100] == ("bb", 1)
+
+
 def test_near_dedup_keeps_a_row_of_each_group(spark, tmp_path):
     rng = random.Random(4)
     prose = [" ".join("".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(80)) for _ in range(6)]
