@@ -121,3 +121,20 @@ def test_wrong_lengths(spark):
         packing.plan_packing({0: 1}, 8)
     with pytest.raises(ValueError, match="between 1 and"):
         packing.plan_packing({9: 1}, 8)
+
+
+@pytest.mark.parametrize("size", [49408, 70_000])  # 70 000: keys of more than 32 bits
+def test_pair_ranks_are_those_of_the_merges(size):
+    rng = np.random.default_rng(4)
+    pairs = rng.integers(0, size, (20_000, 2))
+    ranks = {int(a) * size + int(b): r for r, (a, b) in enumerate(pairs)}
+    asked = np.r_[pairs, rng.integers(0, size, (20_000, 2)), [[0, 0], [size - 1, size - 1]]]
+    got = bpe.pair_ranks(ranks, size, len(pairs)).of(asked[:, 0].astype(np.uint32), asked[:, 1].astype(np.uint32))
+    assert got.tolist() == [ranks.get(int(a) * size + int(b), len(pairs)) for a, b in asked]
+
+
+def test_words_are_encoded_when_the_cache_is_emptied(tokenizer, library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    c = bpe.BpeCodec(tokenizer)
+    for texts in (["one two", "two three", None], ["two four <|endoftext|>five", ""], ["one two three four five six", "two"]):
+        assert [np.frombuffer(i, "<u4").tolist() for i in c.encode_batch(texts)] == [ids_of(library, t) for t in texts]
