@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import numpy as np
@@ -6,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from rampart.llm import common, langid, lm, toxicity
+from rampart.llm.bpe import codec
 from rampart.llm.common import held_out
+from rampart.session import local_path, plain_path
 
 SYLLABLES = {"aa": ["ka", "ro", "ti", "mu"], "bb": ["sch", "ung", "ler", "ein"], "cc": ["αβ", "γω", "δε", "λη"]}
 
@@ -256,3 +259,40 @@ def test_every_training_window_is_fitted(spark, tokenizer, languages, monkeypatc
     trained = docs.where("not h").count()
     # a window at least for each text, and one for every STRIDE words
     assert many[0] >= max(trained, sum(r["n_tokens"] for r in got if not r["held_out"]) / lm.STRIDE)
+
+
+def test_passes_without_spelling_drop_the_codec(tokenizer):
+    codec(tokenizer).encode("a cache of words")
+    assert codec.cache_info().currsize
+    assert list(lm.rows_of([])) == [] and not codec.cache_info().currsize
+
+
+def test_windows_are_deleted_once_the_weights_are_fitted(spark, tokenizer, languages, monkeypatch):
+    files = []
+
+    def spy(counted, size, real=lm._fit):
+        files.extend(local_path(plain_path(f)) for f in counted.inputFiles())
+        return real(counted, size)
+
+    monkeypatch.setattr(lm, "_fit", spy)
+    got = lm.score(languages.withColumn("h", held_out("doc_id", 7, 2)), tokenizer, "h")
+    left = {f.split("kind=")[1][0] for f in files if os.path.exists(f)}
+    assert str(lm.WINDOWS) not in left and {str(lm.SPELLED), str(lm.LENGTHS)} <= left
+    assert got.count() == languages.count()
+
+
+def test_large_logits_are_shifted():
+    model = lm.Attention(np.arange(100.0))
+    inputs, targets, _ = lm.windows_of([np.arange(60, dtype=np.int32)], 99)
+    model.weights["up"] = np.random.default_rng(2).standard_normal(model.weights["up"].shape).astype(np.float32) * 400
+    assert np.isfinite(model.class_scores(inputs, targets)).all()
+    assert all(np.isfinite(g).all() for g in model.gradients(inputs, targets).values())
+
+
+def test_pair_counts_are_summed_by_key():
+    r = np.random.default_rng(3)
+    parts = [np.array([(k, n) for k, n in r.integers(0, 50, (many, 2))], lm.PAIR) for many in (0, 1, 80)]
+    want = {}
+    for k, n in np.concatenate(parts).tolist():
+        want[k] = want.get(k, 0) + n
+    assert lm.summed(parts).tolist() == sorted(want.items()) and not len(lm.summed([]))
