@@ -296,3 +296,16 @@ def test_pair_counts_are_summed_by_key():
     for k, n in np.concatenate(parts).tolist():
         want[k] = want.get(k, 0) + n
     assert lm.summed(parts).tolist() == sorted(want.items()) and not len(lm.summed([]))
+
+
+def test_words_are_scored_the_same_in_portions(monkeypatch):
+    r = np.random.default_rng(5)
+    counts = r.integers(0, 9, 200).astype(float)
+    known = lm.Known(lm.Attention(counts), np.array([counts, counts / 3]), np.array([counts, counts / 2]))
+    n = r.integers(1, 4, 50)
+    ids = r.integers(0, 200, n.sum()).astype(np.int32)
+    args = -r.random(len(ids)), ids, n, r.integers(0, 3, 50).astype(float)
+    whole = known.words(*args)
+    for many in (1, 7, 50):
+        monkeypatch.setattr(lm, "WORDS_TOGETHER", many)
+        assert known.words(*args).tolist() == whole.tolist()
