@@ -22,10 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rampart.llm.common import fresh, materialize, rows_of
+from rampart.llm.common import fresh, in_parts, materialize, rows_of
+from rampart.session import plan_bytes
 
 ARITY = 16
 LEVELS = 3  # of a block: 4096 leaves
+PART_BYTES = 4 << 20  # of what a task reads, at least, to write a part file
 
 PROOF_TYPE = T.ArrayType(T.StructType([T.StructField("left", T.StringType()), T.StructField("right", T.StringType())]))
 PROOF_ARROW = pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))
@@ -128,8 +130,9 @@ def _placed(df: DataFrame, tree: list[str], order: list[Column], pos: str, n: st
     parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = [*(F.col(c).asc_nulls_first() for c in tree), *order, F.col(tie)]
     ranged = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop(tie)
-    # written with ids by partition and row, which every reader then sees alike
-    ranged = materialize(ranged.withColumn(mid, F.monotonically_increasing_id()), "merkle-order").withColumn(pid, F.shiftright(mid, 33))
+    # written with ids by partition and row, which every reader then sees alike; small partitions share a file, their ids stay
+    ranged = in_parts(ranged.withColumn(mid, F.monotonically_increasing_id()), plan_bytes(df), PART_BYTES)
+    ranged = materialize(ranged, "merkle-order").withColumn(pid, F.shiftright(mid, 33))
     units = ranged.groupBy(*tree, pid).agg(F.min(mid).alias(first), F.count(F.lit(1)).alias(n))  # a row for each partition and tree in it
     whole = Window.partitionBy(*tree)
     before = F.coalesce(F.sum(n).over(whole.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -259,8 +262,8 @@ def manifest(df: DataFrame, tree_cols: list[str], order_cols: list[str], leaf_co
     tree = [f"_tree{i}" for i in range(len(tree_cols))] or ["_tree0"]
     trees = {t: F.col(c) for t, c in zip(tree, tree_cols)} or {"_tree0": F.lit(0)}
     names = {c: f"c{i}" for i, c in enumerate(src.columns)}  # of the carried columns: none clashes
-    leaves = materialize(src.select(*[e.alias(t) for t, e in trees.items()], F.coalesce(leaf_col, F.lit("")).alias(digest),
-                                    *[F.col(c).alias(a) for c, a in names.items()]), "merkle-leaves")
+    leaves = src.select(*[e.alias(t) for t, e in trees.items()], F.coalesce(leaf_col, F.lit("")).alias(digest), *[F.col(c).alias(a) for c, a in names.items()])
+    leaves = materialize(in_parts(leaves, plan_bytes(src), PART_BYTES), "merkle-leaves")
     order = [*(F.col(names[c]).asc_nulls_first() for c in order_cols), F.col(digest)]
     placed = _placed(leaves, tree, order, pos, n)
     stages, subroots = _trees(placed, tree, digest, pos, n, levels)

@@ -68,6 +68,28 @@ def test_one_hot_tree_over_many_blocks(spark):
     assert {r["doc_id"]: [tuple(p) for p in r["proof"]] for r in got} == dict(enumerate(proofs))
 
 
+def test_many_small_partitions_are_written_as_few_files(spark, monkeypatch):
+    files, write = {}, merkle.materialize
+
+    def counted(df, name, *rest):
+        out = write(df, name, *rest)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(merkle, "materialize", counted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    try:
+        df = spark.range(0, 2000, 1, 64).select(F.col("id").alias("doc_id"), (F.col("id") % 3).alias("source"), F.sha2(F.col("id").cast("string"), 256).alias("leaf"))
+        got = merkle.manifest(df, ["source"], ["doc_id"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(files["merkle-leaves"], files["merkle-order"]) <= 12
+    proofs = [p for s in range(3) for p in tree([H(str(i)) for i in range(s, 2000, 3)])[1]]
+    found = sorted(got, key=lambda r: (r["source"], r["doc_id"]))
+    assert [[tuple(x) for x in r["proof"]][:3] for r in found] == proofs
+
+
 def test_appended_nodes_extend_open_witnesses():
     t = merkle.Appender(2)
     first = t.append("a")
