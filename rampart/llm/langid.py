@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rampart.llm.bpe import add_columns
+from rampart.llm.bpe import add_columns, clear_worker
 from rampart.llm.common import discard, materialize
 
 BUCKETS = 1 << 16
@@ -91,6 +91,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", where:
     src = (src if where is None else src.filter(where)).select(F.col(lang_col).cast("string").alias("l"), F.col(text_col).cast("string").alias("t"))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker()
         seen: dict[str, Counter] = defaultdict(Counter)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -110,7 +111,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", where:
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 seen[lang].update(_words(text))
-                if len(seen[lang]) > CACHE_ENTRIES or len(seen) > 50:
+                if sum(map(len, seen.values())) > CACHE_ENTRIES or len(seen) > 50:
                     yield from flush()
         yield from flush()
 
@@ -227,6 +228,7 @@ def identify(df: DataFrame, model: dict, text_col: str = "text", penalty: float
         return langs[int(votes.argmax())], float(votes.max() / votes.sum()), spans
 
     def make():
+        clear_worker()
         labeller = Labeller(shared.value, penalty)
 
         def work(texts: list) -> list[tuple]:

@@ -14,6 +14,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rampart.llm.bpe import add_columns
+from rampart.llm.bpe import add_columns, clear_worker
 from rampart.llm.common import discard, materialize
 
 HASHES = 1 << 53     # values of the hash that the sample is drawn by
@@ -30,6 +31,8 @@ LEAST_TEXTS, LEAST_SHARE = 5, 0.005  # of the toxic texts, that a word must occu
 LEAST_SCORE = 0.6
 PRIOR_TEXTS = 4.0
 CACHE_ENTRIES = 400_000
+WORDS_HELD = 150_000     # different words that a task holds before it counts their letters
+WORDS_TOGETHER = 20_000  # words whose letters are counted at once
 
 # ---- channel -----------------------------------------------------------------
 
@@ -167,32 +170,37 @@ def _codes(words: list[str]) -> np.ndarray:
     return np.where(points == 32, EDGE, np.where((points >= 97) & (points <= 122), points - 97, OTHER))
 
 
+def _add_letters(words: Counter, table: np.ndarray) -> None:
+    """Adds the trigrams of letters in the plain ones of ``words`` to ``table``, as often as each word occurs."""
+    found = iter(words.items())
+    while part := list(islice(found, WORDS_TOGETHER)):
+        plain = [(c, n) for w, n in part if (c := TAIL.sub("", w)).isalpha()]
+        if not plain:
+            continue
+        codes = _codes([w for w, _ in plain])
+        # each trigram weighs as often as the word of its last letter; its edge goes with it
+        owner = np.cumsum(np.r_[0, codes[:-1] == EDGE]) - 1
+        many = np.array([n for _, n in plain], float)
+        # the first letter's left context is the edge alone
+        left = np.where(np.r_[EDGE, codes[:-1]] == EDGE, EDGE, np.r_[EDGE, EDGE, codes[:-2]])
+        b = np.r_[EDGE, codes[:-1]]
+        at = np.arange(1, len(codes))
+        table += np.bincount((left[at] * SIZE + b[at]) * SIZE + codes[at], many[np.minimum(owner[at], len(many) - 1)], SIZE ** 3)
+
+
 def train_characters(df: DataFrame, text_col: str = "text") -> np.ndarray:
     """log P(c | a, b) of letters in the plain words of all rows: SIZE cubed numbers."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker()
         table = np.zeros(SIZE ** 3)
         words: Counter = Counter()
-
-        def add() -> None:
-            plain = [(c, n) for w, n in words.items() if (c := TAIL.sub("", w)).isalpha()]
-            words.clear()
-            if plain:
-                codes = _codes([w for w, _ in plain])
-                # each trigram weighs as often as the word of its last letter; its edge goes with it
-                owner = np.cumsum(np.r_[0, codes[:-1] == EDGE]) - 1
-                many = np.array([n for _, n in plain], float)
-                # the first letter's left context is the edge alone
-                left = np.where(np.r_[EDGE, codes[:-1]] == EDGE, EDGE, np.r_[EDGE, EDGE, codes[:-2]])
-                b = np.r_[EDGE, codes[:-1]]
-                at = np.arange(1, len(codes))
-                table[:] += np.bincount((left[at] * SIZE + b[at]) * SIZE + codes[at], many[np.minimum(owner[at], len(many) - 1)], SIZE ** 3)
-
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                words.update(t.lower().split())
-                if len(words) > CACHE_ENTRIES:
-                    add()
-        add()
+            for t in batch.column(0):
+                words.update(t.as_py().lower().split())
+                if len(words) > WORDS_HELD:
+                    _add_letters(words, table)
+                    words.clear()
+        _add_letters(words, table)
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(table[at])], names=["k", "n"])
 
@@ -230,6 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     shared = docs.sparkSession.sparkContext.broadcast(characters)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker()
         reader = Reader(shared.value)
         seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
 
@@ -267,6 +276,7 @@ def score(df: DataFrame, model: dict, text_col: str = "text", names: tuple[str,
     shared = df.sparkSession.sparkContext.broadcast(model)  # SIZE cubed numbers and the words of :func:`train`
 
     def make():
+        clear_worker()
         m = shared.value
         lexicon = m["lexicon"]
         reader = Reader(m["characters"], lexicon)

@@ -1,6 +1,8 @@
 import math
 import os
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -105,6 +107,23 @@ def test_toxic_held_out_texts_and_disguises(spark, toxic):
     assert toxicity.score(df, model).where("toxicity >= 0.7").count() == 0
 
 
+def test_letters_are_counted_a_few_words_at_a_time():
+    words = Counter({"no1": 4, "stop!!": 2, "ab": 3, "é": 1} | {"".join(chr(97 + i // 26 ** k % 26) for k in range(12)): 1 + i % 3 for i in range(150_000)})
+    table = np.zeros(28 ** 3)
+    tracemalloc.start()
+    toxicity._add_letters(words, table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # 145 MB with all words at once
+    expected = Counter()
+    for w, n in words.items():
+        if (w := w.rstrip("!")).isalpha():
+            codes = [27, 27, *(ord(c) - 97 if c.isascii() else 26 for c in w), 27]
+            for t in zip(codes, codes[1:], codes[2:]):
+                expected[t] += n
+    assert {divmod(k, 28 * 28)[:1] + divmod(k % 784, 28): table[k] for k in np.flatnonzero(table).tolist()} == expected
+
+
 def test_restoring_is_the_best_lattice_path(toxic):
     model = toxicity.train_characters(toxic[0])
 
