@@ -5,6 +5,7 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -328,3 +329,53 @@ def test_words_are_scored_the_same_in_portions(monkeypatch):
     for many in (1, 7, 50):
         monkeypatch.setattr(lm, "WORDS_TOGETHER", many)
         assert known.words(*args).tolist() == whole.tolist()
+
+
+def test_documents_are_written_and_split_once(spark, tokenizer, languages, monkeypatch):
+    tables = []
+
+    def spy(df, name, *args, real=common.materialize, **options):
+        tables.append(name)
+        return real(df, name, *args, **options)
+
+    monkeypatch.setattr(common, "materialize", spy)
+    got = lm.score(languages.withColumn("h", held_out("doc_id", 7, 2)), tokenizer, "h")
+    assert tables == ["counts", "words"]  # no copy of the texts beside them
+    assert got.count() == languages.count()
+
+
+def test_words_of_a_block_are_those_of_bytes(tokenizer):
+    raw = ["", " ", "\n\n A\tb\x0bC\x0cd\re  ", "\x1c x\x1dy \x85 Z\xa0w", "\x00 a", "É é Σσς İ", " <|endoftext|> <|endoftext|>x a", "a a  b"]
+    t = lm.Text(pa.array(raw, pa.string()), np.arange(len(raw)) % 2 > 0, tokenizer, 49407, 24)
+    flat = [w.decode() for x in raw for w in [*x.encode().lower().split(), b"\n"]]
+    assert t.sizes.tolist() == [len(x.encode().split()) + 1 for x in raw]
+    names = {}
+    assert all(names.setdefault(n, w) == w for n, w in zip(t.words.tolist(), flat)) and len(set(names.values())) == len(names) == len(t.lengths)
+    assert (np.diff(t.shard) >= 0).all()
+    for n, w in names.items():
+        ids = t.spelled[t.begin[n]:t.begin[n] + t.lengths[n]].tolist()
+        assert ids == ([49407] if w == "\n" else np.frombuffer(codec(tokenizer).encode(w), "<u4").tolist())
+
+
+def test_shares_of_pairs_are_their_counts():
+    r = np.random.default_rng(7)
+    model = lm.Attention(r.integers(0, 99, 700).astype(float))
+    pairs = np.sort(r.choice(len(model.bigram) * 700, 5000, replace=False))
+    many = r.integers(1, 50, 5000).astype(float)
+    model.set_bigrams(pairs, many)
+    known = lm.Known(model, np.ones((2, 700)), np.ones((2, 700)))
+    before, ids = r.integers(0, 700, 4000), r.integers(0, 700, 4000)
+    count = dict(zip(pairs.tolist(), many.tolist()))
+    n = np.array([count.get(k, 0.0) for k in (model.read[before].astype(np.int64) * 700 + ids).tolist()])
+    want = np.log((n + lm.SHRINK * np.exp(model.share[ids])) / (model.seen[model.read[before], model.target[ids]] + lm.SHRINK))
+    assert n.any() and np.allclose(known.shares(before, ids), want, rtol=1e-12)
+
+
+def test_word_ids_are_those_of_texts(tokenizer):
+    rng = random.Random(4)
+    alphabet = ["a", "b", "é", "é", "́", "Σ", "ς", "İ", "ß", "ᄀ", "ᅡ", " ", "\x1c", "　", "<|endoftext|>", "<|", ".", ",", "1", "😀", "ﬁ"]
+    c = codec(tokenizer)
+    for k in range(300):
+        words = ["".join(rng.choice(alphabet) for _ in range(rng.randint(k % 5 > 0, 6))) for _ in range(rng.randint(0, 12))]
+        ids, sizes = c.word_ids(words)
+        assert ids.astype("<u4").tobytes() == b"".join(map(c.encode, words)) and sizes.tolist() == [len(c.encode(w)) // 4 for w in words]
