@@ -2,6 +2,7 @@ import math
 import os
 import random
 import tracemalloc
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -379,3 +380,69 @@ def test_word_ids_are_those_of_texts(tokenizer):
         words = ["".join(rng.choice(alphabet) for _ in range(rng.randint(k % 5 > 0, 6))) for _ in range(rng.randint(0, 12))]
         ids, sizes = c.word_ids(words)
         assert ids.astype("<u4").tobytes() == b"".join(map(c.encode, words)) and sizes.tolist() == [len(c.encode(w)) // 4 for w in words]
+
+
+def test_only_odd_words_are_split_one_by_one(tokenizer, monkeypatch):
+    words = ["größe,", "a1b22", "$$$x$", "it's", "中文", "wort", "é½é", "x...", "7", "!", "٣a", "a\x85b"]
+    want = [codec(tokenizer).encode(w) for w in words]
+    c, asked = codec(tokenizer), []
+    monkeypatch.setattr(c, "_split", lambda chunks, real=c._split: asked.extend(chunks) or real(chunks))
+    for some in (words, words[:3], words[3:5], words[5:6]):
+        asked.clear()
+        ids, sizes = c.word_ids(some)
+        assert set(asked) <= {"it's", "中文", "٣a", "a\x85b", "a", "b"}
+        assert ids.astype("<u4").tobytes() == b"".join(want[words.index(w)] for w in some)
+        assert sizes.tolist() == [len(want[words.index(w)]) // 4 for w in some]
+
+
+def test_a_step_makes_its_classes_in_portions():
+    r = np.random.default_rng(8)
+    model = lm.Attention(r.integers(0, 99, 700).astype(float))
+    inputs, targets, _ = lm.windows_of([r.integers(0, 700, lm.BATCH * lm.STRIDE - 1).astype(np.int32)], 699)
+    model.gradients(inputs, targets)
+    tracemalloc.start()
+    model.gradients(inputs, targets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(inputs) == lm.BATCH and peak < 1_100_000  # two arrays of all classes alone are 786 kB
+
+
+def test_scores_of_large_sums_are_those_of_doubles():
+    r = np.random.default_rng(10)
+    model = lm.Attention(r.integers(0, 99, 100).astype(float))
+    inputs, targets, _ = lm.windows_of([r.integers(0, 99, n).astype(np.int32) for n in (5, 60)], 99)
+    for scale in (0.5, 6, 40):  # of scores and logits: small, and beyond what exp in 32 bits can hold
+        model.weights = {n: (r.standard_normal(w.shape) * scale ** (n in ("see", "up"))).astype(np.float32) for n, w in model.weights.items()}
+        w = {n: x.astype(float) for n, x in model.weights.items()}
+        x = w["embed"][model.read[inputs]] + w["place"]
+        q, k, v = np.split(x @ w["see"], 3, 2)
+        score = q[:, lm.CONTEXT:] @ k.transpose(0, 2, 1) * lm.DIMS ** -0.5
+        unseen = np.arange(lm.WIDTH) > lm.CONTEXT + np.arange(lm.STRIDE)[:, None]
+        score[np.broadcast_to(unseen, score.shape) | ((inputs[:, :1, None] < 0) & (np.arange(lm.WIDTH) < lm.CONTEXT))] = -np.inf
+        p = np.exp(score - score.max(2, keepdims=True))
+        h = p / p.sum(2, keepdims=True) @ v @ w["out"] + x[:, lm.CONTEXT:]
+        logits = h @ w["up"] + model.bigram[model.read[inputs]][:, lm.CONTEXT:]
+        logits -= logits.max(2, keepdims=True)
+        logits -= np.log(np.exp(logits).sum(2, keepdims=True))
+        want = np.take_along_axis(logits, model.target[targets][:, :, None].astype(int), 2)[:, :, 0][targets >= 0]
+        assert np.allclose(model.class_scores(inputs, targets), want, rtol=1e-3, atol=1e-2 * scale)
+
+
+def test_repeated_words_are_judged_once():
+    r = np.random.default_rng(6)
+    counts = r.integers(0, 9, 200).astype(float)
+    known = lm.Known(lm.Attention(counts), np.array([counts, counts / 3]), np.array([counts, counts / 2]))
+    n, which = r.integers(1, 4, 20), r.integers(0, 20, 3000)
+    ids, c = r.integers(0, 200, n.sum()).astype(np.int32), r.integers(0, 3, 20).astype(float)
+    begin = np.cumsum(n) - n
+    every = np.concatenate([ids[begin[w]:begin[w] + n[w]] for w in which])
+    classes = -r.random(len(every))
+    got = known.in_text(classes, n[which], known.apart(ids, n, c), which)
+    assert np.allclose(got, known.words(classes, every, n[which], c[which]), rtol=1e-12)
+    at = np.cumsum(n[which]) - n[which]
+    for w, a, x in zip(which[:50], at, got):
+        own, k = ids[begin[w]:begin[w] + n[w]], classes[a:a + n[w]]
+        first = own[0]
+        spelled = known.new[first] + known.go[own[:-1]].sum() + known.stop[own[-1]] + (k[1:] + known.shares(own[:-1], own[1:])).sum()
+        counted = known.old[first] + np.log(c[w] / max(known.tokens[first], 1)) if c[w] else -np.inf
+        assert x == pytest.approx(k[0] + known.first_share[first] + np.logaddexp(counted, spelled))
